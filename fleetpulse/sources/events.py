@@ -91,3 +91,37 @@ def wide_samples(events: DataFrame) -> DataFrame:
         when("purchase", v * F.lit(NET_OUT_SCALE)).alias("net_out"),
         when("error", v * F.lit(DISK_SCALE)).alias("disk_io"),
     )
+
+
+# --- fixed values: record adapter ------------------------------------------------
+FIXED_STAMP = "00:00:00"
+MALFORMED_FROM = "error"
+
+
+def event_records(events: DataFrame, stamp: str | None = FIXED_STAMP) -> DataFrame:
+    """Kafka-shaped records derived from every event.
+
+    * each metric event (click, view, purchase, error) is one wide sample
+      and fans out to the four metric topics, as the producer does;
+    * each signup becomes one valid record on an unrouted topic;
+    * each error event also sends one malformed (non-JSON) message on the
+      disk topic, which decoding must quarantine.
+    """
+    from ..operators.records import fan_out, message_key
+
+    metric_events = events.filter(F.col("event_type").isin(*EVENT_METRIC))
+    fanned = fan_out(wide_samples(metric_events), stamp)
+    server = server_of(F.col("user_id"))
+    other = events.filter(F.col("event_type") == F.lit(OTHER_EVENT)).select(
+        F.lit(OTHER_TOPIC).alias("topic"),
+        message_key(server).alias("key"),
+        F.to_json(
+            F.struct(time_of_day_text("ts").alias("original_ts"), server.alias("server_id"))
+        ).cast("binary").alias("value"),
+    )
+    malformed = events.filter(F.col("event_type") == F.lit(MALFORMED_FROM)).select(
+        F.lit(DISK.topic).alias("topic"),
+        message_key(server).alias("key"),
+        F.concat(F.lit("error:"), F.col("event_id").cast("string")).cast("binary").alias("value"),
+    )
+    return fanned.unionByName(other).unionByName(malformed)
