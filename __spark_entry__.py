@@ -213,7 +213,7 @@ def q_csv_round_trip(spark, sf_dir):
     base = shared_dir(spark, "csv_round_trip")
     write_table(t["net"], f"{base}/net")
     write_table(t["disk"], f"{base}/disk")
-    run_alert_job(spark, NET_DISK, f"{base}/net", f"{base}/disk", f"{base}/out", single_file=True)
+    run_alert_job(spark, NET_DISK, f"{base}/net", f"{base}/disk", f"{base}/out")
     return spark.read.schema(NET_DISK_ALERT_SCHEMA).option("header", True).csv(f"{base}/out")
 
 

@@ -137,8 +137,13 @@ def slot_aggregates(long: DataFrame, pair: MetricPair, offset: int | Column) ->
     The shuffle key includes the slot, so a server holding a third of all
     rows still spreads over every reducer.
     """
-    return long.groupBy("server_id", slot_start(F.col("sec"), offset).alias("slot")).agg(
-        *_partial_specs(pair.left, "l"), *_partial_specs(pair.right, "r")
+    # The slot is projected first, not computed inside the grouping: an
+    # offset subquery over an input with non-deterministic lineage is
+    # itself non-deterministic, which Spark allows in a projection only.
+    return (
+        long.withColumn("slot", slot_start(F.col("sec"), offset))
+        .groupBy("server_id", "slot")
+        .agg(*_partial_specs(pair.left, "l"), *_partial_specs(pair.right, "r"))
     )
 
 

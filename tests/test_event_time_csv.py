@@ -1,0 +1,64 @@
+"""Time parsing (FIXTURES §6) and CSV tables in and out."""
+
+import os
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from fleetpulse.functions import parse_time_of_day
+from fleetpulse.session import shared_dir
+from fleetpulse.sources.csv_tables import read_metric, read_samples, write_alerts
+
+
+def test_strict_time_parse(spark):
+    texts = ["20:52:00", "9:05:00", "24:00:00", "23:59:60", "20:52:00.5", " 20:52:00", "2025-01-01 20:52:00", "bad", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "ts string")
+    got = {r.ts: r.sec for r in df.select("ts", F.unix_seconds(parse_time_of_day("ts")).alias("sec")).collect()}
+    assert got["20:52:00"] == 20 * 3600 + 52 * 60
+    assert all(v is None for k, v in got.items() if k != "20:52:00")
+
+
+def _write(path, text):
+    os.makedirs(path, exist_ok=True)
+    with open(os.path.join(path, "part-0.csv"), "w") as f:
+        f.write(text)
+
+
+def test_csv_permissive_values(spark):
+    base = shared_dir(spark, "csvcases")
+    _write(f"{base}/cpu", "ts,server_id,cpu_pct\n20:52:00,s1,12.5\n20:52:01,s1,abc\n20:52:02,s1,\n20:52:03,s1,NaN\n20:52:04\n20:52:05,s1,3.0,extra\n")
+    got = rows(read_metric(spark, "cpu", f"{base}/cpu"))
+    assert got == sorted(
+        [("20:52:00", "s1", 12.5), ("20:52:01", "s1", None), ("20:52:02", "s1", None), ("20:52:03", "s1", None),
+         ("20:52:04", None, None), ("20:52:05", "s1", 3.0)],
+        key=lambda t: tuple((x is not None, x) for x in t),
+    )
+
+
+def test_reordered_header_fails(spark):
+    base = shared_dir(spark, "csvhdr")
+    _write(f"{base}/cpu", "server_id,ts,cpu_pct\ns1,20:52:00,1.0\n")
+    with pytest.raises(Exception):
+        read_metric(spark, "cpu", f"{base}/cpu").collect()
+
+
+def test_samples_nan_is_null(spark):
+    base = shared_dir(spark, "wide")
+    _write(f"{base}/d", "ts,server_id,cpu_pct,mem_pct,net_in,net_out,disk_io\n20:52:00,s1,NaN,1,2,3,4\n")
+    r = read_samples(spark, f"{base}/d").first()
+    assert r.cpu_pct is None and r.mem_pct == 1.0 and r.disk_io == 4.0
+
+
+def test_write_alerts_sorted_single_file(spark):
+    base = shared_dir(spark, "alerts")
+    df = spark.createDataFrame(
+        [("s2", "00:00:10", "00:00:40", 1.0, None, None), ("s1", "00:00:20", "00:00:50", None, 2.0, "x"), ("s1", "00:00:10", "00:00:40", 3.0, 4.0, None)],
+        "server_id string, window_start string, window_end string, avg_cpu float, avg_mem float, alert string",
+    )
+    write_alerts(df, f"{base}/out", single_file=True)
+    parts = [p for p in os.listdir(f"{base}/out") if p.startswith("part-")]
+    assert len(parts) == 1
+    lines = open(os.path.join(f"{base}/out", parts[0])).read().splitlines()
+    assert lines[0] == "server_id,window_start,window_end,avg_cpu,avg_mem,alert"
+    assert lines[1:] == ["s1,00:00:10,00:00:40,3.0,4.0,", "s1,00:00:20,00:00:50,,2.0,x", "s2,00:00:10,00:00:40,1.0,,"]
