@@ -22,16 +22,33 @@ from fleetpulse.functions import constants as K
 from fleetpulse.functions import time_of_day_text
 from fleetpulse.operators.combine import combine_windows
 from fleetpulse.operators.event_time import with_event_time
-from fleetpulse.operators.records import decode, fan_out, quarantine, replay_order, route, topic_counts
+from fleetpulse.operators.records import decode, fan_out, quarantine, records_long, replay_order, route, topic_counts
 from fleetpulse.operators.status import input_status, offset_column, window_offset
 from fleetpulse.operators.warmup import rank_windows
 from fleetpulse.operators.windows import window_aggregate
-from fleetpulse.plans.jobs import combined_windows, cpu_mem_alerts, net_disk_alerts
+from fleetpulse.plans.jobs import alerts_from_long, combined_windows, cpu_mem_alerts, net_disk_alerts
 from fleetpulse.plans.run import run_alert_job
-from fleetpulse.schemas import CPU, DISK, MEM, METRICS, NET, NET_DISK, NET_DISK_ALERT_SCHEMA, CPU_MEM_ALERT_SCHEMA
+from fleetpulse.schemas import (
+    CPU,
+    CPU_MEM,
+    CPU_MEM_ALERT_SCHEMA,
+    DISK,
+    MEM,
+    METRICS,
+    NET,
+    NET_DISK,
+    NET_DISK_ALERT_SCHEMA,
+)
 from fleetpulse.session import shared_dir
 from fleetpulse.sources.csv_tables import read_metric, read_samples, write_table
-from fleetpulse.sources.events import event_records, metric_table, read_events, server_of, wide_samples
+from fleetpulse.sources.events import (
+    event_records,
+    metric_table,
+    pair_long_table,
+    read_events,
+    server_of,
+    wide_samples,
+)
 from fleetpulse.streaming.ingest import land_stream, metric_stream, read_record_files
 from fleetpulse.streaming.windows import bootstrap_offset, enable_state_store, stream_alert_rows, stream_alerts
 
@@ -58,15 +75,36 @@ def _labels(df: DataFrame, *measures: str) -> DataFrame:
 
 
 def q_cpu_mem_alerts(spark, sf_dir):
+    """Flagship: the CPU/MEM job over one scan of both metrics."""
+    return alerts_from_long(pair_long_table(read_events(spark, sf_dir), CPU_MEM), CPU_MEM)
+
+
+def q_net_disk_alerts(spark, sf_dir):
+    return alerts_from_long(pair_long_table(read_events(spark, sf_dir), NET_DISK), NET_DISK)
+
+
+def q_cpu_mem_alerts_two_tables(spark, sf_dir):
+    """The same job over two landed metric tables, as the reference job reads them."""
     t = _tables(spark, sf_dir)
     return cpu_mem_alerts(t["cpu"], t["mem"])
 
 
-def q_net_disk_alerts(spark, sf_dir):
+def q_net_disk_alerts_two_tables(spark, sf_dir):
     t = _tables(spark, sf_dir)
     return net_disk_alerts(t["net"], t["disk"])
 
 
+def q_records_cpu_mem_alerts(spark, sf_dir):
+    """Alerts straight from a batch of records of both topics (one decode, one scan)."""
+    d = decode(event_records(read_events(spark, sf_dir)))
+    return alerts_from_long(records_long(d, CPU_MEM), CPU_MEM)
+
+
+def q_records_net_disk_alerts(spark, sf_dir):
+    d = decode(event_records(read_events(spark, sf_dir)))
+    return alerts_from_long(records_long(d, NET_DISK), NET_DISK)
+
+
 def q_cpu_mem_alerts_join_form(spark, sf_dir):
     t = _tables(spark, sf_dir)
     return cpu_mem_alerts(t["cpu"], t["mem"], form="join")
@@ -278,8 +316,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "cpu_mem_alerts": q_cpu_mem_alerts,
         "net_disk_alerts": q_net_disk_alerts,
+        "cpu_mem_alerts_two_tables": q_cpu_mem_alerts_two_tables,
+        "net_disk_alerts_two_tables": q_net_disk_alerts_two_tables,
         "cpu_mem_alerts_join_form": q_cpu_mem_alerts_join_form,
         "net_disk_alerts_join_form": q_net_disk_alerts_join_form,
+        "records_cpu_mem_alerts": q_records_cpu_mem_alerts,
+        "records_net_disk_alerts": q_records_net_disk_alerts,
         "custom_thresholds": q_custom_thresholds,
         "custom_thresholds_net_disk": q_custom_thresholds_net_disk,
         "cpu_window_avg": q_cpu_window_avg,
@@ -394,9 +436,12 @@ def _cpu_mem_sql(cpu_t: float = K.CPU_THRESHOLD, mem_t: float = K.MEM_THRESHOLD)
 
 
 def _net_disk_sql(net_t: float = K.NET_THRESHOLD, disk_t: float = K.DISK_THRESHOLD) -> str:
+    return f"WITH {_ADAPTER},{_windows_sql('net', 'net_in', 'disk', 'disk_io', 'max')}\n{_net_disk_select(net_t, disk_t)}"
+
+
+def _net_disk_select(net_t: float, disk_t: float) -> str:
     n, d = f"{net_t!r}::DOUBLE", f"{disk_t!r}::DOUBLE"
-    return f"""WITH {_ADAPTER},{_windows_sql('net', 'net_in', 'disk', 'disk_io', 'max')}
-SELECT server_id, {_hms('ws')} AS window_start, {_hms('ws + 30')} AS window_end,
+    return f"""SELECT server_id, {_hms('ws')} AS window_start, {_hms('ws + 30')} AS window_end,
        CAST(a AS DOUBLE) AS max_net_in, CAST(b AS DOUBLE) AS max_disk_io,
        CASE WHEN a >= {n} AND b >= {d} THEN '{K.ALERT_NET_AND_DISK}'
             WHEN a >= {n} AND b < {d} THEN '{K.ALERT_NET}'
@@ -525,6 +570,15 @@ def _empty_landed_sql() -> str:
 UNION ALL SELECT 'mem', CAST(0 AS BIGINT), 3"""
 
 
+def _records_alerts_sql(pair: str) -> str:
+    """Alerts over the tables landed from every metric event's records."""
+    if pair == "cpu_mem":
+        return f"""WITH {_ROUTED},{_windows_sql('rcpu', 'cpu_pct', 'rmem', 'mem_pct', 'avg')}
+{_cpu_mem_select(K.CPU_THRESHOLD, K.MEM_THRESHOLD)}"""
+    return f"""WITH {_ROUTED},{_windows_sql('rnet', 'net_in', 'rdisk', 'disk_io', 'max')}
+{_net_disk_select(K.NET_THRESHOLD, K.DISK_THRESHOLD)}"""
+
+
 def _stream_alerts_sql() -> str:
     """Batch alerts over the record-landed tables, windows closed by the final watermark only."""
     return f"""WITH {_ROUTED},{_windows_sql('rcpu', 'cpu_pct', 'rmem', 'mem_pct', 'avg')}
@@ -536,8 +590,12 @@ def oracle_sql() -> dict[str, str]:
     return {
         "cpu_mem_alerts": _cpu_mem_sql(),
         "net_disk_alerts": _net_disk_sql(),
+        "cpu_mem_alerts_two_tables": _cpu_mem_sql(),
+        "net_disk_alerts_two_tables": _net_disk_sql(),
         "cpu_mem_alerts_join_form": _cpu_mem_sql(),
         "net_disk_alerts_join_form": _net_disk_sql(),
+        "records_cpu_mem_alerts": _records_alerts_sql("cpu_mem"),
+        "records_net_disk_alerts": _records_alerts_sql("net_disk"),
         "custom_thresholds": _cpu_mem_sql(K.README_CPU_THRESHOLD, K.README_MEM_THRESHOLD),
         "custom_thresholds_net_disk": _net_disk_sql(K.README_NET_THRESHOLD, K.README_DISK_THRESHOLD),
         "cpu_window_avg": _metric_windows_sql("cpu"),

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions import constants as K
 from ..functions import nan_to_null
-from ..schemas import METRICS, Metric
+from ..schemas import METRICS, Metric, MetricPair
 
 CORRUPT = "_corrupt_record"
 ALL_MEASURES = ("cpu_pct", "mem_pct", "net_in", "net_out", "disk_io")
@@ -120,6 +120,17 @@ def route(decoded: DataFrame, metric: Metric) -> DataFrame:
     return decoded.filter((F.col("topic") == F.lit(metric.topic)) & F.col("valid")).select(*cols)
 
 
+def records_long(decoded: DataFrame, pair: MetricPair) -> DataFrame:
+    """Long form (server_id, sec, l, r) of a pair straight from decoded
+    records of both topics: the one-subscription consumer, one scan."""
+    from .windows import tagged_long_form
+
+    topic, valid = F.col("topic"), F.col("valid")
+    return tagged_long_form(
+        decoded, pair, valid & (topic == F.lit(pair.left.topic)), valid & (topic == F.lit(pair.right.topic))
+    )
+
+
 def quarantine(decoded: DataFrame) -> DataFrame:
     """Records whose value is not a JSON object (D1): topic, key, raw text."""
     return decoded.filter(~F.col("valid")).select("topic", "key", "text")

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..functions import round2, safe_ratio, slot_start
+from ..functions import event_seconds, round2, safe_ratio, slot_start
 from ..schemas import Metric, MetricPair
 
 WINDOW = f"{K.WINDOW_SECONDS} seconds"
@@ -129,6 +129,27 @@ def long_form(left_typed: DataFrame, right_typed: DataFrame, pair: MetricPair) -
     return left.unionByName(right).filter(F.col("sec").isNotNull())
 
 
+def tagged_long_form(df: DataFrame, pair: MetricPair, is_left: Column, is_right: Column) -> DataFrame:
+    """Long form from ONE input holding both metrics, tagged per row.
+
+    `df` has `ts` (text), `server_id` and the pair's measure columns;
+    `is_left`/`is_right` say which metric a row carries (a topic or an
+    event type; at most one holds per row). One scan feeds both metrics,
+    as when one consumer subscribes to both topics.
+    """
+    sec = event_seconds(F.col("ts"))
+    return (
+        df.filter(is_left | is_right)
+        .select(
+            "server_id",
+            sec.alias("sec"),
+            F.when(is_left, F.col(pair.left.measure).cast(pair.left.dtype)).alias("l"),
+            F.when(is_right, F.col(pair.right.measure).cast(pair.right.dtype)).alias("r"),
+        )
+        .filter(F.col("sec").isNotNull())
+    )
+
+
 def slot_aggregates(long: DataFrame, pair: MetricPair, offset: int | Column) -> DataFrame:
     """Partial states per (server, 10 s slot), both metrics in one pass.
 

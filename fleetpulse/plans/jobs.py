@@ -12,12 +12,13 @@ rank). Both return the same rows; tests hold them equal.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..operators.alerts import label_cpu_mem, label_net_disk
 from ..operators.combine import combine_windows
 from ..operators.event_time import with_event_time
-from ..operators.status import offset_column
+from ..operators.status import offset_from_min
 from ..operators.warmup import drop_warmup
 from ..operators.windows import (
     long_form,
@@ -28,6 +29,22 @@ from ..operators.windows import (
 from ..schemas import CPU_MEM, NET_DISK, MetricPair
 
 
+def long_offset(long: DataFrame) -> Column:
+    """Offset of a long-form input as a scalar subquery (A2, A3).
+
+    Catalyst runs it once before the stage that needs it; it reads only
+    the columns the time parse needs.
+    """
+    return long.agg(offset_from_min(F.min("sec"))).scalar()
+
+
+def long_windows(long: DataFrame, pair: MetricPair, offset: int | Column | None = None) -> DataFrame:
+    """(server_id, window, <left aggregate>, <right aggregate>) from a long form."""
+    if offset is None:
+        offset = long_offset(long)
+    return slot_window_aggregates(slot_aggregates(long, pair, offset), pair).drop("ws")
+
+
 def combined_windows(
     left: DataFrame,
     right: DataFrame,
@@ -41,17 +58,24 @@ def combined_windows(
     measures). `offset=None` derives it from the data as the reference
     does, lazily, via a scalar subquery.
     """
-    if offset is None:
-        offset = offset_column(left, right)
     lt, rt = with_event_time(left, pair.left), with_event_time(right, pair.right)
     if form == "join":
-        a = window_aggregate(lt, pair.left, offset)
-        b = window_aggregate(rt, pair.right, offset)
+        long = long_form(lt, rt, pair)
+        off = long_offset(long) if offset is None else offset
+        a = window_aggregate(lt, pair.left, off)
+        b = window_aggregate(rt, pair.right, off)
         return combine_windows(a, b)
     if form != "slots":
         raise ValueError(f"unknown form {form!r}")
-    slots = slot_aggregates(long_form(lt, rt, pair), pair, offset)
-    return slot_window_aggregates(slots, pair).drop("ws")
+    return long_windows(long_form(lt, rt, pair), pair, offset)
+
+
+def _label(windows: DataFrame, pair: MetricPair, thresholds: tuple[float, float] | None) -> DataFrame:
+    if pair.name == CPU_MEM.name:
+        cpu_t, mem_t = thresholds or (K.CPU_THRESHOLD, K.MEM_THRESHOLD)
+        return label_cpu_mem(windows, cpu_t, mem_t)
+    net_t, disk_t = thresholds or (K.NET_THRESHOLD, K.DISK_THRESHOLD)
+    return label_net_disk(windows, net_t, disk_t)
 
 
 def alerts(
@@ -63,13 +87,22 @@ def alerts(
     form: str = "slots",
     warmup: int = K.WARMUP_WINDOWS,
 ) -> DataFrame:
-    """Labelled alert rows of one job (unsorted; sort is the sink's job)."""
+    """Labelled alert rows of one job from two landed tables (unsorted;
+    sorting is the sink's job)."""
     windows = drop_warmup(combined_windows(left, right, pair, offset, form), warmup)
-    if pair.name == CPU_MEM.name:
-        cpu_t, mem_t = thresholds or (K.CPU_THRESHOLD, K.MEM_THRESHOLD)
-        return label_cpu_mem(windows, cpu_t, mem_t)
-    net_t, disk_t = thresholds or (K.NET_THRESHOLD, K.DISK_THRESHOLD)
-    return label_net_disk(windows, net_t, disk_t)
+    return _label(windows, pair, thresholds)
+
+
+def alerts_from_long(
+    long: DataFrame,
+    pair: MetricPair,
+    thresholds: tuple[float, float] | None = None,
+    offset: int | Column | None = None,
+    warmup: int = K.WARMUP_WINDOWS,
+) -> DataFrame:
+    """Labelled alert rows from one long-form input (server_id, sec, l, r),
+    e.g. `tagged_long_form` over a stream of both topics: one scan."""
+    return _label(drop_warmup(long_windows(long, pair, offset), warmup), pair, thresholds)
 
 
 def cpu_mem_alerts(

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import time_of_day_text
-from ..schemas import CPU, DISK, MEM, NET, Metric
+from ..schemas import CPU, DISK, MEM, NET, Metric, MetricPair
 
 # --- fixed values: event adapter ------------------------------------------------
 SERVER_COUNT = 5
@@ -67,6 +67,27 @@ def metric_table(events: DataFrame, metric: Metric) -> DataFrame:
     )
 
 
+def pair_long_table(events: DataFrame, pair: MetricPair) -> DataFrame:
+    """Long form (server_id, sec, l, r) of a metric pair from ONE scan of `events`.
+
+    Same rows as `long_form` over the two metric tables, but the table
+    is read once with `event_type IN (...)` pushed to the scan, instead
+    of once per metric.
+    """
+    from ..operators.windows import tagged_long_form
+
+    lt, rt = _event_type_of(pair.left), _event_type_of(pair.right)
+    et = F.col("event_type")
+    both = events.filter(et.isin(lt, rt)).select(
+        "event_type",
+        time_of_day_text("ts").alias("ts"),
+        server_of(F.col("user_id")).alias("server_id"),
+        *_measures(pair.left),
+        *_measures(pair.right),
+    )
+    return tagged_long_form(both, pair, et == F.lit(lt), et == F.lit(rt))
+
+
 def metric_tables(events: DataFrame) -> dict[str, DataFrame]:
     return {m.name: metric_table(events, m) for m in (CPU, MEM, NET, DISK)}
 

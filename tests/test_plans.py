@@ -55,3 +55,15 @@ def test_csv_scan_prunes_columns(spark):
     p = _plan(net_disk_alerts(net, disk))
     schemas = [seg.split("\n")[0] for seg in p.split("ReadSchema")[1:]]
     assert schemas and all("net_out" not in s for s in schemas)
+
+
+def test_single_scan_flagship_reads_events_once(spark):
+    import __spark_entry__ as E
+
+    df = E.queries()["cpu_mem_alerts"](spark, SF01)
+    tree = main_tree(df)
+    assert tree.count("Scan parquet") == 1 and tree.count("Exchange") == 2, tree
+    fmt = plan_text(df)
+    assert "In(event_type, [click,view])" in fmt
+    sub = fmt.split(SUBQUERIES)[1]
+    assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string>" in sub
