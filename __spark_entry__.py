@@ -22,7 +22,16 @@ from fleetpulse.functions import constants as K
 from fleetpulse.functions import time_of_day_text
 from fleetpulse.operators.combine import combine_windows
 from fleetpulse.operators.event_time import with_event_time
-from fleetpulse.operators.records import decode, fan_out, quarantine, records_long, replay_order, route, topic_counts
+from fleetpulse.operators.records import (
+    decode,
+    fan_out,
+    quarantine,
+    records_long,
+    replay_order,
+    route,
+    route_all,
+    topic_counts,
+)
 from fleetpulse.operators.status import input_status, offset_column, window_offset
 from fleetpulse.operators.warmup import rank_windows
 from fleetpulse.operators.windows import window_aggregate
@@ -229,8 +238,8 @@ def _routed_union(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def q_encode_decode_route(spark, sf_dir):
-    d = decode(event_records(read_events(spark, sf_dir)))
-    return _routed_union({n: route(d, METRICS[n]) for n in ("cpu", "mem", "net", "disk")})
+    """Encode every event's records, decode once, route all four topics."""
+    return route_all(decode(event_records(read_events(spark, sf_dir))))
 
 
 def q_topic_counts(spark, sf_dir):

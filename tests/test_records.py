@@ -89,3 +89,24 @@ def test_fan_out_is_narrow(spark):
     plan = decode(fan_out(samples, "00:00:00"))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_route_all_equals_union_of_routes(spark):
+    from fleetpulse.operators.records import route_all
+
+    d = decode(_records(spark, FIX))
+    got = rows(route_all(d))
+    want = []
+    for m in (CPU, MEM, NET, DISK):
+        for r in route(d, m).collect():
+            extra = r["net_out"] if "net_out" in m.measures else None
+            want.append((m.name, r.ts, r.server_id, None if r[m.measure] is None else float(r[m.measure]), extra))
+    assert got == sorted(want, key=lambda t: tuple((x is not None, x) for x in t))
+
+
+def test_decode_parses_once(spark):
+    from fleetpulse.operators.records import records_long
+    from fleetpulse.plans.inspect import plan_text
+    from fleetpulse.schemas import CPU_MEM
+
+    assert plan_text(records_long(decode(_records(spark, FIX)), CPU_MEM)).count("from_json") == 1
