@@ -49,7 +49,7 @@ from fleetpulse.schemas import (
     NET_DISK_ALERT_SCHEMA,
 )
 from fleetpulse.session import shared_dir
-from fleetpulse.sources.csv_tables import read_metric, read_samples, write_table
+from fleetpulse.sources.csv_tables import read_samples, write_table
 from fleetpulse.sources.events import (
     event_records,
     metric_table,
@@ -58,7 +58,7 @@ from fleetpulse.sources.events import (
     server_of,
     wide_samples,
 )
-from fleetpulse.streaming.ingest import land_stream, metric_stream, read_record_files
+from fleetpulse.streaming.ingest import land_stream, landing_counts, metric_stream, read_landed, read_record_files
 from fleetpulse.streaming.windows import bootstrap_offset, enable_state_store, stream_alert_rows, stream_alerts
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -283,7 +283,15 @@ def q_landed_metrics(spark, sf_dir):
     base = _record_files(spark, sf_dir, "landed")
     names = ("cpu", "mem", "net", "disk")
     land_stream(read_record_files(spark, f"{base}/records"), f"{base}/landed", names, f"{base}/ck").awaitTermination()
-    return _routed_union({n: read_metric(spark, n, f"{base}/landed/{n}", recursive=True) for n in names})
+    return _routed_union({n: read_landed(spark, n, f"{base}/landed/{n}") for n in names})
+
+
+def q_landed_topic_counts(spark, sf_dir):
+    """A9 on a stream: per-topic counts of a landing run, several micro-batches."""
+    base = _record_files(spark, sf_dir, "landed_counts")
+    src = read_record_files(spark, f"{base}/records", max_files=2)
+    land_stream(src, f"{base}/landed", ("cpu", "mem", "net", "disk"), f"{base}/ck", fmt="parquet").awaitTermination()
+    return landing_counts(spark, f"{base}/landed")
 
 
 def q_empty_metric_landed(spark, sf_dir):
@@ -293,7 +301,7 @@ def q_empty_metric_landed(spark, sf_dir):
     land_stream(read_record_files(spark, f"{base}/records"), f"{base}/landed", ("cpu", "mem"), f"{base}/ck").awaitTermination()
     out = None
     for n in ("cpu", "mem"):
-        df = read_metric(spark, n, f"{base}/landed/{n}", recursive=True)
+        df = read_landed(spark, n, f"{base}/landed/{n}")
         row = df.agg(F.count(F.lit(1)).alias("rows")).select(
             F.lit(n).alias("metric"), "rows", F.lit(len(df.columns)).alias("columns")
         )
@@ -350,6 +358,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_round_trip": q_csv_round_trip,
         "wide_csv_round_trip": q_wide_csv_round_trip,
         "landed_metrics": q_landed_metrics,
+        "landed_topic_counts": q_landed_topic_counts,
         "empty_metric_landed": q_empty_metric_landed,
         "stream_cpu_mem_alerts": q_stream_cpu_mem_alerts,
     }
@@ -624,6 +633,7 @@ def oracle_sql() -> dict[str, str]:
         "csv_round_trip": _net_disk_sql(),
         "wide_csv_round_trip": _wide_round_trip_sql(),
         "landed_metrics": _routed_sql(),
+        "landed_topic_counts": _topic_counts_sql(),
         "empty_metric_landed": _empty_landed_sql(),
         "stream_cpu_mem_alerts": _stream_alerts_sql(),
     }

@@ -9,10 +9,14 @@ they are stateless column expressions.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.records import decode, route
-from ..schemas import METRICS, RECORD_SCHEMA
+from ..operators.records import decode, route, topic_counts
+from ..schemas import METRICS, RECORD_SCHEMA, Metric
+from ..sources.csv_tables import read_metric
+
+COUNTS = "counts"
 
 
 def read_record_files(spark: SparkSession, path: str, fmt: str = "parquet", max_files: int | None = None) -> DataFrame:
@@ -34,29 +38,58 @@ def land_stream(
     metrics: tuple[str, ...],
     checkpoint: str,
     available_now: bool = True,
+    fmt: str = "csv",
 ) -> StreamingQuery:
-    """Land each metric of a record stream as its own CSV table.
+    """Land each metric of a record stream as its own table.
 
     One query reads the source once per micro-batch; the batch is decoded
     once and routed to every metric table. Each micro-batch writes into
     its own `batch=<id>` folder with overwrite, so a batch replayed after
     a failure rewrites the same folder: exactly-once output on top of the
     checkpointed source offsets. Every batch writes every metric, empty
-    or not, so a metric without records is still a readable, typed
-    (header-only) table (S11). Read a landed table back with
-    `read_metric(..., recursive=True)`.
+    or not, so a metric without records is still a readable, typed table
+    (S11). Per-topic message, stored and quarantined counts of the batch
+    go to `<base>/counts` (A9; `landing_counts` sums them).
+
+    `fmt="csv"` (with header) is the reference's landing format; use
+    `"parquet"` at scale. Read a landed table back with `read_landed`.
     """
     base = base_path.rstrip("/")
 
     def _land(batch: DataFrame, batch_id: int) -> None:
         decoded = decode(batch).persist()
         try:
+            part = f"batch={batch_id:012d}"
             for name in metrics:
-                out = f"{base}/{name}/batch={batch_id:012d}"
-                route(decoded, METRICS[name]).write.mode("overwrite").option("header", True).csv(out)
+                w = route(decoded, METRICS[name]).write.mode("overwrite")
+                if fmt == "csv":
+                    w.option("header", True).csv(f"{base}/{name}/{part}")
+                else:
+                    w.format(fmt).save(f"{base}/{name}/{part}")
+            counts = topic_counts(decoded).withColumn("batch_id", F.lit(batch_id).cast("long"))
+            counts.write.mode("overwrite").parquet(f"{base}/{COUNTS}/{part}")
         finally:
             decoded.unpersist()
 
     w = records.writeStream.foreachBatch(_land).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
+
+
+def read_landed(spark: SparkSession, metric: Metric | str, path: str, fmt: str = "csv") -> DataFrame:
+    """A metric table landed by `land_stream` (all micro-batch folders)."""
+    m = METRICS[metric] if isinstance(metric, str) else metric
+    if fmt == "csv":
+        return read_metric(spark, m, path, recursive=True)
+    return spark.read.schema(m.schema).option("recursiveFileLookup", True).format(fmt).load(path)
+
+
+def landing_counts(spark: SparkSession, base_path: str) -> DataFrame:
+    """Messages received, records stored and quarantined per topic over all
+    landed micro-batches (A9 for a stream)."""
+    per_batch = spark.read.option("recursiveFileLookup", True).parquet(f"{base_path.rstrip('/')}/{COUNTS}")
+    return per_batch.groupBy("topic").agg(
+        F.sum("messages").alias("messages"),
+        F.sum("stored").alias("stored"),
+        F.sum("quarantined").alias("quarantined"),
+    )
