@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..functions import event_seconds, round2, safe_ratio, slot_start
 from ..schemas import Metric, MetricPair
+from .event_time import has_event_time
 
 WINDOW = f"{K.WINDOW_SECONDS} seconds"
 SLIDE = f"{K.SLIDE_SECONDS} seconds"
@@ -75,8 +76,9 @@ def window_aggregate(typed: DataFrame, metric: Metric, offset: int | Column) ->
     """
     v = F.col(metric.value_alias)
     agg = F.avg(v) if metric.agg == "avg" else F.max(v)
+    timed = has_event_time(typed.select("server_id", "ts_dt", metric.value_alias))
     return (
-        assign_windows(typed.select("server_id", "ts_dt", metric.value_alias), offset)
+        assign_windows(timed, offset)
         .groupBy("server_id", "window")
         .agg(round2(agg).alias(metric.output))
     )
