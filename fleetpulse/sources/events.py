@@ -34,8 +34,13 @@ NET_OUT_SCALE = 10.0
 DISK_SCALE = 15.0
 
 
+# Schema of the provided `events` table. Giving it skips schema inference
+# (a footer-reading job per read).
+EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
 def server_of(user_id: Column) -> Column:

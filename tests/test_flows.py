@@ -1,0 +1,40 @@
+"""Producer -> consumer -> job, on files of records; the submit entry."""
+
+from conftest import SF001, rows
+from pyspark.sql import functions as F
+
+from fleetpulse import cpu_mem_alerts
+from fleetpulse.plans.flows import consume, producer_records
+from fleetpulse.plans.submit import main as submit_main
+from fleetpulse.schemas import CPU_MEM_ALERT_SCHEMA
+from fleetpulse.session import shared_dir
+from fleetpulse.sources.csv_tables import write_table
+from fleetpulse.sources.events import read_events, wide_samples
+from fleetpulse.streaming.ingest import read_landed
+
+
+def test_produce_consume_job(spark):
+    base = shared_dir(spark, "flow")
+    samples = wide_samples(read_events(spark, SF001))
+    write_table(samples, f"{base}/dataset")
+    from fleetpulse.sources.csv_tables import read_samples
+
+    recs = producer_records(read_samples(spark, f"{base}/dataset"), "00:00:00")
+    assert recs.count() == 4 * samples.filter(F.col("ts").isNotNull()).count()
+    recs.write.parquet(f"{base}/topics")
+    consume(spark, "cpu_mem", f"{base}/landed", f"{base}/ck", record_files=f"{base}/topics").awaitTermination()
+    cpu, mem = read_landed(spark, "cpu", f"{base}/landed/cpu"), read_landed(spark, "mem", f"{base}/landed/mem")
+    assert cpu.count() == mem.count() == samples.count()
+    write_table(cpu, f"{base}/cpu_csv")
+    write_table(mem, f"{base}/mem_csv")
+    rc = submit_main(["cpu_mem", "--left", f"{base}/cpu_csv", "--right", f"{base}/mem_csv", "--out", f"{base}/out"])
+    assert rc == 0
+    out = spark.read.schema(CPU_MEM_ALERT_SCHEMA).option("header", True).csv(f"{base}/out")
+    assert rows(out) == rows(cpu_mem_alerts(cpu, mem))
+
+
+def test_submit_no_time_exit_code(spark):
+    base = shared_dir(spark, "submit")
+    spark.createDataFrame([("x", "a", 1.0)], "ts string, server_id string, cpu_pct float").write.option("header", True).csv(f"{base}/c")
+    spark.createDataFrame([], "ts string, server_id string, mem_pct float").write.option("header", True).csv(f"{base}/m")
+    assert submit_main(["cpu_mem", "--left", f"{base}/c", "--right", f"{base}/m", "--out", f"{base}/o"]) == 1
