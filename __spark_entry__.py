@@ -199,7 +199,7 @@ def q_event_time_parsed(spark, sf_dir):
     )
     landed = ev.select(text.alias("ts"), server_of(F.col("user_id")).alias("server_id"), F.col("value").alias("cpu_pct"))
     typed = with_event_time(landed, CPU, keep=("ts",))
-    return typed.select("ts", "server_id", F.unix_seconds("ts_dt").alias("sec"), "cpu_val")
+    return typed.select("ts", "server_id", F.date_format("ts_dt", "yyyy-MM-dd HH:mm:ss").alias("event_time"), "cpu_val")
 
 
 # --- records --------------------------------------------------------------------
@@ -491,7 +491,8 @@ FROM w GROUP BY server_id, ws"""
 def _window_offset_sql() -> str:
     return f"""WITH {_ADAPTER},
 u AS (SELECT {_sec()} AS sec FROM cpu UNION ALL SELECT {_sec()} AS sec FROM mem)
-SELECT min(sec) AS min_sec, CAST(coalesce({_pmod('min(sec)', 10)}, 0) AS INTEGER) AS window_offset FROM u"""
+SELECT CASE WHEN min(sec) IS NOT NULL THEN {_hms('min(sec)')} END AS earliest,
+       CAST(coalesce({_pmod('min(sec)', 10)}, 0) AS INTEGER) AS window_offset FROM u"""
 
 
 def _combined_windows_sql() -> str:
@@ -516,7 +517,9 @@ a AS (SELECT count(*) FILTER (WHERE side = 0) AS left_rows,
              count(*) FILTER (WHERE side = 0 AND sec IS NOT NULL) AS left_timed,
              count(*) FILTER (WHERE side = 1 AND sec IS NOT NULL) AS right_timed,
              min(sec) AS min_sec FROM u)
-SELECT *, CAST(coalesce({_pmod('min_sec', 10)}, 0) AS INTEGER) AS window_offset,
+SELECT left_rows, right_rows, left_timed, right_timed,
+       CASE WHEN min_sec IS NOT NULL THEN {_hms('min_sec')} END AS earliest,
+       CAST(coalesce({_pmod('min_sec', 10)}, 0) AS INTEGER) AS window_offset,
        CASE WHEN left_rows + right_rows = 0 THEN 'no data'
             WHEN left_timed + right_timed = 0 THEN 'no event time' ELSE 'ok' END AS status
 FROM a"""
@@ -532,7 +535,7 @@ def _event_time_sql() -> str:
            ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS ts,
          {_SERVER} AS server_id, CAST(value AS FLOAT) AS cpu_val
   FROM events)
-SELECT ts, server_id, {_sec()} AS sec, cpu_val FROM t"""
+SELECT ts, server_id, CASE WHEN {_sec()} IS NOT NULL THEN '1970-01-01 ' || ts END AS event_time, cpu_val FROM t"""
 
 
 def _replay_order_sql() -> str:

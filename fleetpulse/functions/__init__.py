@@ -6,8 +6,10 @@ from .timeofday import (
     event_seconds,
     format_seconds,
     parse_time_of_day,
+    session_instant,
     slot_start,
     time_of_day_text,
+    wall_clock_as_utc,
 )
 
 __all__ = [
@@ -18,6 +20,8 @@ __all__ = [
     "parse_time_of_day",
     "round2",
     "safe_ratio",
+    "session_instant",
     "slot_start",
     "time_of_day_text",
+    "wall_clock_as_utc",
 ]

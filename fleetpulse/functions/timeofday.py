@@ -48,6 +48,21 @@ def format_seconds(seconds: Column | str) -> Column:
     return F.date_format(F.timestamp_seconds(_col(seconds)), LABEL_FORMAT)
 
 
+def wall_clock_as_utc(t: Column | str) -> Column:
+    """Session-local timestamp -> the same wall-clock time as a UTC instant.
+
+    Times of day on 1970-01-01 are then never before the epoch, whatever
+    the session time zone; streaming watermarks start at the epoch and
+    would treat earlier rows as late.
+    """
+    return F.from_utc_timestamp(_col(t), F.current_timezone())
+
+
+def session_instant(t: Column | str) -> Column:
+    """Inverse of `wall_clock_as_utc`."""
+    return F.to_utc_timestamp(_col(t), F.current_timezone())
+
+
 def time_of_day_text(ts: Column | str) -> Column:
     """Timestamp -> `HH:mm:ss` text, fractions dropped (event adapter)."""
     return F.date_format(_col(ts), LABEL_FORMAT)

@@ -12,42 +12,53 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..functions import event_seconds
+from ..functions import parse_time_of_day
 
 STATUS_OK = "ok"
 STATUS_NO_DATA = "no data"
 STATUS_NO_TIME = "no event time"
 
 
-def _tagged_seconds(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(side, sec) rows of both landed tables; `sec` null when unparseable."""
-    return left.select(F.lit(0).alias("side"), event_seconds("ts").alias("sec")).unionByName(
-        right.select(F.lit(1).alias("side"), event_seconds("ts").alias("sec"))
+def _tagged_times(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(side, t) rows of both landed tables; `t` null when unparseable."""
+    return left.select(F.lit(0).alias("side"), parse_time_of_day("ts").alias("t")).unionByName(
+        right.select(F.lit(1).alias("side"), parse_time_of_day("ts").alias("t"))
     )
 
 
+def _earliest_columns(t_min: Column) -> list[Column]:
+    """Earliest event as `HH:mm:ss` text, and the window offset from it."""
+    return [
+        F.date_format(t_min, K.LABEL_FORMAT).alias("earliest"),
+        offset_from_min(F.unix_seconds(t_min)).alias("window_offset"),
+    ]
+
+
 def input_status(left: DataFrame, right: DataFrame) -> DataFrame:
     """One-row summary of two landed metric tables.
 
     Columns: `left_rows`, `right_rows`, `left_timed`, `right_timed`
-    (rows with a parseable time), `min_sec` (earliest event, epoch
-    seconds, null if none), `window_offset` (A3) and `status`:
+    (rows with a parseable time), `earliest` (earliest event time as
+    `HH:mm:ss`, null if none), `window_offset` (A3) and `status`:
     `no data` when both tables are empty (P12: success, nothing to
     write), `no event time` when no row has a parseable time (P13:
     error), else `ok`.
     """
-    t = _tagged_seconds(left, right)
+    t = _tagged_times(left, right)
     is_left, is_right = F.col("side") == 0, F.col("side") == 1
     agg = t.agg(
         F.count_if(is_left).alias("left_rows"),
         F.count_if(is_right).alias("right_rows"),
-        F.count_if(is_left & F.col("sec").isNotNull()).alias("left_timed"),
-        F.count_if(is_right & F.col("sec").isNotNull()).alias("right_timed"),
-        F.min("sec").alias("min_sec"),
+        F.count_if(is_left & F.col("t").isNotNull()).alias("left_timed"),
+        F.count_if(is_right & F.col("t").isNotNull()).alias("right_timed"),
+        F.min("t").alias("t_min"),
     )
     return agg.select(
-        "*",
-        offset_from_min(F.col("min_sec")).alias("window_offset"),
+        "left_rows",
+        "right_rows",
+        "left_timed",
+        "right_timed",
+        *_earliest_columns(F.col("t_min")),
         F.when((F.col("left_rows") + F.col("right_rows")) == 0, F.lit(STATUS_NO_DATA))
         .when((F.col("left_timed") + F.col("right_timed")) == 0, F.lit(STATUS_NO_TIME))
         .otherwise(F.lit(STATUS_OK))
@@ -56,22 +67,23 @@ def input_status(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def offset_from_min(min_sec: Column) -> Column:
-    """Alignment offset = earliest event mod slide, never negative; 0 if none (A3)."""
+    """Alignment offset = earliest event (epoch seconds) mod slide, never
+    negative; 0 if none (A3)."""
     return F.coalesce(F.pmod(min_sec, F.lit(K.SLIDE_SECONDS)), F.lit(0)).cast("int")
 
 
 def window_offset(*landed: DataFrame) -> DataFrame:
-    """One row: `min_sec` over all given landed tables and `window_offset` (A2, A3).
+    """One row: `earliest` event time over all given landed tables and the
+    `window_offset` derived from it (A2, A3).
 
     `min` ignores nulls, so a table without any parseable time does not
     take part, as in the reference.
     """
-    secs = None
+    times = None
     for df in landed:
-        s = df.select(event_seconds("ts").alias("sec"))
-        secs = s if secs is None else secs.unionByName(s)
-    agg = secs.agg(F.min("sec").alias("min_sec"))
-    return agg.select("min_sec", offset_from_min(F.col("min_sec")).alias("window_offset"))
+        s = df.select(parse_time_of_day("ts").alias("t"))
+        times = s if times is None else times.unionByName(s)
+    return times.agg(F.min("t").alias("t_min")).select(*_earliest_columns(F.col("t_min")))
 
 
 def offset_column(*landed: DataFrame) -> Column:

@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import constants as K
-from ..functions import round2
+from ..functions import round2, session_instant, wall_clock_as_utc
 from ..operators.alerts import label_cpu_mem, label_net_disk
 from ..operators.event_time import with_event_time
 from ..operators.status import window_offset
@@ -63,15 +63,18 @@ def stream_windows(
     def agg(metric, c):
         return round2(F.avg(c) if metric.agg == "avg" else F.max(c)).alias(metric.output)
 
+    # Watermark and windows run on the wall-clock time as a UTC instant
+    # (`et`), never before the epoch; bounds go back to session time after.
     return (
         long.filter(F.col("ts_dt").isNotNull())
-        .withWatermark("ts_dt", watermark)
-        .groupBy("server_id", sliding_window("ts_dt", offset).alias("window"))
+        .withColumn("et", wall_clock_as_utc("ts_dt"))
+        .withWatermark("et", watermark)
+        .groupBy("server_id", sliding_window("et", offset).alias("window"))
         .agg(agg(pair.left, F.col("l")), agg(pair.right, F.col("r")))
         .select(
             "server_id",
-            F.col("window.start").alias("wstart"),
-            F.col("window.end").alias("wend"),
+            session_instant("window.start").alias("wstart"),
+            session_instant("window.end").alias("wend"),
             pair.left.output,
             pair.right.output,
         )

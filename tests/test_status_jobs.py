@@ -17,7 +17,7 @@ def _cm(spark, cpu, mem):
 def test_status_values(spark):
     cpu, mem = _cm(spark, [("00:00:07", "a", 1.0), ("bad", "a", 2.0)], [("00:00:13", "b", 1.0)])
     r = input_status(cpu, mem).first()
-    assert (r.left_rows, r.right_rows, r.left_timed, r.right_timed, r.min_sec, r.window_offset, r.status) == (2, 1, 1, 1, 7, 7, "ok")
+    assert (r.left_rows, r.right_rows, r.left_timed, r.right_timed, r.earliest, r.window_offset, r.status) == (2, 1, 1, 1, "00:00:07", 7, "ok")
 
 
 def test_status_no_data_and_no_time(spark):
@@ -25,7 +25,7 @@ def test_status_no_data_and_no_time(spark):
     assert input_status(cpu, mem).first().status == "no data"
     cpu, mem = _cm(spark, [("x", "a", 1.0)], [(None, "b", 1.0)])
     r = input_status(cpu, mem).first()
-    assert r.status == "no event time" and r.window_offset == 0 and r.min_sec is None
+    assert r.status == "no event time" and r.window_offset == 0 and r.earliest is None
 
 
 def test_offset_ignores_side_without_time(spark):
