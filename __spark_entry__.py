@@ -168,8 +168,8 @@ def q_window_offset(spark, sf_dir):
 def q_combined_windows(spark, sf_dir):
     t = _tables(spark, sf_dir)
     off = offset_column(t["cpu"], t["mem"])
-    a = window_aggregate(with_event_time(t["cpu"], CPU), CPU, off)
-    b = window_aggregate(with_event_time(t["mem"], MEM), MEM, off)
+    a = window_aggregate(with_event_time(t["cpu"], CPU), CPU, off, keyed=True)
+    b = window_aggregate(with_event_time(t["mem"], MEM), MEM, off, keyed=True)
     return _labels(combine_windows(a, b), "avg_cpu", "avg_mem")
 
 

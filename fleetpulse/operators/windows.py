@@ -67,21 +67,32 @@ def assign_windows(df: DataFrame, offset: int | Column, ts_col: str = "ts_dt") -
     )
 
 
-def window_aggregate(typed: DataFrame, metric: Metric, offset: int | Column) -> DataFrame:
+# Non-null stand-ins for the server key, used by `window_aggregate(keyed=True)`.
+SERVER_KEY = "_server_key"
+SERVER_IS_NULL = "_server_is_null"
+
+
+def window_aggregate(typed: DataFrame, metric: Metric, offset: int | Column, keyed: bool = False) -> DataFrame:
     """Per-metric rounded aggregate per (server, window).
 
     `typed` is the output of `with_event_time`. Average for CPU/memory,
     maximum for network/disk, rounded half-up to two decimals; null
     values are ignored but still make the window exist.
+
+    `keyed=True` groups on (`_server_key`, `_server_is_null`, `window`)
+    instead: a non-null form of the server id (null server = one group).
+    Two such aggregates then join on plain equality, co-partitioned with
+    their own shuffles (see `combine_windows`).
     """
     v = F.col(metric.value_alias)
     agg = F.avg(v) if metric.agg == "avg" else F.max(v)
     timed = has_event_time(typed.select("server_id", "ts_dt", metric.value_alias))
-    return (
-        assign_windows(timed, offset)
-        .groupBy("server_id", "window")
-        .agg(round2(agg).alias(metric.output))
-    )
+    windowed = assign_windows(timed, offset)
+    if keyed:
+        sid = F.col("server_id")
+        keys = [F.coalesce(sid, F.lit("")).alias(SERVER_KEY), sid.isNull().alias(SERVER_IS_NULL), F.col("window")]
+        return windowed.groupBy(*keys).agg(round2(agg).alias(metric.output))
+    return windowed.groupBy("server_id", "window").agg(round2(agg).alias(metric.output))
 
 
 # ---------------------------------------------------------------------------

@@ -62,8 +62,8 @@ def combined_windows(
     if form == "join":
         long = long_form(lt, rt, pair)
         off = long_offset(long) if offset is None else offset
-        a = window_aggregate(lt, pair.left, off)
-        b = window_aggregate(rt, pair.right, off)
+        a = window_aggregate(lt, pair.left, off, keyed=True)
+        b = window_aggregate(rt, pair.right, off, keyed=True)
         return combine_windows(a, b)
     if form != "slots":
         raise ValueError(f"unknown form {form!r}")

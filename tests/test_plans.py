@@ -29,11 +29,14 @@ def test_slot_plan_two_shuffles_no_cartesian(spark):
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string>" in sub
 
 
-def test_join_plan_is_sort_merge_full_outer(spark):
+def test_join_plan_is_co_partitioned_sort_merge_full_outer(spark):
     t = metric_tables(read_events(spark, SF01))
-    p = _plan(net_disk_alerts(t["net"], t["disk"], form="join"))
+    df = net_disk_alerts(t["net"], t["disk"], form="join")
+    p = _plan(df)
     assert "SortMergeJoin" in p and "FullOuter" in p
     assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
+    # one shuffle per metric aggregate, none for the join, one for the rank
+    assert main_tree(df).count("Exchange") == 3
 
 
 def test_unused_net_out_is_pruned_from_scan(spark):
