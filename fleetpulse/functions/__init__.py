@@ -4,7 +4,6 @@ from . import constants
 from .numeric import nan_to_null, round2, safe_ratio
 from .timeofday import (
     event_seconds,
-    format_seconds,
     parse_time_of_day,
     session_instant,
     slot_start,
@@ -15,7 +14,6 @@ from .timeofday import (
 __all__ = [
     "constants",
     "event_seconds",
-    "format_seconds",
     "nan_to_null",
     "parse_time_of_day",
     "round2",

@@ -1,4 +1,4 @@
-"""Column functions for `HH:mm:ss` event times (P9, P15, T1 arithmetic).
+"""Column functions for `HH:mm:ss` event times (P9, T1 arithmetic).
 
 All of them are built-in Catalyst expressions, so they stay inside
 whole-stage codegen; no Python runs per row.
@@ -43,11 +43,6 @@ def slot_start(seconds: Column | str, offset: Column | int) -> Column:
     return s - F.pmod(s - off, F.lit(SLIDE_SECONDS))
 
 
-def format_seconds(seconds: Column | str) -> Column:
-    """Epoch seconds -> `HH:mm:ss` label in the session time zone."""
-    return F.date_format(F.timestamp_seconds(_col(seconds)), LABEL_FORMAT)
-
-
 def wall_clock_as_utc(t: Column | str) -> Column:
     """Session-local timestamp -> the same wall-clock time as a UTC instant.
 
