@@ -58,7 +58,7 @@ from fleetpulse.sources.events import (
     server_of,
     wide_samples,
 )
-from fleetpulse.streaming.ingest import land_stream, landing_counts, metric_stream, read_landed, read_record_files
+from fleetpulse.streaming.ingest import land_stream, landing_counts, read_landed, read_record_files
 from fleetpulse.streaming.windows import bootstrap_offset, enable_state_store, stream_alert_rows, stream_alerts
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -317,7 +317,7 @@ def q_stream_cpu_mem_alerts(spark, sf_dir):
     offset = bootstrap_offset(route(batch_recs, CPU), route(batch_recs, MEM))
     s = read_record_files(spark, f"{base}/records")
     rows = stream_alert_rows(
-        metric_stream(s, "cpu"), metric_stream(s, "mem"), offset=offset,
+        long=records_long(decode(s), CPU_MEM), offset=offset,
         watermark=f"{STREAM_WATERMARK_SECONDS} seconds",
     )
     stream_alerts(rows, f"{base}/alerts", f"{base}/ck").awaitTermination()

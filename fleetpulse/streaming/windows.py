@@ -25,7 +25,7 @@ from ..functions import round2, session_instant, wall_clock_as_utc
 from ..operators.alerts import label_cpu_mem, label_net_disk
 from ..operators.event_time import with_event_time
 from ..operators.status import window_offset
-from ..operators.windows import sliding_window
+from ..operators.windows import long_form, sliding_window
 from ..schemas import CPU_MEM, MetricPair
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -37,28 +37,21 @@ def bootstrap_offset(*landed: DataFrame) -> int:
     return int(row.window_offset)
 
 
-def stream_windows(
-    left: DataFrame,
-    right: DataFrame,
+def stream_windows_long(
+    long: DataFrame,
     pair: MetricPair,
     offset: int = 0,
     watermark: str = "60 seconds",
 ) -> DataFrame:
-    """Windowed aggregates of both metrics of a pair from two landed-row streams.
-
-    Output (append mode): `server_id`, `wstart`, `wend` (timestamps),
-    and the pair's two rounded aggregates. A window is emitted once the
-    watermark passes its end; rows later than the watermark are dropped.
+    """Windowed aggregates of both metrics from a long-form stream.
+
+    `long` is (server_id, sec, l, r): `long_form` of two streams, or
+    `records.records_long` of one stream of both topics (one read per
+    micro-batch). Output (append mode): `server_id`, `wstart`, `wend`
+    (timestamps) and the pair's two rounded aggregates. A window is
+    emitted once the watermark passes its end; rows later than the
+    watermark are dropped.
     """
-    lt, rt = with_event_time(left, pair.left), with_event_time(right, pair.right)
-    lv, rv = pair.left.value_alias, pair.right.value_alias
-    long = lt.select(
-        "server_id", "ts_dt", F.col(lv).cast(pair.left.dtype).alias("l"), F.lit(None).cast(pair.right.dtype).alias("r")
-    ).unionByName(
-        rt.select(
-            "server_id", "ts_dt", F.lit(None).cast(pair.left.dtype).alias("l"), F.col(rv).cast(pair.right.dtype).alias("r")
-        )
-    )
 
     def agg(metric, c):
         return round2(F.avg(c) if metric.agg == "avg" else F.max(c)).alias(metric.output)
@@ -66,8 +59,7 @@ def stream_windows(
     # Watermark and windows run on the wall-clock time as a UTC instant
     # (`et`), never before the epoch; bounds go back to session time after.
     return (
-        long.filter(F.col("ts_dt").isNotNull())
-        .withColumn("et", wall_clock_as_utc("ts_dt"))
+        long.withColumn("et", wall_clock_as_utc(F.timestamp_seconds("sec")))
         .withWatermark("et", watermark)
         .groupBy("server_id", sliding_window("et", offset).alias("window"))
         .agg(agg(pair.left, F.col("l")), agg(pair.right, F.col("r")))
@@ -81,6 +73,18 @@ def stream_windows(
     )
 
 
+def stream_windows(
+    left: DataFrame,
+    right: DataFrame,
+    pair: MetricPair,
+    offset: int = 0,
+    watermark: str = "60 seconds",
+) -> DataFrame:
+    """`stream_windows_long` over two landed-row streams."""
+    lt, rt = with_event_time(left, pair.left), with_event_time(right, pair.right)
+    return stream_windows_long(long_form(lt, rt, pair), pair, offset, watermark)
+
+
 class WarmupDrop(StatefulProcessor):
     """Per server, drop the first `n` windows that reach it (T4).
 
@@ -128,15 +132,23 @@ def enable_state_store(spark: SparkSession) -> None:
 
 
 def stream_alert_rows(
-    left: DataFrame,
-    right: DataFrame,
+    left: DataFrame | None = None,
+    right: DataFrame | None = None,
     pair: MetricPair = CPU_MEM,
     offset: int = 0,
     watermark: str = "60 seconds",
     thresholds: tuple[float, float] | None = None,
+    long: DataFrame | None = None,
 ) -> DataFrame:
-    """Labelled alert rows of a pair, as a stream."""
-    kept = stream_drop_warmup(stream_windows(left, right, pair, offset, watermark))
+    """Labelled alert rows of a pair, as a stream.
+
+    Give two landed-row streams (`left`, `right`) or one long-form
+    stream (`long`, e.g. `records_long` of a stream of both topics).
+    """
+    if long is None:
+        lt, rt = with_event_time(left, pair.left), with_event_time(right, pair.right)
+        long = long_form(lt, rt, pair)
+    kept = stream_drop_warmup(stream_windows_long(long, pair, offset, watermark))
     framed = kept.withColumn(
         "window", F.struct(F.col("wstart").alias("start"), F.col("wend").alias("end"))
     )
