@@ -41,6 +41,7 @@ def consume(
     servers=None,
     record_files: str | None = None,
     fmt: str = "csv",
+    min_partitions: int | None = None,
 ) -> StreamingQuery:
     """Consumer: subscribe to a role's two topics and land them.
 
@@ -49,7 +50,7 @@ def consume(
     from the checkpoint.
     """
     if servers is not None:
-        records = read_topics(spark, servers, CONSUMER_TOPICS[role], streaming=True)
+        records = read_topics(spark, servers, CONSUMER_TOPICS[role], streaming=True, min_partitions=min_partitions)
     elif record_files is not None:
         records = read_record_files(spark, record_files)
     else:

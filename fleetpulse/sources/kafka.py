@@ -17,7 +17,12 @@ CPU_MEM_TOPICS = (K.TOPIC_CPU, K.TOPIC_MEM)
 NET_DISK_TOPICS = (K.TOPIC_NET, K.TOPIC_DISK)
 
 
-def source_options(servers: str | list[str], topics: tuple[str, ...], starting: str = "earliest") -> dict[str, str]:
+def source_options(
+    servers: str | list[str],
+    topics: tuple[str, ...],
+    starting: str = "earliest",
+    min_partitions: int | None = None,
+) -> dict[str, str]:
     """Subscribe to `topics` from the earliest offset.
 
     The reference's consumer group with auto-commit becomes the stream's
@@ -25,14 +30,23 @@ def source_options(servers: str | list[str], topics: tuple[str, ...], starting:
     its 30 s idle stop becomes `trigger(availableNow=True)`: read what is
     there, then stop. `failOnDataLoss=false` keeps a query alive when the
     broker has already aged out old offsets.
+
+    Spark reads one task per Kafka partition by default, and the
+    reference's topics have two partitions. `min_partitions` (for
+    example the cluster's core count) has Spark split each partition's
+    offset range over more tasks, so decoding scales past the broker's
+    partition count.
     """
     bootstrap = servers if isinstance(servers, str) else ",".join(servers)
-    return {
+    opts = {
         "kafka.bootstrap.servers": bootstrap,
         "subscribe": ",".join(topics),
         "startingOffsets": starting,
         "failOnDataLoss": "false",
     }
+    if min_partitions:
+        opts["minPartitions"] = str(int(min_partitions))
+    return opts
 
 
 def sink_options(servers: str | list[str]) -> dict[str, str]:
@@ -41,10 +55,16 @@ def sink_options(servers: str | list[str]) -> dict[str, str]:
     return {"kafka.bootstrap.servers": bootstrap, "kafka.acks": "all"}
 
 
-def read_topics(spark: SparkSession, servers, topics: tuple[str, ...], streaming: bool = True) -> DataFrame:
+def read_topics(
+    spark: SparkSession,
+    servers,
+    topics: tuple[str, ...],
+    streaming: bool = True,
+    min_partitions: int | None = None,
+) -> DataFrame:
     """Records (topic, key, value) from Kafka, as a stream or a batch."""
     reader = spark.readStream if streaming else spark.read
-    opts = source_options(servers, topics)
+    opts = source_options(servers, topics, min_partitions=min_partitions)
     if not streaming:
         opts["endingOffsets"] = "latest"
     return reader.format("kafka").options(**opts).load().select("topic", "key", "value")

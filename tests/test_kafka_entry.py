@@ -16,6 +16,7 @@ def test_source_options():
         "failOnDataLoss": "false",
     }
     assert kafka.sink_options("b:9092") == {"kafka.bootstrap.servers": "b:9092", "kafka.acks": "all"}
+    assert kafka.source_options("b:9092", kafka.NET_DISK_TOPICS, min_partitions=64)["minPartitions"] == "64"
 
 
 def test_kafka_connector_absent_is_reported(spark):
