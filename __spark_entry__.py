@@ -59,7 +59,14 @@ from fleetpulse.sources.events import (
     wide_samples,
 )
 from fleetpulse.streaming.ingest import land_stream, landing_counts, read_landed, read_record_files
-from fleetpulse.streaming.windows import bootstrap_offset, enable_state_store, stream_alert_rows, stream_alerts
+from fleetpulse.streaming.windows import (
+    bootstrap_offset,
+    closing_windows,
+    enable_state_store,
+    final_watermark,
+    stream_alert_rows,
+    stream_alerts,
+)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 STAMP = "00:00:00"
@@ -324,6 +331,24 @@ def q_stream_cpu_mem_alerts(spark, sf_dir):
     return spark.read.schema(CPU_MEM_ALERT_SCHEMA).option("header", True).csv(f"{base}/alerts")
 
 
+def q_stream_cpu_mem_alerts_closed(spark, sf_dir):
+    """A bounded stream run to the end: streamed rows plus the windows its
+    final watermark left open (closed by a batch pass) = every alert row."""
+    base = _record_files(spark, sf_dir, "stream_closed")
+    enable_state_store(spark)
+    long_batch = records_long(decode(spark.read.parquet(f"{base}/records")), CPU_MEM)
+    offset = bootstrap_offset(*[route(decode(spark.read.parquet(f"{base}/records")), m) for m in (CPU, MEM)])
+    s = read_record_files(spark, f"{base}/records")
+    q = stream_alerts(
+        stream_alert_rows(long=records_long(decode(s), CPU_MEM), offset=offset,
+                          watermark=f"{STREAM_WATERMARK_SECONDS} seconds"),
+        f"{base}/alerts", f"{base}/ck",
+    )
+    q.awaitTermination()
+    streamed = spark.read.schema(CPU_MEM_ALERT_SCHEMA).option("header", True).csv(f"{base}/alerts")
+    return streamed.unionByName(closing_windows(long_batch, CPU_MEM, offset, final_watermark(q)))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query (CPU/MEM alerts) on /root/testdata/sf0.001."""
     return q_cpu_mem_alerts(spark, SMOKE_DIR)
@@ -361,6 +386,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "landed_topic_counts": q_landed_topic_counts,
         "empty_metric_landed": q_empty_metric_landed,
         "stream_cpu_mem_alerts": q_stream_cpu_mem_alerts,
+        "stream_cpu_mem_alerts_closed": q_stream_cpu_mem_alerts_closed,
     }
 
 
@@ -639,4 +665,5 @@ def oracle_sql() -> dict[str, str]:
         "landed_topic_counts": _topic_counts_sql(),
         "empty_metric_landed": _empty_landed_sql(),
         "stream_cpu_mem_alerts": _stream_alerts_sql(),
+        "stream_cpu_mem_alerts_closed": _records_alerts_sql("cpu_mem"),
     }

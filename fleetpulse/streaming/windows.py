@@ -23,9 +23,11 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from ..functions import constants as K
 from ..functions import round2, session_instant, wall_clock_as_utc
 from ..operators.alerts import label_cpu_mem, label_net_disk
+from ..operators.warmup import drop_warmup
 from ..operators.event_time import with_event_time
 from ..operators.status import window_offset
 from ..operators.windows import long_form, sliding_window
+from ..plans.jobs import long_windows
 from ..schemas import CPU_MEM, MetricPair
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -169,3 +171,39 @@ def stream_alerts(rows: DataFrame, path: str, checkpoint: str, available_now: bo
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
+
+
+def final_watermark(query: StreamingQuery) -> str | None:
+    """The event-time watermark a finished stream ended with (ISO text, UTC),
+    or None when it never set one."""
+    for progress in reversed(query.recentProgress or []):
+        wm = (progress.get("eventTime") or {}).get("watermark")
+        if wm:
+            return wm
+    return None
+
+
+def closing_windows(
+    long: DataFrame,
+    pair: MetricPair,
+    offset: int,
+    watermark: str | None,
+    thresholds: tuple[float, float] | None = None,
+) -> DataFrame:
+    """Alert rows a bounded stream left open: windows ending after `watermark`.
+
+    A drained stream (`availableNow`) emits a window only once the
+    watermark passes its end, so the last windows never come out. Run
+    this batch plan over the same data (`long` as a batch, e.g. the
+    landed tables) with the stream's offset and `final_watermark`; the
+    stream's rows plus these are the batch result. Rows the stream
+    dropped as late are not recovered (they are counted by the batch
+    only).
+    """
+    windows = drop_warmup(long_windows(long, pair, offset))
+    if watermark is not None:
+        wm = F.to_timestamp(F.lit(watermark))
+        windows = windows.filter(wall_clock_as_utc(F.col("window.end")) > wm)
+    if pair.name == CPU_MEM.name:
+        return label_cpu_mem(windows, *(thresholds or (K.CPU_THRESHOLD, K.MEM_THRESHOLD)))
+    return label_net_disk(windows, *(thresholds or (K.NET_THRESHOLD, K.DISK_THRESHOLD)))

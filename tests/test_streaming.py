@@ -73,3 +73,25 @@ def test_stream_equals_batch_on_closed_windows(spark):
     # only windows still open behind the final watermark are missing
     assert len(missing) <= 10 and all(r.window_end >= "23:5" for r in missing)
     assert got.count() > 2000
+
+
+def test_stream_plus_closing_windows_is_batch(spark):
+    from fleetpulse.operators.records import records_long
+    from fleetpulse.schemas import CPU_MEM
+    from fleetpulse.streaming.windows import closing_windows, final_watermark
+
+    base = shared_dir(spark, "closing")
+    enable_state_store(spark)
+    event_records(read_events(spark, SF001)).write.parquet(f"{base}/in")
+    s = read_record_files(spark, f"{base}/in")
+    q = stream_alerts(stream_alert_rows(long=records_long(decode(s), CPU_MEM), offset=0), f"{base}/out", f"{base}/ck")
+    q.awaitTermination()
+    wm = final_watermark(q)
+    assert wm is not None
+    streamed = spark.read.schema(CPU_MEM_ALERT_SCHEMA).option("header", True).csv(f"{base}/out")
+    long = records_long(decode(spark.read.parquet(f"{base}/in")), CPU_MEM)
+    tail = closing_windows(long, CPU_MEM, 0, wm)
+    batch = cpu_mem_alerts(*[route(decode(spark.read.parquet(f"{base}/in")), m) for m in (CPU, MEM)], offset=0)
+    both = streamed.unionByName(tail)
+    assert tail.count() > 0
+    assert both.exceptAll(batch).count() == 0 and batch.exceptAll(both).count() == 0
