@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetpulse import cpu_mem_alerts
 from fleetpulse.operators.records import decode, route
-from fleetpulse.schemas import CPU, CPU_MEM_ALERT_SCHEMA, MEM
+from fleetpulse.schemas import CPU, CPU_MEM_ALERT_SCHEMA, MEM, NET
 from fleetpulse.session import shared_dir
 from fleetpulse.sources.csv_tables import read_metric
 from fleetpulse.sources.events import event_records, read_events
@@ -95,3 +95,22 @@ def test_stream_plus_closing_windows_is_batch(spark):
     both = streamed.unionByName(tail)
     assert tail.count() > 0
     assert both.exceptAll(batch).count() == 0 and batch.exceptAll(both).count() == 0
+
+
+def test_batch_landing_and_parquet_landing(spark):
+    from fleetpulse.sources.csv_tables import land_metrics
+    from fleetpulse.streaming.ingest import landing_counts, read_landed
+
+    base = shared_dir(spark, "landbatch")
+    recs = event_records(read_events(spark, SF001))
+    d = decode(recs)
+    paths = land_metrics(d, f"{base}/csv", ("net", "disk"))
+    net = read_metric(spark, "net", paths["net"])
+    assert net.exceptAll(route(d, NET)).count() == 0 and route(d, NET).exceptAll(net).count() == 0
+    recs.write.parquet(f"{base}/in")
+    land_stream(read_record_files(spark, f"{base}/in"), f"{base}/pq", ("cpu",), f"{base}/ck", fmt="parquet").awaitTermination()
+    cpu = read_landed(spark, "cpu", f"{base}/pq/cpu", fmt="parquet")
+    assert cpu.columns == ["ts", "server_id", "cpu_pct"]
+    assert cpu.exceptAll(route(d, CPU)).count() == 0 and route(d, CPU).exceptAll(cpu).count() == 0
+    counts = {r.topic: (r.messages, r.stored, r.quarantined) for r in landing_counts(spark, f"{base}/pq").collect()}
+    assert counts["topic-disk"][2] > 0 and counts["topic-other"][1] == 0
