@@ -13,12 +13,9 @@ from the data already there.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import constants as K
 from ..functions import round2, session_instant, wall_clock_as_utc
@@ -87,42 +84,20 @@ def stream_windows(
     return stream_windows_long(long_form(lt, rt, pair), pair, offset, watermark)
 
 
-class WarmupDrop(StatefulProcessor):
-    """Per server, drop the first `n` windows that reach it (T4).
-
-    Windows of one length close in start order as the watermark moves,
-    so the first `n` windows a server emits are its `n` earliest: the
-    batch rank rule (W1, W2), kept as one small counter per server.
-    """
-
-    def __init__(self, n: int = K.WARMUP_WINDOWS):
-        self.n = n
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", T.StructType([T.StructField("count", T.LongType())]))
-
-    def handleInputRows(self, key, rows, timerValues):
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values("wstart", kind="stable")
-        before = int(self.seen.get()[0]) if self.seen.exists() else 0
-        if before < self.n:
-            self.seen.update((min(self.n, before + len(pdf)),))
-        skip = max(0, self.n - before)
-        if skip < len(pdf):
-            yield pdf.iloc[skip:]
-
-    def close(self) -> None:
-        pass
-
-
 def stream_drop_warmup(windows: DataFrame, n: int = K.WARMUP_WINDOWS) -> DataFrame:
-    """Apply `WarmupDrop` to the windows of `stream_windows` (T4).
+    """Apply `warmup_state.WarmupDrop` to the windows of `stream_windows` (T4).
 
     Needs the RocksDB state store; `enable_state_store` sets it on the
     session before the query starts.
     """
+    from pyspark import cloudpickle
+
+    from . import warmup_state
+
+    cloudpickle.register_pickle_by_value(warmup_state)
     schema = windows.schema
     return windows.groupBy("server_id").transformWithStateInPandas(
-        statefulProcessor=WarmupDrop(n),
+        statefulProcessor=warmup_state.WarmupDrop(n),
         outputStructType=schema,
         outputMode="Append",
         timeMode="None",
