@@ -13,8 +13,15 @@ write under the session's shared checkpoint folder and read back.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
+# Importable however this file is loaded (by module name or by path).
+_ROOT = os.path.dirname(os.path.abspath(__file__))
+if _ROOT not in sys.path:
+    sys.path.insert(0, _ROOT)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
