@@ -58,10 +58,12 @@ from fleetpulse.schemas import (
 from fleetpulse.session import shared_dir
 from fleetpulse.sources.csv_tables import read_samples, write_table
 from fleetpulse.sources.events import (
+    EVENTS_SCHEMA,
     event_records,
     metric_table,
     pair_long_table,
     read_events,
+    read_events_at,
     server_of,
     wide_samples,
 )
@@ -106,6 +108,11 @@ def q_net_disk_alerts(spark, sf_dir):
     return alerts_from_long(pair_long_table(read_events(spark, sf_dir), NET_DISK), NET_DISK)
 
 
+def q_cpu_mem_alerts_full_time(spark, sf_dir):
+    """The CPU/MEM job on full event times (D8): days are not folded together."""
+    return alerts_from_long(pair_long_table(read_events(spark, sf_dir), CPU_MEM, full_time=True), CPU_MEM)
+
+
 def q_cpu_mem_alerts_two_tables(spark, sf_dir):
     """The same job over two landed metric tables, as the reference job reads them."""
     t = _tables(spark, sf_dir)
@@ -356,6 +363,25 @@ def q_stream_cpu_mem_alerts_closed(spark, sf_dir):
     return streamed.unionByName(closing_windows(long_batch, CPU_MEM, offset, final_watermark(q)))
 
 
+def q_stream_cpu_mem_alerts_full_time(spark, sf_dir):
+    """A stream of the events themselves, windowed on their full timestamps (D8),
+    run to the end and closed: a month of data, no midnight wrap."""
+    base = shared_dir(spark, "stream_full")
+    read_events(spark, sf_dir).write.parquet(f"{base}/events")
+    enable_state_store(spark)
+    long_batch = pair_long_table(read_events_at(spark, f"{base}/events"), CPU_MEM, full_time=True)
+    offset = int(long_batch.agg(F.pmod(F.min("sec"), F.lit(10)).alias("o")).first().o)
+    src = spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{base}/events")
+    q = stream_alerts(
+        stream_alert_rows(long=pair_long_table(src, CPU_MEM, full_time=True), offset=offset,
+                          watermark=f"{STREAM_WATERMARK_SECONDS} seconds"),
+        f"{base}/alerts", f"{base}/ck",
+    )
+    q.awaitTermination()
+    streamed = spark.read.schema(CPU_MEM_ALERT_SCHEMA).option("header", True).csv(f"{base}/alerts")
+    return streamed.unionByName(closing_windows(long_batch, CPU_MEM, offset, final_watermark(q)))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query (CPU/MEM alerts) on /root/testdata/sf0.001."""
     return q_cpu_mem_alerts(spark, SMOKE_DIR)
@@ -365,6 +391,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "cpu_mem_alerts": q_cpu_mem_alerts,
         "net_disk_alerts": q_net_disk_alerts,
+        "cpu_mem_alerts_full_time": q_cpu_mem_alerts_full_time,
         "cpu_mem_alerts_two_tables": q_cpu_mem_alerts_two_tables,
         "net_disk_alerts_two_tables": q_net_disk_alerts_two_tables,
         "cpu_mem_alerts_join_form": q_cpu_mem_alerts_join_form,
@@ -394,6 +421,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "empty_metric_landed": q_empty_metric_landed,
         "stream_cpu_mem_alerts": q_stream_cpu_mem_alerts,
         "stream_cpu_mem_alerts_closed": q_stream_cpu_mem_alerts_closed,
+        "stream_cpu_mem_alerts_full_time": q_stream_cpu_mem_alerts_full_time,
     }
 
 
@@ -456,12 +484,15 @@ def _pmod(a: str, n: int) -> str:
     return f"((({a}) % {n} + {n}) % {n})"
 
 
-def _windows_sql(left: str, lcol: str, right: str, rcol: str, agg: str) -> str:
-    """CTEs u (long form), o (offset), s (slots), w (rows per window), g (aggregates), k (ranked)."""
+def _windows_sql(left: str, lcol: str, right: str, rcol: str, agg: str, sec: str | None = None) -> str:
+    """CTEs u (long form), o (offset), s (slots), w (rows per window), g (aggregates), k (ranked).
+
+    `sec` overrides the event-seconds expression (default: time of day of `ts`)."""
+    sec = sec or _sec()
     return f"""
-u AS (SELECT server_id, {_sec()} AS sec, CAST({lcol} AS DOUBLE) AS l, CAST(NULL AS DOUBLE) AS r FROM {left}
+u AS (SELECT server_id, {sec} AS sec, CAST({lcol} AS DOUBLE) AS l, CAST(NULL AS DOUBLE) AS r FROM {left}
       UNION ALL
-      SELECT server_id, {_sec()} AS sec, CAST(NULL AS DOUBLE) AS l, CAST({rcol} AS DOUBLE) AS r FROM {right}),
+      SELECT server_id, {sec} AS sec, CAST(NULL AS DOUBLE) AS l, CAST({rcol} AS DOUBLE) AS r FROM {right}),
 o AS (SELECT coalesce({_pmod('min(sec)', 10)}, 0) AS off, max(sec) AS max_sec FROM u),
 s AS (SELECT server_id, sec - {_pmod('sec - (SELECT off FROM o)', 10)} AS slot, l, r
       FROM u WHERE sec IS NOT NULL),
@@ -486,6 +517,16 @@ def _cpu_mem_sql(cpu_t: float = K.CPU_THRESHOLD, mem_t: float = K.MEM_THRESHOLD)
     return f"WITH {_ADAPTER},{_windows_sql('cpu', 'cpu_pct', 'mem', 'mem_pct', 'avg')}\n{_cpu_mem_select(cpu_t, mem_t)}"
 
 
+def _cpu_mem_full_time_sql() -> str:
+    full = f"""
+fcpu AS (SELECT CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS fsec, {_SERVER} AS server_id,
+                CAST(value AS FLOAT) AS cpu_pct FROM events WHERE event_type = 'click'),
+fmem AS (SELECT CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS fsec, {_SERVER} AS server_id,
+                CAST(value AS FLOAT) AS mem_pct FROM events WHERE event_type = 'view')"""
+    return (f"WITH {full},{_windows_sql('fcpu', 'cpu_pct', 'fmem', 'mem_pct', 'avg', sec='fsec')}\n"
+            f"{_cpu_mem_select(K.CPU_THRESHOLD, K.MEM_THRESHOLD)}")
+
+
 def _net_disk_sql(net_t: float = K.NET_THRESHOLD, disk_t: float = K.DISK_THRESHOLD) -> str:
     return f"WITH {_ADAPTER},{_windows_sql('net', 'net_in', 'disk', 'disk_io', 'max')}\n{_net_disk_select(net_t, disk_t)}"
 
@@ -644,6 +685,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "cpu_mem_alerts": _cpu_mem_sql(),
         "net_disk_alerts": _net_disk_sql(),
+        "cpu_mem_alerts_full_time": _cpu_mem_full_time_sql(),
         "cpu_mem_alerts_two_tables": _cpu_mem_sql(),
         "net_disk_alerts_two_tables": _net_disk_sql(),
         "cpu_mem_alerts_join_form": _cpu_mem_sql(),
@@ -673,4 +715,5 @@ def oracle_sql() -> dict[str, str]:
         "empty_metric_landed": _empty_landed_sql(),
         "stream_cpu_mem_alerts": _stream_alerts_sql(),
         "stream_cpu_mem_alerts_closed": _records_alerts_sql("cpu_mem"),
+        "stream_cpu_mem_alerts_full_time": _cpu_mem_full_time_sql(),
     }

@@ -142,15 +142,26 @@ def long_form(left_typed: DataFrame, right_typed: DataFrame, pair: MetricPair) -
     return left.unionByName(right).filter(F.col("sec").isNotNull())
 
 
-def tagged_long_form(df: DataFrame, pair: MetricPair, is_left: Column, is_right: Column) -> DataFrame:
+def tagged_long_form(
+    df: DataFrame,
+    pair: MetricPair,
+    is_left: Column,
+    is_right: Column,
+    event_time: Column | None = None,
+) -> DataFrame:
     """Long form from ONE input holding both metrics, tagged per row.
 
     `df` has `ts` (text), `server_id` and the pair's measure columns;
     `is_left`/`is_right` say which metric a row carries (a topic or an
     event type; at most one holds per row). One scan feeds both metrics,
     as when one consumer subscribes to both topics.
+
+    By default the event time is the `HH:mm:ss` text on 1970-01-01, as in
+    the reference. `event_time` (a full timestamp) replaces it (decision
+    D8): days then stay apart and a stream can run past midnight. Window
+    labels stay `HH:mm:ss`.
     """
-    sec = event_seconds(F.col("ts"))
+    sec = event_seconds(F.col("ts")) if event_time is None else F.unix_seconds(event_time)
     return (
         df.filter(is_left | is_right)
         .select(

@@ -40,7 +40,11 @@ EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type s
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+    return read_events_at(spark, f"{sf_dir}/events.parquet")
+
+
+def read_events_at(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(EVENTS_SCHEMA).parquet(path)
 
 
 def server_of(user_id: Column) -> Column:
@@ -72,12 +76,13 @@ def metric_table(events: DataFrame, metric: Metric) -> DataFrame:
     )
 
 
-def pair_long_table(events: DataFrame, pair: MetricPair) -> DataFrame:
+def pair_long_table(events: DataFrame, pair: MetricPair, full_time: bool = False) -> DataFrame:
     """Long form (server_id, sec, l, r) of a metric pair from ONE scan of `events`.
 
     Same rows as `long_form` over the two metric tables, but the table
     is read once with `event_type IN (...)` pushed to the scan, instead
-    of once per metric.
+    of once per metric. `full_time=True` uses the event's full timestamp
+    (seconds, fractions dropped) instead of its time of day (D8).
     """
     from ..operators.windows import tagged_long_form
 
@@ -86,11 +91,13 @@ def pair_long_table(events: DataFrame, pair: MetricPair) -> DataFrame:
     both = events.filter(et.isin(lt, rt)).select(
         "event_type",
         time_of_day_text("ts").alias("ts"),
+        F.date_trunc("second", F.col("ts").cast("timestamp")).alias("event_time"),
         server_of(F.col("user_id")).alias("server_id"),
         *_measures(pair.left),
         *_measures(pair.right),
     )
-    return tagged_long_form(both, pair, et == F.lit(lt), et == F.lit(rt))
+    full = F.col("event_time") if full_time else None
+    return tagged_long_form(both, pair, et == F.lit(lt), et == F.lit(rt), event_time=full)
 
 
 def metric_tables(events: DataFrame) -> dict[str, DataFrame]:

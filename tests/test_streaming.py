@@ -114,3 +114,29 @@ def test_batch_landing_and_parquet_landing(spark):
     assert cpu.exceptAll(route(d, CPU)).count() == 0 and route(d, CPU).exceptAll(cpu).count() == 0
     counts = {r.topic: (r.messages, r.stored, r.quarantined) for r in landing_counts(spark, f"{base}/pq").collect()}
     assert counts["topic-disk"][2] > 0 and counts["topic-other"][1] == 0
+
+
+def test_full_time_stream_runs_past_midnight(spark):
+    """On full event times a stream crosses days without dropping the next
+    day's rows as late; stream + closing windows = batch."""
+    from fleetpulse.plans.jobs import alerts_from_long
+    from fleetpulse.schemas import CPU_MEM
+    from fleetpulse.sources.events import EVENTS_SCHEMA, pair_long_table, read_events_at
+    from fleetpulse.streaming.windows import closing_windows, final_watermark
+
+    base = shared_dir(spark, "fullday")
+    enable_state_store(spark)
+    ev = read_events(spark, SF001)
+    ev.filter("ts < timestamp_ntz'2024-01-16 00:00:00'").write.parquet(f"{base}/in/1")
+    ev.filter("ts >= timestamp_ntz'2024-01-16 00:00:00'").write.parquet(f"{base}/in/2")
+    long_batch = pair_long_table(read_events_at(spark, f"{base}/in/*"), CPU_MEM, full_time=True)
+    off = int(long_batch.agg(F.pmod(F.min("sec"), F.lit(10)).alias("o")).first().o)
+    src = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/*")
+    q = stream_alerts(stream_alert_rows(long=pair_long_table(src, CPU_MEM, full_time=True), offset=off), f"{base}/out", f"{base}/ck")
+    q.awaitTermination()
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 2
+    streamed = spark.read.schema(CPU_MEM_ALERT_SCHEMA).option("header", True).csv(f"{base}/out")
+    both = streamed.unionByName(closing_windows(long_batch, CPU_MEM, off, final_watermark(q)))
+    batch = alerts_from_long(long_batch, CPU_MEM, offset=off)
+    assert both.exceptAll(batch).count() == 0 and batch.exceptAll(both).count() == 0
+    assert streamed.count() > 0.9 * batch.count()
