@@ -1,4 +1,4 @@
-"""Batch job runner: CSV tables in, guarded, alerts CSV out.
+"""Batch job runner: landed tables in, guarded, alerts CSV out.
 
 The reference job scans each input five times (two counts, an
 existence probe, a minimum, the result). Here: one aggregate pass gives
@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 
 from ..operators.status import STATUS_NO_DATA, STATUS_NO_TIME, input_status
 from ..schemas import PAIRS, MetricPair
-from ..sources.csv_tables import read_metric, write_alerts
+from ..sources.csv_tables import read_table, write_alerts
 from .jobs import alerts
 
 
@@ -39,15 +39,17 @@ def run_alert_job(
     out_path: str,
     thresholds: tuple[float, float] | None = None,
     single_file: bool = False,
+    fmt: str = "csv",
 ) -> JobResult:
-    """Run one alert job over landed CSV tables.
+    """Run one alert job over landed tables (CSV by default, as the
+    reference; `fmt="parquet"` at scale).
 
     Both inputs empty -> status `no data`, nothing written (P12). No
     parseable time anywhere -> `NoEventTimeError` (P13).
     """
     p = PAIRS[pair] if isinstance(pair, str) else pair
-    left = read_metric(spark, p.left, left_path)
-    right = read_metric(spark, p.right, right_path)
+    left = read_table(spark, p.left, left_path, fmt)
+    right = read_table(spark, p.right, right_path, fmt)
     st = input_status(left, right).first()
     if st.status == STATUS_NO_DATA:
         return JobResult(st.status, 0, 0, None, None)

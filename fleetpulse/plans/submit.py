@@ -1,7 +1,7 @@
 """`spark-submit` entry for one alert job over landed CSV tables.
 
     spark-submit fleetpulse/plans/submit.py cpu_mem --left cpu_data --right mem_data \
-        --out cpu_mem_alerts [--left-threshold 80.07] [--right-threshold 89.36] [--single-file]
+        --out cpu_mem_alerts [--left-threshold 80.07] [--right-threshold 89.36] [--single-file] [--format parquet]
 
 Exit status: 0 on success or when both inputs are empty (nothing is
 written), 1 when no input row has a parseable time.
@@ -27,6 +27,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--left-threshold", type=float)
     p.add_argument("--right-threshold", type=float)
     p.add_argument("--single-file", action="store_true")
+    p.add_argument("--format", default="csv", help="format of the input tables (csv, parquet, ...)")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"fleetpulse-{a.job}").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -43,7 +44,7 @@ def main(argv: list[str] | None = None) -> int:
             defaults[1] if a.right_threshold is None else a.right_threshold,
         )
     try:
-        res = run_alert_job(spark, a.job, a.left, a.right, a.out, thresholds, a.single_file)
+        res = run_alert_job(spark, a.job, a.left, a.right, a.out, thresholds, a.single_file, a.format)
     except NoEventTimeError as e:
         print(f"error: {e}", file=sys.stderr)
         return 1

@@ -46,6 +46,21 @@ def read_metric(spark: SparkSession, metric: Metric | str, path: str, recursive:
     return _nan_free(_read_csv(spark, m.schema, path, recursive), m.measures)
 
 
+def read_table(spark: SparkSession, metric: Metric | str, path: str, fmt: str = "csv", recursive: bool = False) -> DataFrame:
+    """A landed metric table in any file format; CSV goes through `read_metric`.
+
+    Parquet (recommended at scale) lets scans read only the columns a
+    plan uses. NaN measures read as null in every format (D5).
+    """
+    m = METRICS[metric] if isinstance(metric, str) else metric
+    if fmt == "csv":
+        return read_metric(spark, m, path, recursive)
+    r = spark.read.schema(m.schema)
+    if recursive:
+        r = r.option("recursiveFileLookup", True)
+    return _nan_free(r.format(fmt).load(path), m.measures)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with header; null as an empty field."""
     df.write.mode(mode).option("header", True).csv(path)

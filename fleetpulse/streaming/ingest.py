@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.records import decode, route, topic_counts
 from ..schemas import METRICS, RECORD_SCHEMA, Metric
-from ..sources.csv_tables import read_metric
+from ..sources.csv_tables import read_table
 
 COUNTS = "counts"
 
@@ -78,10 +78,7 @@ def land_stream(
 
 def read_landed(spark: SparkSession, metric: Metric | str, path: str, fmt: str = "csv") -> DataFrame:
     """A metric table landed by `land_stream` (all micro-batch folders)."""
-    m = METRICS[metric] if isinstance(metric, str) else metric
-    if fmt == "csv":
-        return read_metric(spark, m, path, recursive=True)
-    return spark.read.schema(m.schema).option("recursiveFileLookup", True).format(fmt).load(path)
+    return read_table(spark, metric, path, fmt, recursive=True)
 
 
 def landing_counts(spark: SparkSession, base_path: str) -> DataFrame:

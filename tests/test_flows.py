@@ -38,3 +38,16 @@ def test_submit_no_time_exit_code(spark):
     spark.createDataFrame([("x", "a", 1.0)], "ts string, server_id string, cpu_pct float").write.option("header", True).csv(f"{base}/c")
     spark.createDataFrame([], "ts string, server_id string, mem_pct float").write.option("header", True).csv(f"{base}/m")
     assert submit_main(["cpu_mem", "--left", f"{base}/c", "--right", f"{base}/m", "--out", f"{base}/o"]) == 1
+
+
+def test_submit_on_parquet_tables(spark):
+    base = shared_dir(spark, "submitpq")
+    spark.createDataFrame([("00:00:05", "a", 90.0), ("00:00:25", "a", 10.0)], "ts string, server_id string, cpu_pct float").write.parquet(f"{base}/c")
+    spark.createDataFrame([("00:00:05", "a", float("nan"))], "ts string, server_id string, mem_pct float").write.parquet(f"{base}/m")
+    assert submit_main(["cpu_mem", "--left", f"{base}/c", "--right", f"{base}/m", "--out", f"{base}/o", "--format", "parquet"]) == 0
+    out = spark.read.schema(CPU_MEM_ALERT_SCHEMA).option("header", True).csv(f"{base}/o")
+    assert rows(out) == [
+        ("a", "00:00:05", "00:00:35", 50.0, None, None),
+        ("a", "00:00:15", "00:00:45", 10.0, None, None),
+        ("a", "00:00:25", "00:00:55", 10.0, None, None),
+    ]
