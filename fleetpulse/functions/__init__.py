@@ -4,6 +4,7 @@ from . import constants
 from .numeric import nan_to_null, round2, safe_ratio
 from .timeofday import (
     event_seconds,
+    once,
     parse_time_of_day,
     session_instant,
     slot_start,
@@ -15,6 +16,7 @@ __all__ = [
     "constants",
     "event_seconds",
     "nan_to_null",
+    "once",
     "parse_time_of_day",
     "round2",
     "safe_ratio",

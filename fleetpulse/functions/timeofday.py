@@ -26,6 +26,18 @@ def parse_time_of_day(ts: Column | str) -> Column:
     return F.try_to_timestamp(text, F.lit(PARSE_FORMAT))
 
 
+def once(c: Column) -> Column:
+    """Evaluate `c` once per row, even when later filters test its result.
+
+    Catalyst pushes a filter on a projected column below the projection
+    and copies the expression into it, so an expensive expression (a
+    time parse, a JSON parse) runs once in the filter and again in the
+    projection. A one-element `explode` is a generator: predicates on its
+    output stay above it. One generator per `select`.
+    """
+    return F.explode(F.array(c))
+
+
 def event_seconds(ts: Column | str) -> Column:
     """`HH:mm:ss` text -> epoch seconds (long) of that time on 1970-01-01."""
     return F.unix_seconds(parse_time_of_day(ts))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import parse_time_of_day
+from ..functions import once, parse_time_of_day
 from ..schemas import Metric
 
 
@@ -18,7 +18,8 @@ def with_event_time(df: DataFrame, metric: Metric, keep: tuple[str, ...] = ()) -
     (`cpu_pct` -> `cpu_val`, `mem_pct` -> `mem_val`; net/disk keep names).
     `keep` names input columns to carry along unchanged.
     """
-    cols = [*[F.col(c) for c in keep], F.col("server_id"), parse_time_of_day("ts").alias("ts_dt")]
+    # Parsed once per row: the not-null filters downstream read `ts_dt`.
+    cols = [*[F.col(c) for c in keep], F.col("server_id"), once(parse_time_of_day("ts")).alias("ts_dt")]
     for m in metric.measures:
         name = metric.value_alias if m == metric.measure else m
         dtype = metric.dtype if m == metric.measure else "double"

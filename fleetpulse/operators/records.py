@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import constants as K
-from ..functions import nan_to_null
+from ..functions import nan_to_null, once
 from ..schemas import METRICS, Metric, MetricPair
 
 CORRUPT = "_corrupt_record"
@@ -94,12 +94,10 @@ def decode(records: DataFrame) -> DataFrame:
     """
     text = F.col("value").cast("string")
     j = F.from_json(text, _value_schema(), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    # Parse once. As a plain projection, every later filter on a parsed
-    # field (validity, topic routing, time) is pushed below it with the
-    # parse inlined, so each record would be parsed once per predicate.
-    # A one-element explode is a barrier: predicates on its output stay
-    # above it and read the parsed struct.
-    parsed = records.select("topic", "key", text.alias("text"), F.explode(F.array(j)).alias("j"))
+    # Parse once: as a plain projection, every later filter on a parsed
+    # field (validity, topic routing, time) would be pushed below it with
+    # the parse copied in, one parse per predicate (see `once`).
+    parsed = records.select("topic", "key", text.alias("text"), once(j).alias("j"))
     valid = F.col("j").isNotNull() & F.col(f"j.{CORRUPT}").isNull()
     return parsed.select(
         "topic",

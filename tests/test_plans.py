@@ -70,3 +70,13 @@ def test_single_scan_flagship_reads_events_once(spark):
     assert "In(event_type, [click,view])" in fmt
     sub = fmt.split(SUBQUERIES)[1]
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string>" in sub
+
+
+def test_time_parsed_once_per_row(spark):
+    import __spark_entry__ as E
+
+    for name in ("cpu_mem_alerts", "cpu_mem_alerts_two_tables"):
+        main = plan_text(E.queries()[name](spark, SF01)).split(SUBQUERIES)[0]
+        details = main.split("\n\n", 1)[1]
+        # one parse per scan branch: the flagship has one scan, the two-table form two
+        assert details.count("gettimestamp(") == main_tree(E.queries()[name](spark, SF01)).count("Scan parquet"), name
