@@ -8,6 +8,7 @@ from .timeofday import (
     parse_time_of_day,
     session_instant,
     slot_start,
+    time_of_day_instant,
     time_of_day_text,
     wall_clock_as_utc,
 )
@@ -22,6 +23,7 @@ __all__ = [
     "safe_ratio",
     "session_instant",
     "slot_start",
+    "time_of_day_instant",
     "time_of_day_text",
     "wall_clock_as_utc",
 ]

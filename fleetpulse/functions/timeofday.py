@@ -55,6 +55,17 @@ def slot_start(seconds: Column | str, offset: Column | int) -> Column:
     return s - F.pmod(s - off, F.lit(SLIDE_SECONDS))
 
 
+def time_of_day_instant(ts: Column | str) -> Column:
+    """A timestamp's time of day (whole seconds) on 1970-01-01, session time zone.
+
+    The same instant as parsing its `HH:mm:ss` text with `parse_time_of_day`,
+    without formatting and parsing text: for sources that carry real
+    timestamps.
+    """
+    t = _col(ts)
+    return F.make_timestamp(F.lit(1970), F.lit(1), F.lit(1), F.hour(t), F.minute(t), F.second(t))
+
+
 def wall_clock_as_utc(t: Column | str) -> Column:
     """Session-local timestamp -> the same wall-clock time as a UTC instant.
 

@@ -75,8 +75,11 @@ def test_single_scan_flagship_reads_events_once(spark):
 def test_time_parsed_once_per_row(spark):
     import __spark_entry__ as E
 
-    for name in ("cpu_mem_alerts", "cpu_mem_alerts_two_tables"):
-        main = plan_text(E.queries()[name](spark, SF01)).split(SUBQUERIES)[0]
-        details = main.split("\n\n", 1)[1]
-        # one parse per scan branch: the flagship has one scan, the two-table form two
-        assert details.count("gettimestamp(") == main_tree(E.queries()[name](spark, SF01)).count("Scan parquet"), name
+    # landed text tables: one parse per scan branch (two scans)
+    main = plan_text(E.queries()["cpu_mem_alerts_two_tables"](spark, SF01)).split(SUBQUERIES)[0]
+    assert main.split("\n\n", 1)[1].count("gettimestamp(") == 2
+    # the flagship reads real timestamps: no text round trip at all
+    main = plan_text(E.queries()["cpu_mem_alerts"](spark, SF01)).split(SUBQUERIES)[0]
+    details = main.split("\n\n", 1)[1]
+    assert "gettimestamp(" not in details and "date_format(" in details.split("Window")[-1]
+    assert details.count("make_timestamp(") == 1
