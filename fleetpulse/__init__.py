@@ -1,6 +1,6 @@
 """fleetpulse: server-fleet metric windows and alerts on Spark DataFrames."""
 
-from .plans.jobs import alerts, combined_windows, cpu_mem_alerts, net_disk_alerts
+from .plans.jobs import alerts, alerts_from_long, combined_windows, cpu_mem_alerts, net_disk_alerts
 from .schemas import CPU, CPU_MEM, DISK, MEM, NET, NET_DISK
 
 __all__ = [
@@ -11,6 +11,7 @@ __all__ = [
     "NET",
     "NET_DISK",
     "alerts",
+    "alerts_from_long",
     "combined_windows",
     "cpu_mem_alerts",
     "net_disk_alerts",
