@@ -100,6 +100,21 @@ def window_aggregate(typed: DataFrame, metric: Metric, offset: int | Column, key
 # ---------------------------------------------------------------------------
 
 
+def partial_states(pair: MetricPair) -> list[Column]:
+    """Mergeable per-slot states of both metrics of a pair (`l`, `r` inputs)."""
+    return [*_partial_specs(pair.left, "l"), *_partial_specs(pair.right, "r")]
+
+
+def merged_states(pair: MetricPair) -> list[Column]:
+    """Merge of `partial_states` over the slots of a window."""
+    return [*_merge_specs(pair.left, "l"), *_merge_specs(pair.right, "r")]
+
+
+def final_measures(pair: MetricPair) -> list[Column]:
+    """Rounded window aggregates from merged states, named as the outputs."""
+    return [_final(pair.left, "l"), _final(pair.right, "r")]
+
+
 def _partial_specs(metric: Metric, col: str) -> list[Column]:
     v = F.col(col)
     if metric.agg == "avg":
@@ -188,7 +203,7 @@ def slot_aggregates(long: DataFrame, pair: MetricPair, offset: int | Column) ->
     return (
         long.withColumn("slot", slot_start(F.col("sec"), offset))
         .groupBy("server_id", "slot")
-        .agg(*_partial_specs(pair.left, "l"), *_partial_specs(pair.right, "r"))
+        .agg(*partial_states(pair))
     )
 
 
@@ -205,12 +220,6 @@ def slot_window_aggregates(slots: DataFrame, pair: MetricPair) -> DataFrame:
         slots.repartition("server_id")
         .withColumn("ws", F.explode(window_starts(F.col("slot"))))
         .groupBy("server_id", "ws")
-        .agg(*_merge_specs(pair.left, "l"), *_merge_specs(pair.right, "r"))
-    )
-    return merged.select(
-        "server_id",
-        "ws",
-        window_struct(F.col("ws")).alias("window"),
-        _final(pair.left, "l"),
-        _final(pair.right, "r"),
+        .agg(*merged_states(pair))
     )
+    return merged.select("server_id", "ws", window_struct(F.col("ws")).alias("window"), *final_measures(pair))

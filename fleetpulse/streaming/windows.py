@@ -18,12 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import constants as K
-from ..functions import round2, session_instant, wall_clock_as_utc
+from ..functions import session_instant, wall_clock_as_utc
 from ..operators.alerts import label_cpu_mem, label_net_disk
 from ..operators.warmup import drop_warmup
 from ..operators.event_time import with_event_time
 from ..operators.status import window_offset
-from ..operators.windows import long_form, sliding_window
+from ..operators.windows import final_measures, long_form, merged_states, partial_states, sliding_window
 from ..plans.jobs import long_windows
 from ..schemas import CPU_MEM, MetricPair
 
@@ -50,24 +50,32 @@ def stream_windows_long(
     (timestamps) and the pair's two rounded aggregates. A window is
     emitted once the watermark passes its end; rows later than the
     watermark are dropped.
-    """
-
-    def agg(metric, c):
-        return round2(F.avg(c) if metric.agg == "avg" else F.max(c)).alias(metric.output)
 
+    Two chained time-window aggregations, the slot plan on a stream:
+    raw rows -> 10 s slots of mergeable partial states (the one shuffle
+    of stream volume, one partial row per (server, slot) per task), then
+    slots -> 30 s windows by the slot's event time (`window_time`, the
+    slot's last instant, lies in exactly the three windows that hold the
+    slot). A slot is final once the watermark passes its end, and so is
+    a window, so both emit in the same micro-batch.
+    """
+    slot = F.window("et", f"{K.SLIDE_SECONDS} seconds", f"{K.SLIDE_SECONDS} seconds", f"{int(offset)} seconds")
     # Watermark and windows run on the wall-clock time as a UTC instant
     # (`et`), never before the epoch; bounds go back to session time after.
-    return (
+    slots = (
         long.withColumn("et", wall_clock_as_utc(F.timestamp_seconds("sec")))
         .withWatermark("et", watermark)
-        .groupBy("server_id", sliding_window("et", offset).alias("window"))
-        .agg(agg(pair.left, F.col("l")), agg(pair.right, F.col("r")))
+        .groupBy("server_id", slot.alias("slot"))
+        .agg(*partial_states(pair))
+    )
+    return (
+        slots.groupBy("server_id", sliding_window(F.window_time("slot"), offset).alias("window"))
+        .agg(*merged_states(pair))
         .select(
             "server_id",
             session_instant("window.start").alias("wstart"),
             session_instant("window.end").alias("wend"),
-            pair.left.output,
-            pair.right.output,
+            *final_measures(pair),
         )
     )
 

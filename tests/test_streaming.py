@@ -140,3 +140,22 @@ def test_full_time_stream_runs_past_midnight(spark):
     batch = alerts_from_long(long_batch, CPU_MEM, offset=off)
     assert both.exceptAll(batch).count() == 0 and batch.exceptAll(both).count() == 0
     assert streamed.count() > 0.9 * batch.count()
+
+
+def test_stream_plan_aggregates_slots_before_expanding(spark):
+    """Raw rows are shuffled once as slot partial states; only slots are
+    expanded into their three windows (two chained stateful aggregations)."""
+    from fleetpulse.operators.records import records_long
+    from fleetpulse.plans.inspect import plan_text
+    from fleetpulse.schemas import CPU_MEM
+    from fleetpulse.streaming.windows import stream_windows_long
+
+    base = shared_dir(spark, "splan")
+    event_records(read_events(spark, SF001)).write.parquet(f"{base}/in")
+    df = stream_windows_long(records_long(decode(read_record_files(spark, f"{base}/in")), CPU_MEM), CPU_MEM)
+    lines = plan_text(df, "simple").splitlines()
+    expand = [i for i, ln in enumerate(lines) if "Expand [" in ln]
+    exchanges = [i for i, ln in enumerate(lines) if "Exchange hashpartitioning" in ln]
+    assert sum("StateStoreSave" in ln for ln in lines) == 2
+    assert len(expand) == 1 and len(exchanges) == 2 and expand[0] < exchanges[-1]
+    assert sum("from_json(" in ln for ln in lines) == 1
