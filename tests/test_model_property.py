@@ -9,7 +9,7 @@ import model
 from fleetpulse import cpu_mem_alerts, net_disk_alerts
 from fleetpulse.operators.windows import tagged_long_form
 from fleetpulse.plans.jobs import alerts_from_long
-from fleetpulse.schemas import CPU_MEM, CPU_SCHEMA, DISK_SCHEMA, MEM_SCHEMA, NET_DISK, NET_SCHEMA
+from fleetpulse.schemas import CPU_MEM, CPU_SCHEMA, DISK_SCHEMA, MEM_SCHEMA, NET_SCHEMA
 
 times = st.one_of(
     st.integers(0, 150).map(lambda k: model.hms(20 * 3600 + 7 * k)),

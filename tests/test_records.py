@@ -3,7 +3,6 @@
 import json
 
 from conftest import rows
-from pyspark.sql import functions as F
 
 from fleetpulse.operators.records import decode, fan_out, quarantine, replay_order, route, topic_counts
 from fleetpulse.schemas import CPU, DISK, MEM, NET, RECORD_SCHEMA, WIDE_SCHEMA
