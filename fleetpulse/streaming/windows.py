@@ -1,14 +1,16 @@
 """Streaming windows, warm-up and alert sink.
 
-Streams use one aggregation: both metrics in long form, one
-`groupBy(server_id, window)` with per-metric aggregates, append mode
-behind a watermark. The batch slot plan needs two chained aggregations
-and a join of two streamed aggregates would hold unmatched windows back
-for another watermark step, so neither is used here.
+Streams run the batch slot plan as two chained time-window
+aggregations in append mode behind a watermark: raw rows into 10 s slot
+states, slots into 30 s windows (`stream_windows_long`). Then comes the
+per-server warm-up state (`stream_drop_warmup`) and the labels. A join
+of two streamed aggregates would hold unmatched windows back for
+another watermark step, so the join form is not used on streams.
 
 A stream cannot know the global earliest event in advance, so the
 window offset is a parameter (decision D7); `bootstrap_offset` derives it
-from the data already there.
+from the data already there. `closing_windows` computes the windows a
+bounded stream leaves open behind its final watermark.
 """
 
 from __future__ import annotations
@@ -93,7 +95,7 @@ def stream_windows(
 
 
 def stream_drop_warmup(windows: DataFrame, n: int = K.WARMUP_WINDOWS) -> DataFrame:
-    """Apply `warmup_state.WarmupDrop` to the windows of `stream_windows` (T4).
+    """Apply `warmup_state.WarmupDrop` to the windows of `stream_windows_long` (T4).
 
     Needs the RocksDB state store; `enable_state_store` sets it on the
     session before the query starts.
