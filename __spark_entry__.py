@@ -82,6 +82,12 @@ STAMP = "00:00:00"
 STREAM_WATERMARK_SECONDS = 60
 
 
+def _state_partitions(spark: SparkSession) -> int:
+    """State partitions for the stream queries: one per core; their state is
+    a few thousand windows (see `stream_alerts`)."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     ev = read_events(spark, sf_dir)
     return {m.name: metric_table(ev, m) for m in (CPU, MEM, NET, DISK)}
@@ -341,7 +347,7 @@ def q_stream_cpu_mem_alerts(spark, sf_dir):
         long=records_long(decode(s), CPU_MEM), offset=offset,
         watermark=f"{STREAM_WATERMARK_SECONDS} seconds",
     )
-    stream_alerts(rows, f"{base}/alerts", f"{base}/ck").awaitTermination()
+    stream_alerts(rows, f"{base}/alerts", f"{base}/ck", state_partitions=_state_partitions(spark)).awaitTermination()
     return spark.read.schema(CPU_MEM_ALERT_SCHEMA).option("header", True).csv(f"{base}/alerts")
 
 
@@ -356,7 +362,7 @@ def q_stream_cpu_mem_alerts_closed(spark, sf_dir):
     q = stream_alerts(
         stream_alert_rows(long=records_long(decode(s), CPU_MEM), offset=offset,
                           watermark=f"{STREAM_WATERMARK_SECONDS} seconds"),
-        f"{base}/alerts", f"{base}/ck",
+        f"{base}/alerts", f"{base}/ck", state_partitions=_state_partitions(spark),
     )
     q.awaitTermination()
     streamed = spark.read.schema(CPU_MEM_ALERT_SCHEMA).option("header", True).csv(f"{base}/alerts")
@@ -375,7 +381,7 @@ def q_stream_cpu_mem_alerts_full_time(spark, sf_dir):
     q = stream_alerts(
         stream_alert_rows(long=pair_long_table(src, CPU_MEM, full_time=True), offset=offset,
                           watermark=f"{STREAM_WATERMARK_SECONDS} seconds"),
-        f"{base}/alerts", f"{base}/ck",
+        f"{base}/alerts", f"{base}/ck", state_partitions=_state_partitions(spark),
     )
     q.awaitTermination()
     streamed = spark.read.schema(CPU_MEM_ALERT_SCHEMA).option("header", True).csv(f"{base}/alerts")

@@ -144,8 +144,23 @@ def stream_alert_rows(
     return label_net_disk(framed, *(thresholds or (K.NET_THRESHOLD, K.DISK_THRESHOLD)))
 
 
-def stream_alerts(rows: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Append alert rows to a CSV folder, checkpointed (T5)."""
+def stream_alerts(
+    rows: DataFrame,
+    path: str,
+    checkpoint: str,
+    available_now: bool = True,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Append alert rows to a CSV folder, checkpointed (T5).
+
+    `state_partitions` sets how many partitions each stateful operator
+    (slot states, window states, warm-up counters) has. Spark takes it
+    from `spark.sql.shuffle.partitions` when a checkpoint is first
+    created and keeps it for the checkpoint's life, so it is applied
+    only while the query starts. Size it to the state, not to the input:
+    a few thousand windows need a few partitions, each open partition
+    costs a state store per micro-batch. None keeps the session's value.
+    """
     w = (
         rows.writeStream.format("csv")
         .option("header", True)
@@ -154,8 +169,16 @@ def stream_alerts(rows: DataFrame, path: str, checkpoint: str, available_now: bo
         .outputMode("append")
     )
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start()
-
+    if state_partitions is None:
+        return w.start()
+    spark = rows.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(int(state_partitions)))
+    try:
+        return w.start()
+    finally:
+        spark.conf.set(key, before)
 
 
 def final_watermark(query: StreamingQuery) -> str | None:

@@ -159,3 +159,21 @@ def test_stream_plan_aggregates_slots_before_expanding(spark):
     assert sum("StateStoreSave" in ln for ln in lines) == 2
     assert len(expand) == 1 and len(exchanges) == 2 and expand[0] < exchanges[-1]
     assert sum("from_json(" in ln for ln in lines) == 1
+
+
+def test_state_partitions_fixed_in_checkpoint_only(spark):
+    import glob
+    import json
+
+    from fleetpulse.operators.records import records_long
+    from fleetpulse.schemas import CPU_MEM
+
+    base = shared_dir(spark, "stateparts")
+    enable_state_store(spark)
+    event_records(read_events(spark, SF001)).write.parquet(f"{base}/in")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    rows_ = stream_alert_rows(long=records_long(decode(read_record_files(spark, f"{base}/in")), CPU_MEM))
+    stream_alerts(rows_, f"{base}/out", f"{base}/ck", state_partitions=3).awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    meta = [json.loads(ln) for ln in open(sorted(glob.glob(f"{base}/ck/offsets/[0-9]*"))[0]) if ln.startswith("{")]
+    assert any(m.get("conf", {}).get("spark.sql.shuffle.partitions") == "3" for m in meta)
