@@ -61,9 +61,14 @@ def read_table(spark: SparkSession, metric: Metric | str, path: str, fmt: str =
     return _nan_free(r.format(fmt).load(path), m.measures)
 
 
+# Spark's CSV writer trims leading and trailing spaces by default (the
+# reader does not); values must come back as they were written.
+CSV_WRITE_OPTIONS = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with header; null as an empty field."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """CSV with header; null as an empty field; text kept exactly."""
+    df.write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
 
 
 def land_metrics(decoded: DataFrame, base_path: str, metrics: tuple[str, ...], mode: str = "overwrite") -> dict[str, str]:

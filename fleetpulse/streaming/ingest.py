@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.records import decode, route, topic_counts
 from ..schemas import METRICS, RECORD_SCHEMA, Metric
-from ..sources.csv_tables import read_table
+from ..sources.csv_tables import CSV_WRITE_OPTIONS, read_table
 
 COUNTS = "counts"
 
@@ -63,7 +63,7 @@ def land_stream(
             for name in metrics:
                 w = route(decoded, METRICS[name]).write.mode("overwrite")
                 if fmt == "csv":
-                    w.option("header", True).csv(f"{base}/{name}/{part}")
+                    w.options(**CSV_WRITE_OPTIONS).csv(f"{base}/{name}/{part}")
                 else:
                     w.format(fmt).save(f"{base}/{name}/{part}")
             counts = topic_counts(decoded).withColumn("batch_id", F.lit(batch_id).cast("long"))

@@ -28,6 +28,7 @@ from ..operators.status import window_offset
 from ..operators.windows import final_measures, long_form, merged_states, partial_states, sliding_window
 from ..plans.jobs import long_windows
 from ..schemas import CPU_MEM, MetricPair
+from ..sources.csv_tables import CSV_WRITE_OPTIONS
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -163,7 +164,7 @@ def stream_alerts(
     """
     w = (
         rows.writeStream.format("csv")
-        .option("header", True)
+        .options(**CSV_WRITE_OPTIONS)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
