@@ -25,6 +25,13 @@ if _ROOT not in sys.path:
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+try:  # the training-data operators are an optional part
+    from fleetpulse.llm import registry as llm_registry
+except ModuleNotFoundError as e:
+    if e.name not in ("fleetpulse.llm", "fleetpulse.llm.registry", "corpus_pipeline"):
+        raise
+    llm_registry = None
+
 from fleetpulse.functions import constants as K
 from fleetpulse.functions import time_of_day_text
 from fleetpulse.operators.combine import combine_windows
@@ -428,6 +435,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_cpu_mem_alerts": q_stream_cpu_mem_alerts,
         "stream_cpu_mem_alerts_closed": q_stream_cpu_mem_alerts_closed,
         "stream_cpu_mem_alerts_full_time": q_stream_cpu_mem_alerts_full_time,
+        **(llm_registry.queries() if llm_registry else {}),
     }
 
 
@@ -722,4 +730,5 @@ def oracle_sql() -> dict[str, str]:
         "stream_cpu_mem_alerts": _stream_alerts_sql(),
         "stream_cpu_mem_alerts_closed": _records_alerts_sql("cpu_mem"),
         "stream_cpu_mem_alerts_full_time": _cpu_mem_full_time_sql(),
+        **(llm_registry.oracle_sql() if llm_registry else {}),
     }
