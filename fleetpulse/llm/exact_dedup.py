@@ -146,8 +146,12 @@ def clashing(docs: DataFrame, fps: DataFrame, chunk: int = CHUNK) -> DataFrame:
 def exact_groups(docs: DataFrame, chunk: int = CHUNK, prime: int = PRIME) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     fps = written(fingerprints(docs, chunk, prime), "exact-fp")
-    split = clashing(docs, fps, chunk).withColumn("clash", F.lit(True))
-    keyed = fps.join(split, _KEY, "left").withColumn("sub", F.when(F.col("clash"), F.col("sha")).otherwise(F.lit("")))
+    split = written(clashing(docs, fps, chunk), "exact-clash")
+    if split.isEmpty():
+        keyed = fps.withColumn("sub", F.lit(""))
+    else:
+        split = split.withColumn("clash", F.lit(True))
+        keyed = fps.join(split, _KEY, "left").withColumn("sub", F.when(F.col("clash"), F.col("sha")).otherwise(F.lit("")))
     key = [*_KEY, "sub"]
     groups = keyed.groupBy(*key).agg(F.max("doc_id").alias("keep"), F.count("*").alias("size")).filter("size > 1")
     return keyed.join(groups, key, "left").select(

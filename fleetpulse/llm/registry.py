@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from fleetpulse.llm import bpe, exact_dedup
+from fleetpulse.llm import bpe, exact_dedup, near_dedup, quality
 
 
 def queries() -> dict:
     return {
+        "op5_compression_quality": quality.q_quality,
+        "op6_chosen_path": near_dedup.q_near_dedup,
         "op7_byte_bpe": bpe.q_byte_bpe,
         "op9_exact_dedup": exact_dedup.q_exact_dedup,
     }

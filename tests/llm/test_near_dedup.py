@@ -1,0 +1,93 @@
+import random
+
+import pytest
+
+from fleetpulse.llm import near_dedup as N
+from fleetpulse.llm.graph import components
+
+SCHEMA = "doc_id long, text string, component_id string, id string"
+
+
+def brute(rows, percent=N.PERCENT):
+    sets = []
+    for d, t, *_ in rows:
+        w = [x for x in (t or "").lower().encode().split()]
+        sets.append((d, {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()))
+    root = {d: d for d, _ in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, (a, s) in enumerate(sets):
+        for b, t in sets[:i]:
+            if s and t and 100 * len(s & t) >= percent * len(s | t):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return sorted((d, len(s), find(d), find(d) == d) for d, s in sets)
+
+
+def run(spark, rows, **kw):
+    got = N.similarity_classes(spark.createDataFrame(rows, SCHEMA), **kw)
+    return sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got.collect())
+
+
+def corpus(seed, families=12, copies=12, n_words=150, edits=4):
+    rnd = random.Random(seed)
+    words = [f"w{i}" for i in range(3000)]
+    texts = ["", None, " \t\n", "A b", "a B ", "one two three four", "one two three four five"]
+    for _ in range(families):
+        base = [rnd.choice(words) for _ in range(n_words)]
+        for _ in range(rnd.randrange(1, copies)):
+            t = list(base)
+            for _ in range(rnd.randrange(edits)):
+                t[rnd.randrange(n_words)] = rnd.choice(words)
+            texts.append(" ".join(t))
+    texts += [" ".join(rnd.choice(words) for _ in range(80)) for _ in range(20)]
+    rnd.shuffle(texts)
+    return [(i * 7, t, "x", "y") for i, t in enumerate(texts)]
+
+
+def test_components_match_brute_force_pairs(spark):
+    rows = corpus(1)
+    assert run(spark, rows) == brute(rows)
+
+
+def test_branching_and_tight_nodes_lose_nothing(spark):
+    """Leaves of three members: nodes must branch, and alike nodes go by their pivot."""
+    rows = corpus(2, families=5, copies=16, edits=5)
+    assert run(spark, rows, leaf=3, trees=10, depth=6) == brute(rows)
+
+
+def test_repeated_rows_and_null_ids(spark):
+    t = " ".join(map(str, range(40)))
+    u = " ".join(map(str, range(100, 140)))
+    rows = [(1, t), (1, t), (2, t), (3, u), (1, u), (4, None), (None, t), (9, "else")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in N.similarity_classes(df).collect()), key=str)
+    assert got == sorted([(1, 1, True), (1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True), (None, None, True), (9, 9, True)], key=str)
+
+
+def test_empty_table(spark):
+    assert run(spark, []) == []
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_of_random_links(spark, seed):
+    rnd = random.Random(seed)
+    links = [(rnd.randrange(60), rnd.randrange(60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 130)] + [(None, 3), (5, 5)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        if a is not None and a != b:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    want = sorted((x, find(x)) for x in list(root))
+    got = components(spark.createDataFrame(links, "a long, b long"))
+    assert sorted((r.id, r.root) for r in got.collect()) == want
