@@ -24,9 +24,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import table, text_column, written
+from fleetpulse.llm.common import table, text_column
 
-CHUNK = 16_384  # characters per chunk
+CHUNK = 32_768  # characters per chunk
 OVERLAP = 512  # characters that a chunk shares with the next one
 MARGIN = 8  # more than any look-ahead of the pattern beside runs of one class
 
@@ -126,17 +126,17 @@ def _encode_rows(ranks_path: str, pattern: str, with_bytes: bool):
 
 
 def _long_ids(texts: DataFrame, ranks_path: str, pattern: str, chunk: int, overlap: int) -> DataFrame:
-    """(sha, ids) of rows (sha, text) by overlapping chunks."""
+    """(doc_id, ids) of rows (key, doc_id, text) by overlapping chunks; rows with one key are the same row repeated."""
 
     def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                sha, text = b.column(0)[i].as_py(), b.column(1)[i].as_py()
+                key, text = b.column(0)[i].as_py(), b.column(1)[i].as_py()
                 for at in range(0, len(text), chunk):
                     last = at + chunk >= len(text)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([sha]), pa.array([at], pa.int64()), pa.array([last]), pa.array([text[at : at + chunk + overlap]])],
-                        ["sha", "at", "last", "part"],
+                        [pa.array([key]), pa.array([at], pa.int64()), pa.array([last]), pa.array([text[at : at + chunk + overlap]])],
+                        ["key", "at", "last", "part"],
                     )
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,32 +148,41 @@ def _long_ids(texts: DataFrame, ranks_path: str, pattern: str, chunk: int, overl
                 head, tail = chunk_boundaries(found, part.as_py(), overlap if at else 0, chunk, last)
                 heads.append([at + s for s in head])
                 tails.append([at + s for s in tail])
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(heads, kind), pa.array(tails, kind)], ["sha", "at", "head", "tail"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(heads, kind), pa.array(tails, kind)], ["key", "at", "head", "tail"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                sha, bounds, text = (c[i].as_py() for c in b.columns)
-                chunks = sorted((x["at"], x["head"], x["tail"]) for x in bounds)
-                for k, (lo, hi) in enumerate(stitch(chunks, len(text))):
-                    yield pa.RecordBatch.from_arrays([pa.array([sha]), pa.array([k], pa.int32()), pa.array([text[lo:hi]])], ["sha", "piece", "text"])
+                key, doc, bounds, text = (c[i].as_py() for c in b.columns)
+                chunks = {x["at"]: (x["at"], x["head"], x["tail"]) for x in bounds}
+                for k, (lo, hi) in enumerate(stitch([chunks[at] for at in sorted(chunks)], len(text))):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([key]), pa.array([doc], pa.int64()), pa.array([k], pa.int32()), pa.array([text[lo:hi]])],
+                        ["key", "doc_id", "piece", "text"],
+                    )
 
     bounds = (
-        texts.mapInArrow(slices, "sha string, at long, last boolean, part string")
-        .repartition("sha", "at")
-        .mapInArrow(scanned, "sha string, at long, head array<long>, tail array<long>")
-        .groupBy("sha")
+        texts.select("key", "text")
+        .mapInArrow(slices, "key string, at long, last boolean, part string")
+        .repartition("key", "at")
+        .mapInArrow(scanned, "key string, at long, head array<long>, tail array<long>")
+        .groupBy("key")
         .agg(F.collect_list(F.struct("at", "head", "tail")).alias("bounds"))
     )
     return (
-        texts.join(bounds, "sha")
-        .select("sha", "bounds", "text")
-        .mapInArrow(cut, "sha string, piece int, text string")
-        .repartition("sha", "piece")
-        .mapInArrow(_encode_rows(ranks_path, pattern, False), "sha string, piece int, ids array<int>")
-        .groupBy("sha")
-        .agg(F.array_sort(F.collect_list(F.struct("piece", "ids"))).alias("p"))
-        .select("sha", F.flatten("p.ids").alias("ids"))
+        texts.join(bounds, "key")
+        .select("key", "doc_id", "bounds", "text")
+        .mapInArrow(cut, "key string, doc_id long, piece int, text string")
+        .repartition("key", "piece")
+        .mapInArrow(_encode_rows(ranks_path, pattern, False), "key string, doc_id long, piece int, ids array<int>")
+        .groupBy("key")
+        .agg(
+            F.max("doc_id").alias("doc_id"),
+            F.array_distinct(F.array_sort(F.collect_list(F.struct("piece", "ids")))).alias("p"),
+            F.count(F.when(F.col("piece") == 0, 1)).cast("int").alias("rows"),
+        )
+        .select("doc_id", F.flatten("p.ids").alias("ids"), F.explode(F.array_repeat(F.lit(0), F.col("rows"))))
+        .select("doc_id", "ids")
     )
 
 
@@ -185,11 +194,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, chunk: int = CHUNK, o
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
     n = F.char_length("text")
     short = base.filter(n <= chunk).mapInArrow(_encode_rows(ranks_path, pattern, True), "doc_id long, ids array<int>, data binary")
-    # Copies of a long text are encoded once.
-    long_docs = base.filter(n > chunk).withColumn("sha", F.sha2("text", 256))
-    texts = written(long_docs.select("sha", "text").dropDuplicates(["sha"]), "bpe-long")
-    long_ids = decode(_long_ids(texts, ranks_path, pattern, chunk, overlap), ranks_path)
-    return short.unionByName(long_docs.select("doc_id", "sha").join(long_ids, "sha").select("doc_id", "ids", "data"))
+    texts = base.filter(n > chunk).select(F.sha2(F.concat_ws(" ", F.col("doc_id").cast("string"), "text"), 256).alias("key"), "doc_id", "text")
+    return short.unionByName(decode(_long_ids(texts, ranks_path, pattern, chunk, overlap), ranks_path))
 
 
 def digests(encoded: DataFrame) -> DataFrame:
