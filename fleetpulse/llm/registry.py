@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from fleetpulse.llm import bpe, exact_dedup, near_dedup, quality
+from fleetpulse.llm import bpe, decontam, exact_dedup, licenses, near_dedup, quality, toxicity
 
 
 def queries() -> dict:
     return {
+        "op4_license_scan": licenses.q_licenses,
         "op5_compression_quality": quality.q_quality,
         "op6_chosen_path": near_dedup.q_near_dedup,
         "op7_byte_bpe": bpe.q_byte_bpe,
+        "op8_winnowing": decontam.q_winnowing,
         "op9_exact_dedup": exact_dedup.q_exact_dedup,
+        "op10_ordinal_toxicity": toxicity.q_toxicity,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": exact_dedup.SQL}
+    return {"op8_winnowing": decontam.SQL, "op9_exact_dedup": exact_dedup.SQL}
