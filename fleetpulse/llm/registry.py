@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from fleetpulse.llm import bpe, decontam, exact_dedup, licenses, near_dedup, quality, toxicity
+from fleetpulse.llm import bpe, decontam, exact_dedup, licenses, near_dedup, quality, toxicity, urls, warc
 
 
 def queries() -> dict:
     return {
+        "op1_url_markov": urls.q_url_markov,
+        "op2_warc_merge": warc.q_warc,
         "op4_license_scan": licenses.q_licenses,
         "op5_compression_quality": quality.q_quality,
         "op6_chosen_path": near_dedup.q_near_dedup,
@@ -18,4 +20,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_winnowing": decontam.SQL, "op9_exact_dedup": exact_dedup.SQL}
+    return {"op2_warc_merge": warc.SQL, "op8_winnowing": decontam.SQL, "op9_exact_dedup": exact_dedup.SQL}

@@ -1,0 +1,62 @@
+import hashlib
+import random
+
+from pyspark.sql import functions as F
+
+from fleetpulse.llm import warc as W
+
+SCHEMA = "page_id long, url string, html string, seq string, run long"
+
+
+def frame(spark, rows):
+    df = spark.createDataFrame([(*r, "x", 7) for r in rows], SCHEMA)
+    return df.withColumn("capture_ts", F.timestamp_seconds(F.lit(W.EPOCH) + F.coalesce("page_id", F.lit(0))))
+
+
+def brute(rows):
+    last = {}
+    for d, _, h in rows:
+        if d is not None:
+            last[h or ""] = max(d, last.get(h or "", d))
+    out = []
+    for d, _, h in rows:
+        data = (h or "").encode()
+        again = len(data) >= W.SHARED and d is not None and d != last.get(h or "", d)
+        out.append((d, len(data), hashlib.sha1(data).hexdigest(), "revisit" if again else "response", last[h or ""] if again else None))
+    return sorted(out, key=str)
+
+
+def corpus(seed=15, n=120):
+    rnd = random.Random(seed)
+    big = ["é\r\n\r\nWARC/1.1\r\n" + "x" * 1200, "y" * 1000, "z" * 999, "w" * 70_000]
+    rows = [(i, f"https://{rnd.choice(['a', 'b.c', 'WWW.d'])}.example.org/{rnd.randrange(9)}{rnd.choice(['', '?q=1', '#f'])}", rnd.choice([*big, "", None, f"<p>{i}</p>", "q" * 1000 + str(i)])) for i in range(n)]
+    return rows + [(500, None, "y" * 1000), (501, "no scheme", ""), (502, "http://x.org/a\r\nWARC-Type: evil", "t"), (None, "http://n.org/", "null id"), (5, "http://r.org/", "t"), (5, "http://r.org/", "t")]
+
+
+def test_round_trip_matches_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(W, "FILE_RECORDS", 17)
+    rows = corpus()
+    got = W.round_trip(frame(spark, rows)).collect()
+    assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got), key=str) == brute(rows)
+    assert all(r.intact for r in got)
+    order = [(r.url_key, r.capture_date) for r in sorted(got, key=lambda r: (r.part, r.pos))]
+    assert order == sorted(order)
+    assert len({r.run for r in got}) > 5
+
+
+def test_empty_table(spark):
+    assert W.round_trip(frame(spark, [])).collect() == []
+
+
+def test_loser_tree_merges_any_runs():
+    rnd = random.Random(16)
+    for _ in range(200):
+        runs = [sorted(rnd.randrange(20) for _ in range(rnd.randrange(0, 9))) for _ in range(rnd.randrange(0, 8))]
+        got = list(W.LoserTree(runs))
+        assert [runs[r][i] for r, i in got] == sorted(x for run in runs for x in run)
+        assert [(runs[r][i], r, i) for r, i in got] == sorted((x, r, i) for r, run in enumerate(runs) for i, x in enumerate(run))
+
+
+def test_url_keys():
+    assert W.url_key("https://M.Example.net/en/2?b=1#top") == "net,example,m)/en/2?b=1"
+    assert W.url_key("http://a.org?x") == "org,a)?x" and W.url_key("plain") == "plain" and W.url_key("") == ""
