@@ -205,7 +205,8 @@ def confirmed(groups: DataFrame, docs: DataFrame, words: int = WORDS, percent: i
                 a, b = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    rows = base.join(wanted, "id").select("id", "gids", "text").mapInArrow(sets, "gid long, id long, shingles array<long>")
+    # Hashed on the few wanted ids: the texts are shuffled once and not sorted, at any size.
+    rows = base.join(wanted.hint("shuffle_hash"), "id").select("id", "gids", "text").mapInArrow(sets, "gid long, id long, shingles array<long>")
     return _ordered(rows, "gid").mapInArrow(compare, "a long, b long")
 
 
@@ -262,8 +263,10 @@ def leaf_groups(leaves: DataFrame, classes: DataFrame, size: int, percent: int)
     return rows.mapInArrow(run, "gid long, ids array<long>").dropDuplicates(["gid"]).select("gid", F.explode("ids").alias("id"))
 
 
-def tight_links(tight: DataFrame, docs: DataFrame, leaf: int, words: int, percent: int) -> DataFrame:
-    """Links inside nodes whose members are alike: a star around a pivot, then whatever the pivot does not link."""
+def all_links(groups: DataFrame, tight: DataFrame | None, docs: DataFrame, leaf: int, words: int, percent: int) -> DataFrame:
+    """Links of leaf groups, and inside nodes whose members are alike: a star around a pivot, then whatever the pivot does not link."""
+    if tight is None or tight.isEmpty():
+        return confirmed(groups, docs, words, percent)
     half = max(1, leaf // 2)
     block = lambda n: F.pmod(F.xxhash64("id"), F.ceil(F.col(n) / half))
     pivots = tight.groupBy("node").agg(F.min("id").alias("pivot"), F.max("n").alias("n"))
@@ -271,14 +274,16 @@ def tight_links(tight: DataFrame, docs: DataFrame, leaf: int, words: int, percen
     members = tight.select("node", "id", block("n").alias("j"))
     gid = F.xxhash64("node", "j")
     stars = members.select(gid.alias("gid"), "id").unionByName(blocks.select(gid.alias("gid"), F.col("pivot").alias("id"))).distinct()
-    star_links = written(confirmed(stars, docs, words, percent), "near-stars")
-    # Links of a block span its components; those of the pivot's component are linked to it.
-    star_roots = components(star_links)
+    first_links = written(confirmed(groups.unionByName(stars), docs, words, percent), "near-links")
+    # Whatever is linked to the pivot by now, directly or not, needs no other comparison with its like.
+    star_roots = components(first_links)
     placed = members.join(star_roots, "id", "left").join(pivots.select("node", "pivot"), "node")
     own = star_roots.select(F.col("id").alias("pivot"), F.col("root").alias("pivot_root"))
     apart = F.col("root").isNull() | F.col("pivot_root").isNull() | (F.col("root") != F.col("pivot_root"))
     far = placed.join(own, "pivot", "left").filter((F.col("id") != F.col("pivot")) & apart)
     far = written(far.select("node", "id"), "near-far")
+    if far.isEmpty():
+        return first_links
     counts = far.groupBy("node").agg(F.count("*").alias("m"))
     far = far.join(counts, "node").select("node", "id", "m", block("m").alias("i"))
     fars = counts.join(blocks, "node").select("node", "pivot", "j", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("m") / half) - 1)).alias("i"))
@@ -289,7 +294,7 @@ def tight_links(tight: DataFrame, docs: DataFrame, leaf: int, words: int, percen
         .unionByName(fars.select(cell, F.col("pivot").alias("id")))
         .distinct()
     )
-    return star_links.unionByName(confirmed(cells, docs, words, percent))
+    return first_links.unionByName(confirmed(cells, docs, words, percent))
 
 
 def similarity_classes(
@@ -304,9 +309,7 @@ def similarity_classes(
     classes = classes.select("id", "sig")
     leaves, tight = tree_nodes(classes, trees, leaf, depth, size, percent)
     groups = written(leaf_groups(leaves, classes, size, percent), "near-groups")
-    links = confirmed(groups, docs, words, percent)
-    if tight is not None and not tight.isEmpty():
-        links = links.unionByName(tight_links(tight, docs, leaf, words, percent))
+    links = all_links(groups, tight, docs, leaf, words, percent)
     same_id = full.join(reps, ["f1", "f2"]).filter("doc_id <> rep").groupBy("doc_id").agg(F.collect_set("rep").alias("reps"))
     same_id = same_id.filter(F.size("reps") > 1).select(F.col("doc_id").alias("a"), F.explode("reps").alias("b"))
     roots = components(links.unionByName(same_id))
