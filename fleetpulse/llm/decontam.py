@@ -133,7 +133,8 @@ def extended(docs: DataFrame, hits: DataFrame) -> DataFrame:
                 yield rest
 
     per_row = hits.groupBy("row").agg(F.collect_set(F.struct("m", "at")).alias("hits"))  # bounded by the document itself
-    joined = _documents(docs).join(per_row, "row", "left").select("doc_id", "row", "text", "hits")
+    # Hashed on the rows with hits: the texts are shuffled once and not sorted, at any size.
+    joined = _documents(docs).join(per_row.hint("shuffle_hash"), "row", "left").select("doc_id", "row", "text", "hits")
     return joined.mapInArrow(run, "doc_id long, row long, n_words long, windows array<struct<start:int,m:int,words:binary>>")
 
 

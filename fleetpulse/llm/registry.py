@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from fleetpulse.llm import bpe, decontam, exact_dedup, licenses, near_dedup, quality, toxicity, urls, warc
+import corpus_pipeline
+from fleetpulse.llm import bpe, context_mixing, decontam, exact_dedup, licenses, near_dedup, quality, toxicity, urls, warc
 
 
 def queries() -> dict:
     return {
         "op1_url_markov": urls.q_url_markov,
         "op2_warc_merge": warc.q_warc,
+        "op3_context_mixing": context_mixing.q_context_mixing,
         "op4_license_scan": licenses.q_licenses,
         "op5_compression_quality": quality.q_quality,
         "op6_chosen_path": near_dedup.q_near_dedup,
@@ -16,6 +18,7 @@ def queries() -> dict:
         "op8_winnowing": decontam.q_winnowing,
         "op9_exact_dedup": exact_dedup.q_exact_dedup,
         "op10_ordinal_toxicity": toxicity.q_toxicity,
+        "pipeline": corpus_pipeline.run,
     }
 
 
