@@ -179,23 +179,27 @@ def _ordered(rows: DataFrame, key: str) -> DataFrame:
     return rows.repartition(key).sortWithinPartitions(key)
 
 
-def confirmed(groups: DataFrame, docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Links (a, b) inside groups (gid, id), on the full sets; enough of them to span each group's components."""
-    wanted = groups.groupBy("id").agg(F.collect_set("gid").alias("gids"))  # as many as leaves that hold the id
+def full_sets(docs: DataFrame, ids: DataFrame, words: int = WORDS) -> DataFrame:
+    """(id, shingles) of the documents with the given ids."""
     base = docs.select(F.col("doc_id").cast("long").alias("id"), text_column().alias("text"))
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = _factors(words, 1)
-        kind = pa.list_(pa.int64())
         for b in batches:
-            for i in range(b.num_rows):
-                s = shingle_set(b.column(2)[i].as_py(), factors, words).view(np.int64)
-                gids = b.column(1)[i].values
-                if len(s):
-                    one = pa.ListArray.from_arrays(pa.array([0, len(s)], pa.int32()), pa.array(s))
-                    column = pa.concat_arrays([one] * len(gids)) if len(gids) > 1 else one
-                    ids = pa.array([b.column(0)[i].as_py()] * len(gids), pa.int64())
-                    yield pa.RecordBatch.from_arrays([gids, ids, column.cast(kind)], ["gid", "id", "shingles"])
+            for at in range(0, b.num_rows, 512):
+                part = b.slice(at, 512)
+                sets = [shingle_set(t.as_py(), factors, words) for t in part.column(1)]
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([part.column(0), lists], ["id", "shingles"])
+
+    # Hashed on the few wanted ids: the texts are shuffled once and not sorted, at any size.
+    rows = base.join(ids.distinct().hint("shuffle_hash"), "id").select("id", "text")
+    return rows.mapInArrow(run, "id long, shingles array<long>").filter(F.size("shingles") > 0)
+
+
+def confirmed(groups: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links (a, b) inside groups (gid, id), on the full sets; enough of them to span each group's components."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in runs(batches):
@@ -205,8 +209,8 @@ def confirmed(groups: DataFrame, docs: DataFrame, words: int = WORDS, percent: i
                 a, b = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    # Hashed on the few wanted ids: the texts are shuffled once and not sorted, at any size.
-    rows = base.join(wanted.hint("shuffle_hash"), "id").select("id", "gids", "text").mapInArrow(sets, "gid long, id long, shingles array<long>")
+    wanted = groups.groupBy("id").agg(F.collect_set("gid").alias("gids"))  # as many as leaves that hold the id
+    rows = sets.join(wanted.hint("shuffle_hash"), "id").select(F.explode("gids").alias("gid"), "id", "shingles")
     return _ordered(rows, "gid").mapInArrow(compare, "a long, b long")
 
 
@@ -266,7 +270,9 @@ def leaf_groups(leaves: DataFrame, classes: DataFrame, size: int, percent: int)
 def all_links(groups: DataFrame, tight: DataFrame | None, docs: DataFrame, leaf: int, words: int, percent: int) -> DataFrame:
     """Links of leaf groups, and inside nodes whose members are alike: a star around a pivot, then whatever the pivot does not link."""
     if tight is None or tight.isEmpty():
-        return confirmed(groups, docs, words, percent)
+        return confirmed(groups, full_sets(docs, groups.select("id"), words), percent)
+    # The texts are read once: both passes compare from the sets.
+    sets = written(full_sets(docs, groups.select("id").unionByName(tight.select("id")), words), "near-sets")
     half = max(1, leaf // 2)
     block = lambda n: F.pmod(F.xxhash64("id"), F.ceil(F.col(n) / half))
     pivots = tight.groupBy("node").agg(F.min("id").alias("pivot"), F.max("n").alias("n"))
@@ -274,7 +280,7 @@ def all_links(groups: DataFrame, tight: DataFrame | None, docs: DataFrame, leaf:
     members = tight.select("node", "id", block("n").alias("j"))
     gid = F.xxhash64("node", "j")
     stars = members.select(gid.alias("gid"), "id").unionByName(blocks.select(gid.alias("gid"), F.col("pivot").alias("id"))).distinct()
-    first_links = written(confirmed(groups.unionByName(stars), docs, words, percent), "near-links")
+    first_links = written(confirmed(groups.unionByName(stars), sets, percent), "near-links")
     # Whatever is linked to the pivot by now, directly or not, needs no other comparison with its like.
     star_roots = components(first_links)
     placed = members.join(star_roots, "id", "left").join(pivots.select("node", "pivot"), "node")
@@ -294,7 +300,7 @@ def all_links(groups: DataFrame, tight: DataFrame | None, docs: DataFrame, leaf:
         .unionByName(fars.select(cell, F.col("pivot").alias("id")))
         .distinct()
     )
-    return first_links.unionByName(confirmed(cells, docs, words, percent))
+    return first_links.unionByName(confirmed(cells, sets, percent))
 
 
 def similarity_classes(
