@@ -33,13 +33,14 @@ except ModuleNotFoundError as e:
     llm_registry = None
 
 from fleetpulse.functions import constants as K
-from fleetpulse.functions import time_of_day_text
+from fleetpulse.functions import event_seconds, time_of_day_text
 from fleetpulse.operators.combine import combine_windows
 from fleetpulse.operators.event_time import with_event_time
 from fleetpulse.operators.records import (
     decode,
     fan_out,
     quarantine,
+    record_offset,
     records_long,
     replay_order,
     route,
@@ -49,7 +50,8 @@ from fleetpulse.operators.records import (
 from fleetpulse.operators.status import input_status, offset_column, window_offset
 from fleetpulse.operators.warmup import rank_windows
 from fleetpulse.operators.windows import window_aggregate
-from fleetpulse.plans.jobs import alerts_from_long, combined_windows, cpu_mem_alerts, net_disk_alerts
+from fleetpulse.plans.flows import consume, producer_records
+from fleetpulse.plans.jobs import alerts_from_long, combined_windows, cpu_mem_alerts, full_time_alerts, net_disk_alerts
 from fleetpulse.plans.run import run_alert_job
 from fleetpulse.schemas import (
     CPU,
@@ -61,9 +63,10 @@ from fleetpulse.schemas import (
     NET,
     NET_DISK,
     NET_DISK_ALERT_SCHEMA,
+    with_window_times,
 )
 from fleetpulse.session import shared_dir
-from fleetpulse.sources.csv_tables import read_samples, write_table
+from fleetpulse.sources.csv_tables import read_alerts, read_samples, sort_alerts, write_table
 from fleetpulse.sources.events import (
     EVENTS_SCHEMA,
     event_records,
@@ -74,14 +77,16 @@ from fleetpulse.sources.events import (
     server_of,
     wide_samples,
 )
-from fleetpulse.streaming.ingest import land_stream, landing_counts, read_landed, read_record_files
+from fleetpulse.streaming.ingest import land_stream, landing_counts, read_landed, read_quarantine, read_record_files
 from fleetpulse.streaming.windows import (
+    ClosedStream,
+    LateRowsError,
     bootstrap_offset,
-    closing_windows,
-    enable_state_store,
-    final_watermark,
+    close_stream,
+    dropped_rows,
     stream_alert_rows,
     stream_alerts,
+    stream_session,
 )
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -89,6 +94,10 @@ STAMP = "00:00:00"
 STREAM_WATERMARK_SECONDS = 60
 
 
+#: Arrivals that a stream query's input is split into, and files of each: one arrival is one micro-batch.
+ARRIVALS, FILES = 3, 4
+
+
 def _state_partitions(spark: SparkSession) -> int:
     """State partitions for the stream queries: one per core; their state is
     a few thousand windows (see `stream_alerts`)."""
@@ -123,7 +132,7 @@ def q_net_disk_alerts(spark, sf_dir):
 
 def q_cpu_mem_alerts_full_time(spark, sf_dir):
     """The CPU/MEM job on full event times (D8): days are not folded together."""
-    return alerts_from_long(pair_long_table(read_events(spark, sf_dir), CPU_MEM, full_time=True), CPU_MEM)
+    return full_time_alerts(pair_long_table(read_events(spark, sf_dir), CPU_MEM, full_time=True), CPU_MEM)
 
 
 def q_cpu_mem_alerts_two_tables(spark, sf_dir):
@@ -138,14 +147,18 @@ def q_net_disk_alerts_two_tables(spark, sf_dir):
 
 
 def q_records_cpu_mem_alerts(spark, sf_dir):
-    """Alerts straight from a batch of records of both topics (one decode, one scan)."""
-    d = decode(event_records(read_events(spark, sf_dir)))
-    return alerts_from_long(records_long(d, CPU_MEM), CPU_MEM)
+    """Alerts straight from a batch of records of both topics (one full decode; the offset parses times only)."""
+    return _record_alerts(event_records(read_events(spark, sf_dir)), CPU_MEM)
 
 
 def q_records_net_disk_alerts(spark, sf_dir):
-    d = decode(event_records(read_events(spark, sf_dir)))
-    return alerts_from_long(records_long(d, NET_DISK), NET_DISK)
+    return _record_alerts(event_records(read_events(spark, sf_dir)), NET_DISK)
+
+
+def _record_alerts(records: DataFrame, pair) -> DataFrame:
+    topics = (pair.left.topic, pair.right.topic)
+    d = decode(records.filter(F.col("topic").isin(*topics)), measures=(pair.left.measure, pair.right.measure))
+    return alerts_from_long(records_long(d, pair), pair, offset=record_offset(records, topics))
 
 
 def q_cpu_mem_alerts_join_form(spark, sf_dir):
@@ -277,7 +290,7 @@ def q_encode_decode_route(spark, sf_dir):
 
 
 def q_topic_counts(spark, sf_dir):
-    return topic_counts(decode(event_records(read_events(spark, sf_dir))))
+    return topic_counts(decode(event_records(read_events(spark, sf_dir)), measures=()))
 
 
 def q_quarantined_records(spark, sf_dir):
@@ -295,7 +308,73 @@ def q_csv_round_trip(spark, sf_dir):
     write_table(t["net"], f"{base}/net")
     write_table(t["disk"], f"{base}/disk")
     run_alert_job(spark, NET_DISK, f"{base}/net", f"{base}/disk", f"{base}/out")
-    return spark.read.schema(NET_DISK_ALERT_SCHEMA).option("header", True).csv(f"{base}/out")
+    return read_alerts(spark, NET_DISK_ALERT_SCHEMA, f"{base}/out")
+
+
+def q_csv_round_trip_cpu_mem(spark, sf_dir):
+    """The same for CPU/MEM, with the job's counts (A1) as columns."""
+    t = _tables(spark, sf_dir)
+    base = shared_dir(spark, "csv_round_trip_cpu_mem")
+    write_table(t["cpu"], f"{base}/cpu")
+    write_table(t["mem"], f"{base}/mem")
+    done = run_alert_job(spark, CPU_MEM, f"{base}/cpu", f"{base}/mem", f"{base}/out")
+    counts = {"left_rows": done.left_rows, "right_rows": done.right_rows, "result_rows": done.rows}
+    return read_alerts(spark, CPU_MEM_ALERT_SCHEMA, f"{base}/out").withColumns({k: F.lit(v).cast("long") for k, v in counts.items()})
+
+
+def q_produced_landed_alerts(spark, sf_dir):
+    """All three roles: samples -> records in replay order -> landed stream -> job on the landed tables."""
+    base = shared_dir(spark, "roles")
+    write_table(wide_samples(read_events(spark, sf_dir)), f"{base}/dataset")
+    producer_records(read_samples(spark, f"{base}/dataset"), STAMP).write.parquet(f"{base}/records")
+    consume(spark, "cpu_mem", f"{base}/landed", f"{base}/ck", record_files=f"{base}/records", max_files=2).awaitTermination()
+    landed = f"{base}/landed"
+    run_alert_job(spark, CPU_MEM, f"{landed}/cpu", f"{landed}/mem", f"{base}/out", landed_base=landed)
+    return read_alerts(spark, CPU_MEM_ALERT_SCHEMA, f"{base}/out")
+
+
+def q_job_guards(spark, sf_dir):
+    """The status of a job without rows, without any readable time, and with both."""
+    t = _tables(spark, sf_dir)
+    cases = {
+        "all": (t["cpu"], t["mem"]),
+        "none": (t["cpu"].filter("server_id IS NULL"), t["mem"].filter("server_id IS NULL")),
+        "no time": tuple(t[n].withColumn("ts", F.concat("ts", F.lit("x"))) for n in ("cpu", "mem")),
+        "one side": (t["cpu"].withColumn("ts", F.lit(None).cast("string")), t["mem"]),
+    }
+    out = None
+    for name, (left, right) in cases.items():
+        row = input_status(left, right).select(F.lit(name).alias("inputs"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def _positions(spark, ordered: DataFrame, name: str) -> DataFrame:
+    """Rows with their place in the order of `ordered`'s partitions, counted from 0."""
+    path = f"{shared_dir(spark, name)}/rows"
+    ordered.withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path).withColumn("_part", F.shiftright("_id", 33))
+    sizes = {r["_part"]: r["n"] for r in rows.groupBy("_part").agg(F.count("*").alias("n")).collect()}  # one row per task
+    starts, at = [], 0
+    for part in sorted(sizes):
+        starts.append((part, at))
+        at += sizes[part]
+    first = spark.createDataFrame(starts, "_part long, _first long")
+    place = F.col("_first") + F.col("_id") - F.shiftleft(F.col("_part"), 33)
+    return rows.join(first, "_part").withColumn("position", place).drop("_id", "_part", "_first")
+
+
+def q_replay_positions(spark, sf_dir):
+    """P5 with its order: where each (ts, server) group of samples lies in the replay."""
+    rows = _positions(spark, replay_order(wide_samples(read_events(spark, sf_dir))), "replay")
+    return rows.groupBy("ts", "server_id").agg(
+        F.min("position").alias("first_position"), F.max("position").alias("last_position"), F.count("*").alias("samples")
+    )
+
+
+def q_sorted_alerts(spark, sf_dir):
+    """O1 with its order: the place of every alert row in the sorted output."""
+    return _positions(spark, sort_alerts(q_cpu_mem_alerts(spark, sf_dir)), "sorted")
 
 
 def q_wide_csv_round_trip(spark, sf_dir):
@@ -328,6 +407,18 @@ def q_landed_topic_counts(spark, sf_dir):
     return landing_counts(spark, f"{base}/landed")
 
 
+def q_landed_quarantine(spark, sf_dir):
+    """D1 on a stream: payloads that do not decode are kept, over several micro-batches and two checkpoints on one base."""
+    base = shared_dir(spark, "landed_quarantine")
+    recs = event_records(read_events(spark, sf_dir))
+    half = F.pmod(F.xxhash64("value"), F.lit(2))
+    for i in (0, 1):
+        recs.filter(half == i).repartition(FILES).write.parquet(f"{base}/records{i}")
+        src = read_record_files(spark, f"{base}/records{i}", max_files=2)
+        land_stream(src, f"{base}/landed", ("net", "disk"), f"{base}/ck{i}", fmt="parquet").awaitTermination()
+    return read_quarantine(spark, f"{base}/landed").select("topic", F.col("key").cast("string").alias("key"), "text")
+
+
 def q_empty_metric_landed(spark, sf_dir):
     """A producer that sends only CPU: the memory table lands empty but typed."""
     recs = event_records(read_events(spark, sf_dir)).filter(F.col("topic") == CPU.topic)
@@ -343,56 +434,114 @@ def q_empty_metric_landed(spark, sf_dir):
     return out
 
 
+def _arrivals(rows: DataFrame, at, path: str) -> None:
+    """Write rows as ARRIVALS drops of FILES files, split where `at` is a third and two thirds of its range.
+
+    The drops are written one after another, so a stream that takes FILES
+    files per micro-batch reads them in that order, one a time.
+    """
+    lo, hi = rows.agg(F.min(at), F.max(at)).first()
+    step = ((hi or 0) - (lo or 0)) / ARRIVALS
+    n = F.least(F.floor((at - F.lit(lo)) / F.lit(step or 1)), F.lit(ARRIVALS - 1))
+    for i in range(ARRIVALS):
+        rows.filter(F.coalesce(n, F.lit(0)) == i).repartition(FILES).write.parquet(f"{path}/{i}")
+
+
+def _event_seconds_of(records: DataFrame):
+    """Time of day of records, from their text (only to split them into arrivals)."""
+    return event_seconds(F.get_json_object(F.col("value").cast("string"), "$.original_ts"))
+
+
+def _closed_record_stream(spark, sf_dir, pair, schema, name) -> ClosedStream:
+    """A stream of a month's records that carry the time of day only, in the order of their days, run to the end and completed.
+
+    On the second and third arrival the time of day lies behind the
+    watermark, so rows come too late and `close_stream` replaces what was
+    written.
+    """
+    base = shared_dir(spark, name)
+    ev = read_events(spark, sf_dir)
+    day = F.unix_seconds(F.date_trunc("second", F.col("ts").cast("timestamp")))
+    lo, hi = ev.agg(F.min(day), F.max(day)).first()
+    step = ((hi or 0) - (lo or 0)) // ARRIVALS + 1
+    for i in range(ARRIVALS):
+        part = ev.filter(F.floor((day - F.lit(lo or 0)) / F.lit(step)) == i)
+        event_records(part).repartition(FILES).write.parquet(f"{base}/records/{i}")
+    own = stream_session(spark, _state_partitions(spark))
+    batch = spark.read.parquet(f"{base}/records/*")
+    topics = (pair.left.topic, pair.right.topic)
+    long_batch = records_long(decode(batch), pair)
+    offset = int(spark.range(1).select(record_offset(batch, topics).alias("o")).first().o)
+    src = read_record_files(own, f"{base}/records/*", max_files=FILES)
+    q = stream_alerts(
+        stream_alert_rows(long=records_long(decode(src), pair), pair=pair, offset=offset, watermark=f"{STREAM_WATERMARK_SECONDS} seconds"),
+        f"{base}/alerts", f"{base}/ck",
+    )
+    q.awaitTermination()
+    return close_stream(q, read_alerts(spark, schema, f"{base}/alerts"), long_batch, pair, offset)
+
+
 def q_stream_cpu_mem_alerts(spark, sf_dir):
-    """Record files -> stream -> windows -> warm-up state -> CSV sink."""
-    base = _record_files(spark, sf_dir, "stream_alerts")
-    enable_state_store(spark)
-    batch_recs = decode(spark.read.parquet(f"{base}/records"))
-    offset = bootstrap_offset(route(batch_recs, CPU), route(batch_recs, MEM))
-    s = read_record_files(spark, f"{base}/records")
+    """Record files in replay order -> stream of three micro-batches -> windows -> warm-up state -> CSV sink."""
+    base = shared_dir(spark, "stream_alerts")
+    recs = event_records(read_events(spark, sf_dir))
+    _arrivals(recs, _event_seconds_of(recs), f"{base}/records")
+    batch = spark.read.parquet(f"{base}/records/*")
+    offset = bootstrap_offset(*[route(decode(batch), m) for m in (CPU, MEM)])
+    s = read_record_files(stream_session(spark, _state_partitions(spark)), f"{base}/records/*", max_files=FILES)
     rows = stream_alert_rows(
         long=records_long(decode(s), CPU_MEM), offset=offset,
         watermark=f"{STREAM_WATERMARK_SECONDS} seconds",
     )
-    stream_alerts(rows, f"{base}/alerts", f"{base}/ck", state_partitions=_state_partitions(spark)).awaitTermination()
-    return spark.read.schema(CPU_MEM_ALERT_SCHEMA).option("header", True).csv(f"{base}/alerts")
+    q = stream_alerts(rows, f"{base}/alerts", f"{base}/ck")
+    q.awaitTermination()
+    if dropped_rows(q):
+        raise LateRowsError("records in replay order are never late")
+    return read_alerts(spark, CPU_MEM_ALERT_SCHEMA, f"{base}/alerts")
 
 
 def q_stream_cpu_mem_alerts_closed(spark, sf_dir):
-    """A bounded stream run to the end: streamed rows plus the windows its
-    final watermark left open (closed by a batch pass) = every alert row."""
-    base = _record_files(spark, sf_dir, "stream_closed")
-    enable_state_store(spark)
-    long_batch = records_long(decode(spark.read.parquet(f"{base}/records")), CPU_MEM)
-    offset = bootstrap_offset(*[route(decode(spark.read.parquet(f"{base}/records")), m) for m in (CPU, MEM)])
-    s = read_record_files(spark, f"{base}/records")
+    """A bounded stream run to the end and completed: every alert row, though rows came too late on the way."""
+    return _closed_record_stream(spark, sf_dir, CPU_MEM, CPU_MEM_ALERT_SCHEMA, "stream_closed").rows
+
+
+def q_stream_net_disk_alerts_closed(spark, sf_dir):
+    return _closed_record_stream(spark, sf_dir, NET_DISK, NET_DISK_ALERT_SCHEMA, "stream_closed_nd").rows
+
+
+def _full_time_stream(spark, src: DataFrame, long_of, batch: DataFrame, base: str) -> ClosedStream:
+    """CPU/MEM alerts of a stream on full event times, completed."""
+    long_batch = long_of(batch)
+    offset = int(long_batch.agg(F.coalesce(F.pmod(F.min("sec"), F.lit(10)), F.lit(0)).alias("o")).first().o)
     q = stream_alerts(
-        stream_alert_rows(long=records_long(decode(s), CPU_MEM), offset=offset,
-                          watermark=f"{STREAM_WATERMARK_SECONDS} seconds"),
-        f"{base}/alerts", f"{base}/ck", state_partitions=_state_partitions(spark),
+        stream_alert_rows(long=long_of(src), offset=offset, watermark=f"{STREAM_WATERMARK_SECONDS} seconds", full_time=True),
+        f"{base}/alerts", f"{base}/ck",
     )
     q.awaitTermination()
-    streamed = spark.read.schema(CPU_MEM_ALERT_SCHEMA).option("header", True).csv(f"{base}/alerts")
-    return streamed.unionByName(closing_windows(long_batch, CPU_MEM, offset, final_watermark(q)))
+    streamed = read_alerts(spark, with_window_times(CPU_MEM_ALERT_SCHEMA), f"{base}/alerts")
+    return close_stream(q, streamed, long_batch, CPU_MEM, offset, full_time=True)
 
 
 def q_stream_cpu_mem_alerts_full_time(spark, sf_dir):
     """A stream of the events themselves, windowed on their full timestamps (D8),
-    run to the end and closed: a month of data, no midnight wrap."""
+    in event order, run to the end and closed: a month of data, no midnight wrap."""
     base = shared_dir(spark, "stream_full")
-    read_events(spark, sf_dir).write.parquet(f"{base}/events")
-    enable_state_store(spark)
-    long_batch = pair_long_table(read_events_at(spark, f"{base}/events"), CPU_MEM, full_time=True)
-    offset = int(long_batch.agg(F.pmod(F.min("sec"), F.lit(10)).alias("o")).first().o)
-    src = spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{base}/events")
-    q = stream_alerts(
-        stream_alert_rows(long=pair_long_table(src, CPU_MEM, full_time=True), offset=offset,
-                          watermark=f"{STREAM_WATERMARK_SECONDS} seconds"),
-        f"{base}/alerts", f"{base}/ck", state_partitions=_state_partitions(spark),
-    )
-    q.awaitTermination()
-    streamed = spark.read.schema(CPU_MEM_ALERT_SCHEMA).option("header", True).csv(f"{base}/alerts")
-    return streamed.unionByName(closing_windows(long_batch, CPU_MEM, offset, final_watermark(q)))
+    ev = read_events(spark, sf_dir)
+    _arrivals(ev, F.unix_seconds(F.col("ts").cast("timestamp")), f"{base}/events")
+    own = stream_session(spark, _state_partitions(spark))
+    src = own.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", FILES).parquet(f"{base}/events/*")
+    long_of = lambda df: pair_long_table(df, CPU_MEM, full_time=True)
+    return _full_time_stream(spark, src, long_of, read_events_at(spark, f"{base}/events/*"), base).rows
+
+
+def q_stream_records_full_time(spark, sf_dir):
+    """A stream of a month's records, whose date comes from the broker's time of receipt."""
+    base = shared_dir(spark, "stream_records_full")
+    recs = event_records(read_events(spark, sf_dir), timed=True)
+    _arrivals(recs, F.unix_seconds("timestamp"), f"{base}/records")
+    src = read_record_files(stream_session(spark, _state_partitions(spark)), f"{base}/records/*", max_files=FILES, timed=True)
+    long_of = lambda df: records_long(decode(df), CPU_MEM, full_time=True)
+    return _full_time_stream(spark, src, long_of, spark.read.parquet(f"{base}/records/*"), base).rows
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -432,9 +581,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "landed_metrics": q_landed_metrics,
         "landed_topic_counts": q_landed_topic_counts,
         "empty_metric_landed": q_empty_metric_landed,
+        "csv_round_trip_cpu_mem": q_csv_round_trip_cpu_mem,
+        "produced_landed_alerts": q_produced_landed_alerts,
+        "job_guards": q_job_guards,
+        "replay_positions": q_replay_positions,
+        "sorted_alerts": q_sorted_alerts,
+        "landed_quarantine": q_landed_quarantine,
         "stream_cpu_mem_alerts": q_stream_cpu_mem_alerts,
         "stream_cpu_mem_alerts_closed": q_stream_cpu_mem_alerts_closed,
         "stream_cpu_mem_alerts_full_time": q_stream_cpu_mem_alerts_full_time,
+        "stream_net_disk_alerts_closed": q_stream_net_disk_alerts_closed,
+        "stream_records_full_time": q_stream_records_full_time,
         **(llm_registry.queries() if llm_registry else {}),
     }
 
@@ -517,9 +674,14 @@ g AS (SELECT server_id, ws, {_round2(f'{agg}(l)')} AS a, {_round2(f'{agg}(r)')}
 k AS (SELECT *, row_number() OVER (PARTITION BY server_id ORDER BY ws) AS rn FROM g)"""
 
 
-def _cpu_mem_select(cpu_t: float, mem_t: float) -> str:
+def _at(sec: str) -> str:
+    return f"TIMESTAMP '1970-01-01 00:00:00' + to_seconds(CAST({sec} AS BIGINT))"
+
+
+def _cpu_mem_select(cpu_t: float, mem_t: float, full_time: bool = False) -> str:
     c, m = f"{cpu_t!r}::DOUBLE", f"{mem_t!r}::DOUBLE"
-    return f"""SELECT server_id, {_hms('ws')} AS window_start, {_hms('ws + 30')} AS window_end,
+    times = f"{_at('ws')} AS window_start_time, {_at('ws + 30')} AS window_end_time," if full_time else ""
+    return f"""SELECT server_id, {_hms('ws')} AS window_start, {_hms('ws + 30')} AS window_end, {times}
        CAST(a AS FLOAT) AS avg_cpu, CAST(b AS FLOAT) AS avg_mem,
        CASE WHEN a >= {c} AND b >= {m} THEN '{K.ALERT_CPU_AND_MEM}'
             WHEN b >= {m} THEN '{K.ALERT_MEM}'
@@ -538,7 +700,60 @@ fcpu AS (SELECT CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS fsec, {_SERVE
 fmem AS (SELECT CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS fsec, {_SERVER} AS server_id,
                 CAST(value AS FLOAT) AS mem_pct FROM events WHERE event_type = 'view')"""
     return (f"WITH {full},{_windows_sql('fcpu', 'cpu_pct', 'fmem', 'mem_pct', 'avg', sec='fsec')}\n"
-            f"{_cpu_mem_select(K.CPU_THRESHOLD, K.MEM_THRESHOLD)}")
+            f"{_cpu_mem_select(K.CPU_THRESHOLD, K.MEM_THRESHOLD, full_time=True)}")
+
+
+def _records_full_time_sql() -> str:
+    """Every metric event is a sample of both metrics, with its full time."""
+    fsec = "CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS fsec"
+    both = f"""
+fcpu AS (SELECT {fsec}, {_SERVER} AS server_id, CASE WHEN event_type = 'click' THEN CAST(value AS FLOAT) END AS cpu_pct
+         FROM events WHERE {_METRIC_EVENTS}),
+fmem AS (SELECT {fsec}, {_SERVER} AS server_id, CASE WHEN event_type = 'view' THEN CAST(value AS FLOAT) END AS mem_pct
+         FROM events WHERE {_METRIC_EVENTS})"""
+    return (f"WITH {both},{_windows_sql('fcpu', 'cpu_pct', 'fmem', 'mem_pct', 'avg', sec='fsec')}\n"
+            f"{_cpu_mem_select(K.CPU_THRESHOLD, K.MEM_THRESHOLD, full_time=True)}")
+
+
+def _produced_sql() -> str:
+    """Every event is a sample of both metrics."""
+    return f"""WITH {_WIDE},
+pcpu AS (SELECT ts, server_id, CAST(cpu_pct AS FLOAT) AS cpu_pct FROM wide),
+pmem AS (SELECT ts, server_id, CAST(mem_pct AS FLOAT) AS mem_pct FROM wide),{_windows_sql('pcpu', 'cpu_pct', 'pmem', 'mem_pct', 'avg')}
+{_cpu_mem_select(K.CPU_THRESHOLD, K.MEM_THRESHOLD)}"""
+
+
+def _counted_cpu_mem_sql() -> str:
+    n = "(SELECT count(*) FROM events WHERE event_type = '{}')"
+    return f"""WITH alerts AS ({_cpu_mem_sql()})
+SELECT *, {n.format('click')} AS left_rows, {n.format('view')} AS right_rows, (SELECT count(*) FROM alerts) AS result_rows FROM alerts"""
+
+
+def _job_guards_sql() -> str:
+    def case(name, cpu, mem, cpu_ts="ts", mem_ts="ts"):
+        return f"""SELECT '{name}' AS inputs, left_rows, right_rows, left_timed, right_timed,
+       CASE WHEN min_sec IS NOT NULL THEN {_hms('min_sec')} END AS earliest,
+       CAST(coalesce({_pmod('min_sec', 10)}, 0) AS INTEGER) AS window_offset,
+       CASE WHEN left_rows + right_rows = 0 THEN 'no data' WHEN left_timed + right_timed = 0 THEN 'no event time' ELSE 'ok' END AS status
+FROM (SELECT count(*) FILTER (WHERE l) AS left_rows, count(*) FILTER (WHERE NOT l) AS right_rows,
+             count(sec) FILTER (WHERE l) AS left_timed, count(sec) FILTER (WHERE NOT l) AS right_timed, min(sec) AS min_sec
+      FROM (SELECT TRUE AS l, {_sec()} AS sec FROM (SELECT {cpu_ts} AS ts FROM cpu WHERE {cpu})
+            UNION ALL SELECT FALSE, {_sec()} FROM (SELECT {mem_ts} AS ts FROM mem WHERE {mem})))"""
+
+    parts = [
+        case("all", "TRUE", "TRUE"),
+        case("none", "server_id IS NULL", "server_id IS NULL"),
+        case("no time", "TRUE", "TRUE", "ts || 'x'", "ts || 'x'"),
+        case("one side", "TRUE", "TRUE", "CAST(NULL AS VARCHAR)"),
+    ]
+    return f"WITH {_ADAPTER}\n" + "\nUNION ALL\n".join(parts)
+
+
+def _replay_positions_sql() -> str:
+    return f"""WITH {_WIDE},
+g AS (SELECT ts, server_id, count(*) AS samples FROM wide WHERE ts IS NOT NULL GROUP BY ts, server_id),
+p AS (SELECT *, CAST(sum(samples) OVER (ORDER BY ts, server_id) AS BIGINT) AS upto FROM g)
+SELECT ts, server_id, upto - samples AS first_position, upto - 1 AS last_position, samples FROM p"""
 
 
 def _net_disk_sql(net_t: float = K.NET_THRESHOLD, disk_t: float = K.DISK_THRESHOLD) -> str:
@@ -727,8 +942,16 @@ def oracle_sql() -> dict[str, str]:
         "landed_metrics": _routed_sql(),
         "landed_topic_counts": _topic_counts_sql(),
         "empty_metric_landed": _empty_landed_sql(),
+        "csv_round_trip_cpu_mem": _counted_cpu_mem_sql(),
+        "produced_landed_alerts": _produced_sql(),
+        "job_guards": _job_guards_sql(),
+        "replay_positions": _replay_positions_sql(),
+        "sorted_alerts": f"SELECT *, row_number() OVER (ORDER BY server_id, window_start, window_end) - 1 AS position FROM ({_cpu_mem_sql()})",
+        "landed_quarantine": _quarantined_sql(),
         "stream_cpu_mem_alerts": _stream_alerts_sql(),
         "stream_cpu_mem_alerts_closed": _records_alerts_sql("cpu_mem"),
         "stream_cpu_mem_alerts_full_time": _cpu_mem_full_time_sql(),
+        "stream_net_disk_alerts_closed": _records_alerts_sql("net_disk"),
+        "stream_records_full_time": _records_full_time_sql(),
         **(llm_registry.oracle_sql() if llm_registry else {}),
     }

@@ -6,18 +6,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from ..schemas import CPU_MEM, MetricPair
 
 
 def _null_text() -> Column:
     return F.lit(None).cast("string")
 
 
-def _bounds() -> list[Column]:
-    """Window bounds as `HH:mm:ss` text (P14 struct access + P15)."""
-    return [
+def _bounds(full_time: bool) -> list[Column]:
+    """Window bounds as `HH:mm:ss` text (P14 struct access + P15), and with
+    full event times (D8) also as timestamps: labels alone lose the date."""
+    labels = [
         F.date_format(F.col("window.start"), K.LABEL_FORMAT).alias("window_start"),
         F.date_format(F.col("window.end"), K.LABEL_FORMAT).alias("window_end"),
     ]
+    if not full_time:
+        return labels
+    return [
+        *labels,
+        F.col("window.start").cast("timestamp_ntz").alias("window_start_time"),
+        F.col("window.end").cast("timestamp_ntz").alias("window_end_time"),
+    ]
 
 
 def cpu_mem_alert(cpu: Column, mem: Column, cpu_threshold: float, mem_threshold: float) -> Column:
@@ -48,6 +57,7 @@ def label_cpu_mem(
     df: DataFrame,
     cpu_threshold: float = K.CPU_THRESHOLD,
     mem_threshold: float = K.MEM_THRESHOLD,
+    full_time: bool = False,
 ) -> DataFrame:
     """CPU/MEM output rows (L1 + P14-P16).
 
@@ -58,7 +68,7 @@ def label_cpu_mem(
     cpu, mem = F.col("avg_cpu"), F.col("avg_mem")
     return df.select(
         "server_id",
-        *_bounds(),
+        *_bounds(full_time),
         cpu.cast("float").alias("avg_cpu"),
         mem.cast("float").alias("avg_mem"),
         cpu_mem_alert(cpu, mem, cpu_threshold, mem_threshold).alias("alert"),
@@ -69,16 +79,21 @@ def label_net_disk(
     df: DataFrame,
     net_threshold: float = K.NET_THRESHOLD,
     disk_threshold: float = K.DISK_THRESHOLD,
+    full_time: bool = False,
 ) -> DataFrame:
     """NET/DISK output rows (L2 + P14-P16)."""
     net, disk = F.col("max_net_in"), F.col("max_disk_io")
     return df.select(
         "server_id",
-        *_bounds(),
+        *_bounds(full_time),
         net.cast("double").alias("max_net_in"),
         disk.cast("double").alias("max_disk_io"),
         net_disk_alert(net, disk, net_threshold, disk_threshold).alias("alert"),
     )
 
 
-LABELLERS = {"cpu_mem": label_cpu_mem, "net_disk": label_net_disk}
+def label(windows: DataFrame, pair: MetricPair, thresholds: tuple[float, float] | None = None, full_time: bool = False) -> DataFrame:
+    """Output rows of a pair, with its default thresholds unless given (L3)."""
+    if pair.name == CPU_MEM.name:
+        return label_cpu_mem(windows, *(thresholds or (K.CPU_THRESHOLD, K.MEM_THRESHOLD)), full_time)
+    return label_net_disk(windows, *(thresholds or (K.NET_THRESHOLD, K.DISK_THRESHOLD)), full_time)

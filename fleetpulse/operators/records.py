@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import constants as K
-from ..functions import nan_to_null, once
+from ..functions import event_seconds, nan_to_null, once, parse_time_of_day
 from ..schemas import METRICS, Metric, MetricPair
 
 CORRUPT = "_corrupt_record"
@@ -62,26 +62,28 @@ def fan_out(samples: DataFrame, stamp: Column | str | None = None) -> DataFrame:
     """One wide sample -> four (topic, key, value) records.
 
     `stamp` is the send-time text; pass a literal for deterministic
-    output. Narrow (no shuffle): a Generate over each input partition.
+    output. A column `timestamp` (the broker's time) is carried along.
+    Narrow (no shuffle): a Generate over each input partition.
     """
     st = send_stamp() if stamp is None else (F.lit(stamp) if isinstance(stamp, str) else stamp)
+    carried = [c for c in ("timestamp",) if c in samples.columns]
     recs = F.array(
         *[
             F.struct(F.lit(m.topic).alias("topic"), encode_value(m, st).alias("value"))
             for m in METRICS.values()
         ]
     )
-    return samples.select(message_key(F.col("server_id")).alias("key"), F.explode(recs).alias("r")).select(
-        F.col("r.topic").alias("topic"), "key", F.col("r.value").cast("binary").alias("value")
+    return samples.select(message_key(F.col("server_id")).alias("key"), *carried, F.explode(recs).alias("r")).select(
+        F.col("r.topic").alias("topic"), "key", F.col("r.value").cast("binary").alias("value"), *carried
     )
 
 
-def _value_schema() -> T.StructType:
-    names = ["timestamp", "original_ts", "server_id", *ALL_MEASURES, CORRUPT]
+def _value_schema(measures: tuple[str, ...] = ALL_MEASURES) -> T.StructType:
+    names = ["original_ts", "server_id", *measures, CORRUPT]
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
-def decode(records: DataFrame) -> DataFrame:
+def decode(records: DataFrame, measures: tuple[str, ...] = ALL_MEASURES) -> DataFrame:
     """Parse every record's UTF-8 JSON value once.
 
     Output: `topic`, `key`, `valid`, `ts` (from `original_ts`),
@@ -91,25 +93,53 @@ def decode(records: DataFrame) -> DataFrame:
     non-numeric text gives null (D5). `valid` is false for text that is
     not a JSON object (bad JSON, arrays, scalars, empty): such rows are
     excluded from metric tables and kept for `quarantine` (D1).
+
+    `measures` names the measures to parse; none of them is enough for
+    counts, times and validity. A column `timestamp` of the records (the
+    broker's time) is carried along.
     """
     text = F.col("value").cast("string")
-    j = F.from_json(text, _value_schema(), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    j = F.from_json(text, _value_schema(measures), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    carried = [c for c in ("timestamp",) if c in records.columns]
     # Parse once: as a plain projection, every later filter on a parsed
     # field (validity, topic routing, time) would be pushed below it with
     # the parse copied in, one parse per predicate (see `once`).
-    parsed = records.select("topic", "key", text.alias("text"), once(j).alias("j"))
+    parsed = records.select("topic", "key", *carried, text.alias("text"), once(j).alias("j"))
     valid = F.col("j").isNotNull() & F.col(f"j.{CORRUPT}").isNull()
     return parsed.select(
         "topic",
         "key",
         "text",
+        *carried,
         valid.alias("valid"),
         F.col("j.original_ts").alias("ts"),
         F.col("j.server_id").alias("server_id"),
-        *[nan_to_null(F.col(f"j.{m}").try_cast("double")).alias(m) for m in ALL_MEASURES],
+        *[nan_to_null(F.col(f"j.{m}").try_cast("double")).alias(m) for m in measures],
     )
 
 
+def record_offset(records: DataFrame, topics: tuple[str, ...]) -> Column:
+    """Window offset of records as a scalar subquery (A2, A3): a pass that parses `original_ts` and validity only."""
+    from .status import offset_from_min
+
+    d = decode(records.filter(F.col("topic").isin(*topics)), measures=())
+    return d.filter("valid").select(once(event_seconds("ts")).alias("sec")).agg(offset_from_min(F.min("sec"))).scalar()
+
+
+def full_event_time(time_of_day: Column, received: Column) -> Column:
+    """A time of day on 1970-01-01 with the date it was received on.
+
+    A record sent shortly before midnight and received after it (or by a
+    clock ahead, the other way round) is moved a day, so that the two
+    times are never more than half a day apart.
+    """
+    day = F.date_trunc("day", received)
+    at = F.unix_seconds(day) + F.unix_seconds(time_of_day) - F.unix_seconds(F.date_trunc("day", time_of_day))
+    apart = at - F.unix_seconds(received)
+    half, whole = F.lit(43_200), F.lit(86_400)
+    return F.timestamp_seconds(F.when(apart > half, at - whole).when(apart < -half, at + whole).otherwise(at))
+
+
 def route(decoded: DataFrame, metric: Metric) -> DataFrame:
     """Landed-table rows of one metric: its topic, valid records only.
 
@@ -150,14 +180,19 @@ def route_all(decoded: DataFrame, metrics: tuple[str, ...] = ("cpu", "mem", "net
     )
 
 
-def records_long(decoded: DataFrame, pair: MetricPair) -> DataFrame:
+def records_long(decoded: DataFrame, pair: MetricPair, full_time: bool = False) -> DataFrame:
     """Long form (server_id, sec, l, r) of a pair straight from decoded
-    records of both topics: the one-subscription consumer, one scan."""
+    records of both topics: the one-subscription consumer, one scan.
+
+    `full_time=True` takes the date from the records' `timestamp` (D8);
+    records without one are dropped, as those without a time of day are.
+    """
     from .windows import tagged_long_form
 
     topic, valid = F.col("topic"), F.col("valid")
+    event_time = full_event_time(parse_time_of_day("ts"), F.col("timestamp")) if full_time else None
     return tagged_long_form(
-        decoded, pair, valid & (topic == F.lit(pair.left.topic)), valid & (topic == F.lit(pair.right.topic))
+        decoded, pair, valid & (topic == F.lit(pair.left.topic)), valid & (topic == F.lit(pair.right.topic)), event_time=event_time
     )
 
 

@@ -207,7 +207,7 @@ def slot_aggregates(long: DataFrame, pair: MetricPair, offset: int | Column) ->
     )
 
 
-def slot_window_aggregates(slots: DataFrame, pair: MetricPair) -> DataFrame:
+def slot_window_aggregates(slots: DataFrame, pair: MetricPair, by_server: bool = True) -> DataFrame:
     """Merge slot states into 30 s windows: (server_id, ws, window, aggregates).
 
     Slots are hash-partitioned on `server_id` once; the explode keeps that
@@ -215,9 +215,13 @@ def slot_window_aggregates(slots: DataFrame, pair: MetricPair) -> DataFrame:
     after it run without another shuffle. One server has at most one slot
     per 10 s of the day (8,640), so a partition holds a bounded number of
     rows per server however large the input is.
+
+    On full event times a server has as many slots as the data has 10 s,
+    so `by_server=False` merges on (server_id, ws): one more shuffle, and
+    no task that holds all of a server.
     """
     merged = (
-        slots.repartition("server_id")
+        (slots.repartition("server_id") if by_server else slots)
         .withColumn("ws", F.explode(window_starts(F.col("slot"))))
         .groupBy("server_id", "ws")
         .agg(*merged_states(pair))

@@ -15,11 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..operators.alerts import label_cpu_mem, label_net_disk
+from ..functions import slot_start
+from ..operators.alerts import label
 from ..operators.combine import combine_windows
 from ..operators.event_time import with_event_time
 from ..operators.status import offset_from_min
-from ..operators.warmup import drop_warmup
+from ..operators.warmup import drop_warmup, drop_warmup_by_first
 from ..operators.windows import (
     long_form,
     slot_aggregates,
@@ -70,14 +71,6 @@ def combined_windows(
     return long_windows(long_form(lt, rt, pair), pair, offset)
 
 
-def _label(windows: DataFrame, pair: MetricPair, thresholds: tuple[float, float] | None) -> DataFrame:
-    if pair.name == CPU_MEM.name:
-        cpu_t, mem_t = thresholds or (K.CPU_THRESHOLD, K.MEM_THRESHOLD)
-        return label_cpu_mem(windows, cpu_t, mem_t)
-    net_t, disk_t = thresholds or (K.NET_THRESHOLD, K.DISK_THRESHOLD)
-    return label_net_disk(windows, net_t, disk_t)
-
-
 def alerts(
     left: DataFrame,
     right: DataFrame,
@@ -90,7 +83,7 @@ def alerts(
     """Labelled alert rows of one job from two landed tables (unsorted;
     sorting is the sink's job)."""
     windows = drop_warmup(combined_windows(left, right, pair, offset, form), warmup)
-    return _label(windows, pair, thresholds)
+    return label(windows, pair, thresholds)
 
 
 def alerts_from_long(
@@ -102,7 +95,36 @@ def alerts_from_long(
 ) -> DataFrame:
     """Labelled alert rows from one long-form input (server_id, sec, l, r),
     e.g. `tagged_long_form` over a stream of both topics: one scan."""
-    return _label(drop_warmup(long_windows(long, pair, offset), warmup), pair, thresholds)
+    return label(drop_warmup(long_windows(long, pair, offset), warmup), pair, thresholds)
+
+
+def kept_windows(long: DataFrame, pair: MetricPair, offset: int | Column | None = None, since: int | None = None) -> DataFrame:
+    """Windows after the warm-up, without a step that gathers a server.
+
+    Windows are merged on (server, window) and the warm-up is found from
+    each server's first slot, so this holds on full event times (D8).
+    `since` (epoch seconds) gives only the windows that start at it or
+    later; older rows are then read for the servers' first slots alone.
+    """
+    if offset is None:
+        offset = long_offset(long)
+    slots = slot_aggregates(long if since is None else long.filter(F.col("sec") >= since), pair, offset)
+    windows = slot_window_aggregates(slots, pair, by_server=False)
+    firsts = slots
+    if since is not None:
+        windows = windows.filter(F.col("ws") >= since)
+        firsts = long.withColumn("slot", slot_start(F.col("sec"), offset)).select("server_id", "slot")
+    return drop_warmup_by_first(windows, firsts).drop("ws")
+
+
+def full_time_alerts(
+    long: DataFrame,
+    pair: MetricPair,
+    thresholds: tuple[float, float] | None = None,
+    offset: int | Column | None = None,
+) -> DataFrame:
+    """Alert rows of a long form on full event times (D8), with the windows' times."""
+    return label(kept_windows(long, pair, offset), pair, thresholds, full_time=True)
 
 
 def cpu_mem_alerts(

@@ -25,6 +25,8 @@ WIDE_SCHEMA = _fields(
 
 # Kafka-shaped record (S6-S8, P1): the columns the Kafka sink/source use.
 RECORD_SCHEMA = _fields(("topic", S), ("key", T.BinaryType()), ("value", T.BinaryType()))
+# The same with the time the broker received the record.
+TIMED_RECORD_SCHEMA = T.StructType([*RECORD_SCHEMA.fields, T.StructField("timestamp", T.TimestampType(), True)])
 
 # Landed, typed metric tables (S2-S5). Column order matters for CSV.
 CPU_SCHEMA = _fields(("ts", S), ("server_id", S), ("cpu_pct", F32))
@@ -43,6 +45,12 @@ NET_DISK_ALERT_SCHEMA = _fields(
 )
 
 
+def with_window_times(schema: T.StructType) -> T.StructType:
+    """An alert schema with the window's full start and end after the labels (full event time, D8)."""
+    times = [T.StructField(n, T.TimestampNTZType(), True) for n in ("window_start_time", "window_end_time")]
+    return T.StructType([*schema.fields[:3], *times, *schema.fields[3:]])
+
+
 @dataclass(frozen=True)
 class Metric:
     """One metric family: its topic, landed columns and window aggregate."""

@@ -7,8 +7,9 @@ silently moving values into the wrong columns.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import nan_to_null
 from ..schemas import METRICS, WIDE_SCHEMA, Metric
@@ -23,7 +24,33 @@ def _read_csv(spark: SparkSession, schema, path: str, recursive: bool = False) -
     )
     if recursive:
         r = r.option("recursiveFileLookup", True)
-    return r.csv(path)
+    return with_lines(r.csv(path))
+
+
+def _texts(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+
+
+def one_line(df: DataFrame) -> DataFrame:
+    """Text columns without line breaks, for CSV: a break would end the row.
+
+    `%0A` and `%0D` stand for them; a percent sign is written `%25` only
+    where it would read as one of these three.
+    """
+    def plain(c):
+        safe = F.regexp_replace(c, "%(?=25|0A|0D)", "%25")
+        return F.replace(F.replace(safe, F.lit("\n"), F.lit("%0A")), F.lit("\r"), F.lit("%0D"))
+
+    return df.withColumns({c: plain(F.col(c)) for c in _texts(df)})
+
+
+def with_lines(df: DataFrame) -> DataFrame:
+    """Inverse of `one_line`."""
+    def back(c):
+        lines = F.replace(F.replace(c, F.lit("%0A"), F.lit("\n")), F.lit("%0D"), F.lit("\r"))
+        return F.replace(lines, F.lit("%25"), F.lit("%"))
+
+    return df.withColumns({c: back(F.col(c)) for c in _texts(df)})
 
 
 def _nan_free(df: DataFrame, measures) -> DataFrame:
@@ -67,8 +94,8 @@ CSV_WRITE_OPTIONS = {"header": "true", "ignoreLeadingWhiteSpace": "false", "igno
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with header; null as an empty field; text kept exactly."""
-    df.write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
+    """CSV with header; null as an empty field; text kept exactly (line breaks as `one_line` writes them)."""
+    one_line(df).write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
 
 
 def land_metrics(decoded: DataFrame, base_path: str, metrics: tuple[str, ...], mode: str = "overwrite") -> dict[str, str]:
@@ -90,18 +117,29 @@ def land_metrics(decoded: DataFrame, base_path: str, metrics: tuple[str, ...], m
 
 
 def sort_alerts(df: DataFrame) -> DataFrame:
-    """Total order of alert rows by server and window labels (O1)."""
+    """Total order of alert rows by server and window labels (O1), or by
+    the windows' times where the rows have them (D8)."""
+    if "window_start_time" in df.columns:
+        return df.orderBy("server_id", "window_start_time", "window_end_time")
     return df.orderBy("server_id", "window_start", "window_end")
 
 
-def write_alerts(df: DataFrame, path: str, single_file: bool = False) -> None:
+def read_alerts(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
+    """Alert rows as `write_alerts` or a stream wrote them."""
+    return with_lines(spark.read.schema(schema).option("header", True).csv(path))
+
+
+def write_alerts(df: DataFrame, path: str, single_file: bool = False, seen: Observation | None = None) -> None:
     """Sorted alerts as CSV with header, overwriting.
 
     `single_file=True` gives the reference's one part file; it funnels
     the output through one task, so leave it off for large results (the
-    sorted parts are already in order by file name).
+    sorted parts are already in order by file name). `seen` gets the
+    number of rows written, as `rows`.
     """
     out = sort_alerts(df)
+    if seen is not None:
+        out = out.observe(seen, F.count(F.lit(1)).alias("rows"))
     if single_file:
         out = out.coalesce(1)
     write_table(out, path)

@@ -109,11 +109,21 @@ def metric_tables(events: DataFrame) -> dict[str, DataFrame]:
     return {m.name: metric_table(events, m) for m in (CPU, MEM, NET, DISK)}
 
 
-def wide_samples(events: DataFrame) -> DataFrame:
+# Fixed value: seconds between an event and its receipt by the broker (`timed` records).
+RECEIPT_DELAY = 90
+
+
+def received(ts: Column) -> Column:
+    """Time at which the broker got an event's records."""
+    return F.timestamp_seconds(F.unix_seconds(F.date_trunc("second", ts.cast("timestamp"))) + F.lit(RECEIPT_DELAY))
+
+
+def wide_samples(events: DataFrame, timed: bool = False) -> DataFrame:
     """Wide sample rows (the producer's `dataset` shape), one per event.
 
     Only the event's own metric is filled; the others are null, and a
-    signup event has no metric at all.
+    signup event has no metric at all. `timed=True` adds `timestamp`, the
+    broker's time of the sample's records.
     """
     et, v = F.col("event_type"), F.col("value")
 
@@ -128,6 +138,7 @@ def wide_samples(events: DataFrame) -> DataFrame:
         when("purchase", v * F.lit(NET_IN_SCALE)).alias("net_in"),
         when("purchase", v * F.lit(NET_OUT_SCALE)).alias("net_out"),
         when("error", v * F.lit(DISK_SCALE)).alias("disk_io"),
+        *([received(F.col("ts")).alias("timestamp")] if timed else []),
     )
 
 
@@ -136,7 +147,7 @@ FIXED_STAMP = "00:00:00"
 MALFORMED_FROM = "error"
 
 
-def event_records(events: DataFrame, stamp: str | None = FIXED_STAMP) -> DataFrame:
+def event_records(events: DataFrame, stamp: str | None = FIXED_STAMP, timed: bool = False) -> DataFrame:
     """Kafka-shaped records derived from every event.
 
     * each metric event (click, view, purchase, error) is one wide sample
@@ -144,11 +155,14 @@ def event_records(events: DataFrame, stamp: str | None = FIXED_STAMP) -> DataFra
     * each signup becomes one valid record on an unrouted topic;
     * each error event also sends one malformed (non-JSON) message on the
       disk topic, which decoding must quarantine.
+
+    `timed=True` adds the broker's time to every record.
     """
     from ..operators.records import fan_out, message_key
 
     metric_events = events.filter(F.col("event_type").isin(*EVENT_METRIC))
-    fanned = fan_out(wide_samples(metric_events), stamp)
+    fanned = fan_out(wide_samples(metric_events, timed), stamp)
+    at = [received(F.col("ts")).alias("timestamp")] if timed else []
     server = server_of(F.col("user_id"))
     other = events.filter(F.col("event_type") == F.lit(OTHER_EVENT)).select(
         F.lit(OTHER_TOPIC).alias("topic"),
@@ -156,10 +170,12 @@ def event_records(events: DataFrame, stamp: str | None = FIXED_STAMP) -> DataFra
         F.to_json(
             F.struct(time_of_day_text("ts").alias("original_ts"), server.alias("server_id"))
         ).cast("binary").alias("value"),
+        *at,
     )
     malformed = events.filter(F.col("event_type") == F.lit(MALFORMED_FROM)).select(
         F.lit(DISK.topic).alias("topic"),
         message_key(server).alias("key"),
         F.concat(F.lit("error:"), F.col("event_id").cast("string")).cast("binary").alias("value"),
+        *at,
     )
     return fanned.unionByName(other).unionByName(malformed)

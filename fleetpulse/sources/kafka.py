@@ -16,20 +16,26 @@ from ..functions import constants as K
 CPU_MEM_TOPICS = (K.TOPIC_CPU, K.TOPIC_MEM)
 NET_DISK_TOPICS = (K.TOPIC_NET, K.TOPIC_DISK)
 
+#: Records per micro-batch of a stream unless told otherwise.
+MAX_OFFSETS = 5_000_000
+
 
 def source_options(
     servers: str | list[str],
     topics: tuple[str, ...],
     starting: str = "earliest",
     min_partitions: int | None = None,
+    max_offsets: int | None = None,
+    fail_on_data_loss: bool = True,
 ) -> dict[str, str]:
     """Subscribe to `topics` from the earliest offset.
 
     The reference's consumer group with auto-commit becomes the stream's
     checkpoint (offsets are stored there, so a restarted query resumes);
     its 30 s idle stop becomes `trigger(availableNow=True)`: read what is
-    there, then stop. `failOnDataLoss=false` keeps a query alive when the
-    broker has already aged out old offsets.
+    there, then stop. A query fails when the broker has already aged out offsets
+    it has not read; `fail_on_data_loss=False` skips them unread instead.
+    `max_offsets` bounds the records of a micro-batch.
 
     Spark reads one task per Kafka partition by default, and the
     reference's topics have two partitions. `min_partitions` (for
@@ -42,8 +48,10 @@ def source_options(
         "kafka.bootstrap.servers": bootstrap,
         "subscribe": ",".join(topics),
         "startingOffsets": starting,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
+    if max_offsets:
+        opts["maxOffsetsPerTrigger"] = str(int(max_offsets))
     if min_partitions:
         opts["minPartitions"] = str(int(min_partitions))
     return opts
@@ -61,13 +69,19 @@ def read_topics(
     topics: tuple[str, ...],
     streaming: bool = True,
     min_partitions: int | None = None,
+    max_offsets: int | None = MAX_OFFSETS,
+    fail_on_data_loss: bool = True,
 ) -> DataFrame:
-    """Records (topic, key, value) from Kafka, as a stream or a batch."""
+    """Records (topic, key, value, timestamp) from Kafka, as a stream or a batch.
+
+    `timestamp` is the record's own in Kafka; with it a record's time of
+    day gets its date (`records.full_event_time`).
+    """
     reader = spark.readStream if streaming else spark.read
-    opts = source_options(servers, topics, min_partitions=min_partitions)
+    opts = source_options(servers, topics, min_partitions=min_partitions, max_offsets=max_offsets if streaming else None, fail_on_data_loss=fail_on_data_loss)
     if not streaming:
         opts["endingOffsets"] = "latest"
-    return reader.format("kafka").options(**opts).load().select("topic", "key", "value")
+    return reader.format("kafka").options(**opts).load().select("topic", "key", "value", "timestamp")
 
 
 def write_topics(records: DataFrame, servers, checkpoint: str | None = None):

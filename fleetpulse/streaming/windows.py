@@ -9,26 +9,29 @@ another watermark step, so the join form is not used on streams.
 
 A stream cannot know the global earliest event in advance, so the
 window offset is a parameter (decision D7); `bootstrap_offset` derives it
-from the data already there. `closing_windows` computes the windows a
-bounded stream leaves open behind its final watermark.
+from the data already there. `close_stream` completes a bounded stream:
+the windows left open behind its final watermark, or all windows if rows
+came too late. A stream runs on a session of its own (`stream_session`).
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import constants as K
 from ..functions import session_instant, wall_clock_as_utc
-from ..operators.alerts import label_cpu_mem, label_net_disk
-from ..operators.warmup import drop_warmup
+from ..operators.alerts import label
 from ..operators.event_time import with_event_time
 from ..operators.status import window_offset
+from ..operators.warmup import drop_warmup
 from ..operators.windows import final_measures, long_form, merged_states, partial_states, sliding_window
-from ..plans.jobs import long_windows
+from ..plans.jobs import kept_windows, long_windows
 from ..schemas import CPU_MEM, MetricPair
-from ..sources.csv_tables import CSV_WRITE_OPTIONS
+from ..sources.csv_tables import CSV_WRITE_OPTIONS, one_line
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -83,23 +86,10 @@ def stream_windows_long(
     )
 
 
-def stream_windows(
-    left: DataFrame,
-    right: DataFrame,
-    pair: MetricPair,
-    offset: int = 0,
-    watermark: str = "60 seconds",
-) -> DataFrame:
-    """`stream_windows_long` over two landed-row streams."""
-    lt, rt = with_event_time(left, pair.left), with_event_time(right, pair.right)
-    return stream_windows_long(long_form(lt, rt, pair), pair, offset, watermark)
-
-
 def stream_drop_warmup(windows: DataFrame, n: int = K.WARMUP_WINDOWS) -> DataFrame:
     """Apply `warmup_state.WarmupDrop` to the windows of `stream_windows_long` (T4).
 
-    Needs the RocksDB state store; `enable_state_store` sets it on the
-    session before the query starts.
+    Needs the RocksDB state store, which `stream_session` sets.
     """
     from pyspark import cloudpickle
 
@@ -119,6 +109,32 @@ def enable_state_store(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+#: Progress updates that a stream keeps, to count what it dropped.
+PROGRESS = 10_000
+
+
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session of its own for a stream, with the settings it needs.
+
+    `state_partitions` sets how many partitions each stateful operator
+    (slot states, window states, warm-up counters) has. Spark takes it
+    from `spark.sql.shuffle.partitions` when a checkpoint is first
+    created and keeps it for the checkpoint's life. Size it to the state,
+    not to the input: a few thousand windows need a few partitions, each
+    open partition costs a state store per micro-batch. None keeps the
+    session's value. The caller's session keeps its settings; build the
+    stream's source and plan on the one returned.
+    """
+    own = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        own.conf.set(key, spark.conf.get(key))
+    enable_state_store(own)
+    own.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(PROGRESS))
+    if state_partitions is not None:
+        own.conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
+    return own
+
+
 def stream_alert_rows(
     left: DataFrame | None = None,
     right: DataFrame | None = None,
@@ -127,11 +143,13 @@ def stream_alert_rows(
     watermark: str = "60 seconds",
     thresholds: tuple[float, float] | None = None,
     long: DataFrame | None = None,
+    full_time: bool = False,
 ) -> DataFrame:
     """Labelled alert rows of a pair, as a stream.
 
     Give two landed-row streams (`left`, `right`) or one long-form
     stream (`long`, e.g. `records_long` of a stream of both topics).
+    `full_time=True` adds the windows' times (D8).
     """
     if long is None:
         lt, rt = with_event_time(left, pair.left), with_event_time(right, pair.right)
@@ -140,46 +158,24 @@ def stream_alert_rows(
     framed = kept.withColumn(
         "window", F.struct(F.col("wstart").alias("start"), F.col("wend").alias("end"))
     )
-    if pair.name == CPU_MEM.name:
-        return label_cpu_mem(framed, *(thresholds or (K.CPU_THRESHOLD, K.MEM_THRESHOLD)))
-    return label_net_disk(framed, *(thresholds or (K.NET_THRESHOLD, K.DISK_THRESHOLD)))
-
-
-def stream_alerts(
-    rows: DataFrame,
-    path: str,
-    checkpoint: str,
-    available_now: bool = True,
-    state_partitions: int | None = None,
-) -> StreamingQuery:
+    return label(framed, pair, thresholds, full_time)
+
+
+def stream_alerts(rows: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Append alert rows to a CSV folder, checkpointed (T5).
 
-    `state_partitions` sets how many partitions each stateful operator
-    (slot states, window states, warm-up counters) has. Spark takes it
-    from `spark.sql.shuffle.partitions` when a checkpoint is first
-    created and keeps it for the checkpoint's life, so it is applied
-    only while the query starts. Size it to the state, not to the input:
-    a few thousand windows need a few partitions, each open partition
-    costs a state store per micro-batch. None keeps the session's value.
+    The stream runs with the settings of the session that its source was
+    built on (`stream_session`).
     """
     w = (
-        rows.writeStream.format("csv")
+        one_line(rows).writeStream.format("csv")
         .options(**CSV_WRITE_OPTIONS)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
     )
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    if state_partitions is None:
-        return w.start()
-    spark = rows.sparkSession
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(int(state_partitions)))
-    try:
-        return w.start()
-    finally:
-        spark.conf.set(key, before)
+    return w.start()
 
 
 def final_watermark(query: StreamingQuery) -> str | None:
@@ -192,27 +188,95 @@ def final_watermark(query: StreamingQuery) -> str | None:
     return None
 
 
+def input_batches(query: StreamingQuery) -> int:
+    """Micro-batches of a run that had input."""
+    return sum(p["numInputRows"] > 0 for p in query.recentProgress or [])
+
+
+def dropped_rows(query: StreamingQuery) -> int | None:
+    """State rows that a run dropped as later than its watermark; None if its first progress updates are gone.
+
+    A dropped state row stands for one or more input rows (the slot states
+    are combined before they reach the state store).
+    """
+    progress = query.recentProgress or []
+    if len(progress) >= PROGRESS:
+        return None
+    return sum(int(op.get("numRowsDroppedByWatermark") or 0) for p in progress for op in p.get("stateOperators", []))
+
+
+@dataclass
+class ClosedStream:
+    """All alert rows of a bounded stream, what it dropped as late and how many micro-batches had input."""
+
+    rows: DataFrame
+    dropped: int | None
+    batches: int
+
+
+def close_stream(
+    query: StreamingQuery,
+    streamed: DataFrame,
+    long: DataFrame,
+    pair: MetricPair,
+    offset: int,
+    thresholds: tuple[float, float] | None = None,
+    full_time: bool = False,
+    on_late: str = "recompute",
+) -> ClosedStream:
+    """Complete the output of a drained stream from a batch read of the same data (`long`).
+
+    Without late rows the streamed rows are right and only the windows
+    behind the final watermark are missing: `closing_windows` adds them.
+    A row dropped as late makes windows that were already written wrong,
+    and may move a server's warm-up, and a stream does not say which rows
+    they were. So if any was dropped (or the count is not known), the
+    result is computed anew from all data and replaces the streamed rows;
+    `on_late="fail"` raises instead. Counts are those of this run of the
+    query; after restarts add up the runs, or recompute.
+    """
+    dropped = dropped_rows(query)
+    if dropped == 0:
+        rows = streamed.unionByName(closing_windows(long, pair, offset, final_watermark(query), thresholds, full_time))
+    elif on_late == "fail":
+        raise LateRowsError(f"the stream dropped {dropped} late state rows")
+    else:
+        kept = kept_windows(long, pair, offset) if full_time else drop_warmup(long_windows(long, pair, offset))
+        rows = label(kept, pair, thresholds, full_time)
+    return ClosedStream(rows, dropped, input_batches(query))
+
+
+class LateRowsError(RuntimeError):
+    """A stream dropped rows that came later than its watermark."""
+
+
+#: Read so much before the open windows, whatever the session's time zone does meanwhile.
+_MARGIN = 3 * 3600
+
+
 def closing_windows(
     long: DataFrame,
     pair: MetricPair,
     offset: int,
     watermark: str | None,
     thresholds: tuple[float, float] | None = None,
+    full_time: bool = False,
 ) -> DataFrame:
     """Alert rows a bounded stream left open: windows ending after `watermark`.
 
     A drained stream (`availableNow`) emits a window only once the
     watermark passes its end, so the last windows never come out. Run
     this batch plan over the same data (`long` as a batch, e.g. the
-    landed tables) with the stream's offset and `final_watermark`; the
-    stream's rows plus these are the batch result. Rows the stream
-    dropped as late are not recovered (they are counted by the batch
-    only).
+    landed tables) with the stream's offset and `final_watermark`. Only
+    rows near the watermark and later are aggregated; of the older ones
+    just each server's first event is looked up. If the stream dropped
+    late rows this is not enough: use `close_stream`.
     """
-    windows = drop_warmup(long_windows(long, pair, offset))
-    if watermark is not None:
+    if watermark is None:
+        windows = kept_windows(long, pair, offset)
+    else:
         wm = F.to_timestamp(F.lit(watermark))
+        since = long.sparkSession.range(1).select(F.unix_seconds(session_instant(wm)).alias("s")).first().s
+        windows = kept_windows(long, pair, offset, since=int(since) - K.WINDOW_SECONDS - _MARGIN)
         windows = windows.filter(wall_clock_as_utc(F.col("window.end")) > wm)
-    if pair.name == CPU_MEM.name:
-        return label_cpu_mem(windows, *(thresholds or (K.CPU_THRESHOLD, K.MEM_THRESHOLD)))
-    return label_net_disk(windows, *(thresholds or (K.NET_THRESHOLD, K.DISK_THRESHOLD)))
+    return label(windows, pair, thresholds, full_time)

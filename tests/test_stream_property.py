@@ -46,7 +46,7 @@ def test_stream_plus_closing_is_batch(spark, left, right):
     off = bootstrap_offset(cpu_b, mem_b)
     cpu_s = spark.readStream.schema(CPU_SCHEMA).parquet(f"{base}/cpu")
     mem_s = spark.readStream.schema(MEM_SCHEMA).parquet(f"{base}/mem")
-    q = stream_alerts(stream_alert_rows(cpu_s, mem_s, CPU_MEM, offset=off), f"{base}/out", f"{base}/ck", state_partitions=2)
+    q = stream_alerts(stream_alert_rows(cpu_s, mem_s, CPU_MEM, offset=off), f"{base}/out", f"{base}/ck")
     q.awaitTermination()
     streamed = spark.read.schema(CPU_MEM_ALERT_SCHEMA).option("header", True).csv(f"{base}/out")
     long_b = long_form(with_event_time(cpu_b, CPU), with_event_time(mem_b, MEM), CPU_MEM)

@@ -12,7 +12,7 @@ from fleetpulse.session import shared_dir
 from fleetpulse.sources.csv_tables import read_metric
 from fleetpulse.sources.events import event_records, read_events
 from fleetpulse.streaming.ingest import land_stream, metric_stream, read_record_files
-from fleetpulse.streaming.windows import bootstrap_offset, enable_state_store, stream_alert_rows, stream_alerts
+from fleetpulse.streaming.windows import bootstrap_offset, enable_state_store, stream_alert_rows, stream_alerts, stream_session
 
 
 def _split_records(spark, base):
@@ -169,11 +169,11 @@ def test_state_partitions_fixed_in_checkpoint_only(spark):
     from fleetpulse.schemas import CPU_MEM
 
     base = shared_dir(spark, "stateparts")
-    enable_state_store(spark)
+    own = stream_session(spark, 3)
     event_records(read_events(spark, SF001)).write.parquet(f"{base}/in")
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    rows_ = stream_alert_rows(long=records_long(decode(read_record_files(spark, f"{base}/in")), CPU_MEM))
-    stream_alerts(rows_, f"{base}/out", f"{base}/ck", state_partitions=3).awaitTermination()
+    rows_ = stream_alert_rows(long=records_long(decode(read_record_files(own, f"{base}/in")), CPU_MEM))
+    stream_alerts(rows_, f"{base}/out", f"{base}/ck").awaitTermination()
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     meta = [json.loads(ln) for ln in open(sorted(glob.glob(f"{base}/ck/offsets/[0-9]*"))[0]) if ln.startswith("{")]
     assert any(m.get("conf", {}).get("spark.sql.shuffle.partitions") == "3" for m in meta)
