@@ -8,12 +8,13 @@ thin adapters of `sources.kafka`, and every flow also runs on files of
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.records import fan_out, replay_order
 from ..sources.csv_tables import read_samples
-from ..sources.kafka import CPU_MEM_TOPICS, NET_DISK_TOPICS, read_topics, write_topics
-from ..streaming.ingest import land_stream, read_record_files
+from ..sources.kafka import CPU_MEM_TOPICS, MAX_OFFSETS, NET_DISK_TOPICS, read_topics, write_topics
+from ..streaming.ingest import MAX_FILES, land_stream, read_record_files
 
 CONSUMER_TOPICS = {"cpu_mem": CPU_MEM_TOPICS, "net_disk": NET_DISK_TOPICS}
 CONSUMER_METRICS = {"cpu_mem": ("cpu", "mem"), "net_disk": ("net", "disk")}
@@ -22,15 +23,28 @@ CONSUMER_METRICS = {"cpu_mem": ("cpu", "mem"), "net_disk": ("net", "disk")}
 def producer_records(samples: DataFrame, stamp: Column | str | None = None) -> DataFrame:
     """Wide samples -> (topic, key, value) records in replay order.
 
-    The sort is what keeps one server's messages in `ts` order inside its
-    Kafka partition (the key is the server id).
+    The rows of the result are in `ts` order over its partitions. A write
+    runs those partitions at the same time, so for the order inside a
+    Kafka partition use `publish_samples`.
     """
     return fan_out(replay_order(samples), stamp)
 
 
-def publish_samples(spark: SparkSession, samples_path: str, servers, stamp: str | None = None) -> None:
-    """Producer: read the sample CSV and publish four records per sample."""
-    write_topics(producer_records(read_samples(spark, samples_path), stamp), servers)
+def keyed_records(samples: DataFrame, partitions: int, stamp: Column | str | None = None) -> DataFrame:
+    """Records dealt out by server, each server's in `ts` order (P5).
+
+    All of a server's records are in one partition and so are sent by one
+    task, one after another: a server that holds a large share of all
+    samples makes that task long. The order asks for that; Kafka keeps
+    one partition per key as well.
+    """
+    dealt = samples.filter(F.col("ts").isNotNull()).repartition(partitions, "server_id")
+    return fan_out(dealt.sortWithinPartitions("ts", "server_id"), stamp)
+
+
+def publish_samples(spark: SparkSession, samples_path: str, servers, stamp: str | None = None, partitions: int = 200) -> None:
+    """Producer: read the sample CSV and publish four records per sample, each server's in order."""
+    write_topics(keyed_records(read_samples(spark, samples_path), partitions, stamp), servers)
 
 
 def consume(
@@ -42,17 +56,19 @@ def consume(
     record_files: str | None = None,
     fmt: str = "csv",
     min_partitions: int | None = None,
+    max_offsets: int | None = MAX_OFFSETS,
+    max_files: int | None = MAX_FILES,
 ) -> StreamingQuery:
     """Consumer: subscribe to a role's two topics and land them.
 
     Reads Kafka when `servers` is given, else a folder of record files.
     Runs `availableNow`: drains what is there and stops; a rerun resumes
-    from the checkpoint.
+    from the checkpoint. `max_offsets` or `max_files` bounds a micro-batch.
     """
     if servers is not None:
-        records = read_topics(spark, servers, CONSUMER_TOPICS[role], streaming=True, min_partitions=min_partitions)
+        records = read_topics(spark, servers, CONSUMER_TOPICS[role], streaming=True, min_partitions=min_partitions, max_offsets=max_offsets)
     elif record_files is not None:
-        records = read_record_files(spark, record_files)
+        records = read_record_files(spark, record_files, max_files=max_files)
     else:
         raise ValueError("give Kafka servers or a record folder")
     return land_stream(records, base_path, CONSUMER_METRICS[role], checkpoint, fmt=fmt)

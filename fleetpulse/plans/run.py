@@ -3,18 +3,21 @@
 The reference job scans each input five times (two counts, an
 existence probe, a minimum, the result). Here: one aggregate pass gives
 the counts, the guard status and the offset; the offset then goes into
-the plan as a literal, and the result pass writes the sorted output.
+the plan as a literal, and the result pass writes the sorted output and
+counts it on the way. Tables that a stream landed come with their counts
+and earliest times, so they need no first pass.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
-from ..operators.status import STATUS_NO_DATA, STATUS_NO_TIME, input_status
+from ..operators.status import STATUS_NO_DATA, STATUS_NO_TIME, input_status, landed_status
 from ..schemas import PAIRS, MetricPair
 from ..sources.csv_tables import read_table, write_alerts
+from ..streaming.ingest import read_landed_times
 from .jobs import alerts
 
 
@@ -29,6 +32,7 @@ class JobResult:
     right_rows: int
     window_offset: int | None
     output: str | None
+    rows: int = 0
 
 
 def run_alert_job(
@@ -40,21 +44,28 @@ def run_alert_job(
     thresholds: tuple[float, float] | None = None,
     single_file: bool = False,
     fmt: str = "csv",
+    landed_base: str | None = None,
 ) -> JobResult:
     """Run one alert job over landed tables (CSV by default, as the
     reference; `fmt="parquet"` at scale).
 
     Both inputs empty -> status `no data`, nothing written (P12). No
-    parseable time anywhere -> `NoEventTimeError` (P13).
+    parseable time anywhere -> `NoEventTimeError` (P13). The result's row
+    count (A1) is observed while it is written. `landed_base` is the
+    folder of a stream's landing that the two tables are part of: guards
+    and offset then come from its `times` table.
     """
     p = PAIRS[pair] if isinstance(pair, str) else pair
-    left = read_table(spark, p.left, left_path, fmt)
-    right = read_table(spark, p.right, right_path, fmt)
-    st = input_status(left, right).first()
+    streamed = landed_base is not None
+    left = read_table(spark, p.left, left_path, fmt, recursive=streamed)
+    right = read_table(spark, p.right, right_path, fmt, recursive=streamed)
+    status = landed_status(read_landed_times(spark, landed_base), p) if streamed else input_status(left, right)
+    st = status.first()
     if st.status == STATUS_NO_DATA:
         return JobResult(st.status, 0, 0, None, None)
     if st.status == STATUS_NO_TIME:
         raise NoEventTimeError("all timestamps are null or unparseable; expected HH:mm:ss")
     out = alerts(left, right, p, thresholds, offset=int(st.window_offset))
-    write_alerts(out, out_path, single_file=single_file)
-    return JobResult(st.status, st.left_rows, st.right_rows, int(st.window_offset), out_path)
+    seen = Observation()
+    write_alerts(out, out_path, single_file=single_file, seen=seen)
+    return JobResult(st.status, st.left_rows, st.right_rows, int(st.window_offset), out_path, seen.get["rows"])

@@ -40,11 +40,14 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder under the cluster's shared checkpoint location.
 
-    Reads `spark.checkpoint.dir` from the session. Only when it is unset
-    (local tests) a default is set, under the system temp folder.
+    Reads `spark.checkpoint.dir` from the session. Only on a local master
+    (tests) a default is set when it is unset, under the system temp
+    folder; executors of a cluster would not see that folder.
     """
     base = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY, None)
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that the driver and all executors share")
         import tempfile
 
         base = tempfile.mkdtemp(prefix="fleetpulse-ckpt-")

@@ -8,25 +8,46 @@ they are stateless column expressions.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.records import decode, route, topic_counts
-from ..schemas import METRICS, RECORD_SCHEMA, Metric
-from ..sources.csv_tables import CSV_WRITE_OPTIONS, read_table
+from ..operators.records import decode, quarantine, route, topic_counts
+from ..operators.status import landed_times
+from ..schemas import METRICS, RECORD_SCHEMA, TIMED_RECORD_SCHEMA, Metric
+from ..sources.csv_tables import CSV_WRITE_OPTIONS, one_line, read_table
 
 COUNTS = "counts"
+TIMES = "times"
+QUARANTINE = "quarantine"
+
+#: Files per micro-batch unless told otherwise: bounds what a batch holds.
+MAX_FILES = 1000
+
 
+def read_record_files(
+    spark: SparkSession, path: str, fmt: str = "parquet", max_files: int | None = MAX_FILES, timed: bool = False
+) -> DataFrame:
+    """Stream of records from files of (topic, key, value) rows.
 
-def read_record_files(spark: SparkSession, path: str, fmt: str = "parquet", max_files: int | None = None) -> DataFrame:
-    """Stream of records from files of (topic, key, value) rows."""
-    r = spark.readStream.schema(RECORD_SCHEMA).format(fmt)
+    `timed=True` also reads the column `timestamp`, the time a broker
+    received the record. `max_files=None` reads all files there are in
+    one micro-batch.
+    """
+    r = spark.readStream.schema(TIMED_RECORD_SCHEMA if timed else RECORD_SCHEMA).format(fmt)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.load(path)
 
 
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that owns a checkpoint; it stays the same over restarts."""
+    text = "".join(r.value for r in spark.read.text(f"{checkpoint.rstrip('/')}/metadata").collect())
+    return json.loads(text)["id"]
+
+
 def metric_stream(records: DataFrame, metric: str) -> DataFrame:
     """Landed-table rows of one metric from a record stream."""
     return route(decode(records), METRICS[metric])
@@ -44,30 +65,45 @@ def land_stream(
 
     One query reads the source once per micro-batch; the batch is decoded
     once and routed to every metric table. Each micro-batch writes into
-    its own `batch=<id>` folder with overwrite, so a batch replayed after
-    a failure rewrites the same folder: exactly-once output on top of the
-    checkpointed source offsets. Every batch writes every metric, empty
-    or not, so a metric without records is still a readable, typed table
-    (S11). Per-topic message, stored and quarantined counts of the batch
-    go to `<base>/counts` (A9; `landing_counts` sums them).
+    its own `batch=<checkpoint's id>-<batch id>` folder with overwrite, so
+    a batch replayed after a failure rewrites the same folder:
+    exactly-once output on top of the checkpointed source offsets. A new
+    checkpoint has a new id and adds to what is there. Every batch writes
+    every metric, empty or not, so a metric without records is still a
+    readable, typed table (S11). Per-topic message, stored and
+    quarantined counts of the batch go to `<base>/counts` (A9;
+    `landing_counts` sums them), each metric's rows, timed rows and
+    earliest event to `<base>/times` (`landed_status` reads a job's guards
+    and offset from them) and the payloads that do not decode to
+    `<base>/quarantine` (`read_quarantine`).
+
+    The batch is cached while its tables are written; the source's limit
+    per trigger bounds it.
 
     `fmt="csv"` (with header) is the reference's landing format; use
     `"parquet"` at scale. Read a landed table back with `read_landed`.
     """
     base = base_path.rstrip("/")
+    ids: list[str] = []
 
     def _land(batch: DataFrame, batch_id: int) -> None:
         decoded = decode(batch).persist()
         try:
-            part = f"batch={batch_id:012d}"
+            if not ids:
+                ids.append(checkpoint_id(batch.sparkSession, checkpoint))
+            part = f"batch={ids[0]}-{batch_id:012d}"
             for name in metrics:
-                w = route(decoded, METRICS[name]).write.mode("overwrite")
+                rows = route(decoded, METRICS[name])
+                w = (one_line(rows) if fmt == "csv" else rows).write.mode("overwrite")
                 if fmt == "csv":
                     w.options(**CSV_WRITE_OPTIONS).csv(f"{base}/{name}/{part}")
                 else:
                     w.format(fmt).save(f"{base}/{name}/{part}")
             counts = topic_counts(decoded).withColumn("batch_id", F.lit(batch_id).cast("long"))
             counts.write.mode("overwrite").parquet(f"{base}/{COUNTS}/{part}")
+            times = landed_times(decoded, metrics).withColumn("batch_id", F.lit(batch_id).cast("long"))
+            times.write.mode("overwrite").parquet(f"{base}/{TIMES}/{part}")
+            quarantine(decoded).write.mode("overwrite").parquet(f"{base}/{QUARANTINE}/{part}")
         finally:
             decoded.unpersist()
 
@@ -90,3 +126,13 @@ def landing_counts(spark: SparkSession, base_path: str) -> DataFrame:
         F.sum("stored").alias("stored"),
         F.sum("quarantined").alias("quarantined"),
     )
+
+
+def read_quarantine(spark: SparkSession, base_path: str) -> DataFrame:
+    """Records that did not decode in any landed micro-batch: topic, key, text."""
+    return spark.read.option("recursiveFileLookup", True).parquet(f"{base_path.rstrip('/')}/{QUARANTINE}")
+
+
+def read_landed_times(spark: SparkSession, base_path: str) -> DataFrame:
+    """Rows, timed rows and earliest event second of each metric and micro-batch of a landing."""
+    return spark.read.option("recursiveFileLookup", True).parquet(f"{base_path.rstrip('/')}/{TIMES}")
