@@ -43,6 +43,7 @@ SIGNATURE = 64  # minwise values of a class
 TREES = 6
 LEAF = 256  # members that are compared exhaustively
 DEPTH = 16  # levels of a tree
+PART = 4096  # members of a node that meet its pivot in one task, about
 SECOND = 0.3  # share of nodes that branch on a second position
 SLACK = 0.2  # signatures may agree by so much less than the threshold: over 4 standard deviations
 TIGHT = 8  # a node is alike if at most one in TIGHT members is unlike its pivot
@@ -231,9 +232,13 @@ def tree_nodes(classes: DataFrame, trees: int, leaf: int, depth: int, size: int,
         if level == depth:
             stuck = big
         else:
-            pivots = big.groupBy("node").agg(F.min("id").alias("id")).join(classes, "id").select("node", F.col("sig").alias("pivot"))
+            # A node of any size meets its pivot in parts of a bounded number of members.
+            parts = F.ceil(F.col("n") / PART)
+            pivots = big.groupBy("node").agg(F.min("id").alias("id"), F.max("n").alias("n")).join(classes, "id")
+            pivots = pivots.select("node", F.col("sig").alias("pivot"), F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
             same = F.aggregate(F.zip_with("sig", "pivot", lambda x, y: (x == y).cast("int")), F.lit(0), lambda x, y: x + y)
-            scored = big.join(classes, "id").join(pivots, "node").select("node", "n", (same < least).cast("long").alias("far"))
+            dealt = big.withColumn("part", F.pmod(F.xxhash64("id"), parts)).join(classes, "id").join(pivots, ["node", "part"])
+            scored = dealt.groupBy("node", "part").agg(F.max("n").alias("n"), F.sum((same < least).cast("long")).alias("far"))
             alike = scored.groupBy("node").agg(F.max("n").alias("n"), F.sum("far").alias("far")).filter(F.col("far") * TIGHT <= F.col("n"))
             alike = written(alike.select("node"), "near-alike")
             stuck = big.join(alike, "node", "left_semi")
