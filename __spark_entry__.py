@@ -70,7 +70,7 @@ from fleetpulse.sources.csv_tables import read_alerts, read_samples, sort_alerts
 from fleetpulse.sources.events import (
     EVENTS_SCHEMA,
     event_records,
-    metric_table,
+    metric_tables,
     pair_long_table,
     read_events,
     read_events_at,
@@ -105,8 +105,7 @@ def _state_partitions(spark: SparkSession) -> int:
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    ev = read_events(spark, sf_dir)
-    return {m.name: metric_table(ev, m) for m in (CPU, MEM, NET, DISK)}
+    return metric_tables(read_events(spark, sf_dir))
 
 
 def _labels(df: DataFrame, *measures: str) -> DataFrame:

@@ -11,7 +11,7 @@ from fleetpulse.schemas import CPU_SCHEMA, NET_SCHEMA
 from fleetpulse.session import shared_dir
 from fleetpulse.sources.csv_tables import read_metric, write_table
 
-text = st.one_of(st.none(), st.sampled_from(["s1", "a,b", 'q"uote', "  pad ", "x\ty", "ünï"]))
+text = st.one_of(st.none(), st.sampled_from(["s1", "a,b", 'q"uote', "  pad ", "x\ty", "ünï", "a\nb", "c\r\nd", "%0A", "50%"]))
 times = st.one_of(st.none(), st.sampled_from(["20:52:00", "00:00:05", "9:05:00"]))
 doubles = st.one_of(st.none(), st.floats(allow_nan=False, allow_infinity=False, width=64, min_value=-1e12, max_value=1e12))
 
