@@ -130,8 +130,10 @@ def clashing(docs: DataFrame, fps: DataFrame, chunk: int = CHUNK) -> DataFrame:
     The comparison is an aggregate, so each task first merges its own
     copies: a group of any size sends one chunk row per task.
     """
-    shared = fps.groupBy(*_KEY).agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    members = fps.join(shared, _KEY, "left_semi").select("sha", *_KEY).distinct()
+    # One row per distinct text from here on; each task merges its copies first.
+    texts = fps.groupBy("sha", *_KEY).agg(F.count("*").alias("n"))
+    shared = texts.groupBy(*_KEY).agg(F.sum("n").alias("n")).filter("n > 1").drop("n")
+    members = texts.drop("n").join(shared, _KEY, "left_semi")
     data = docs.select(F.encode(text_column(), "UTF-8").alias("data"))
     data = data.select(F.sha2("data", 256).alias("sha"), "data")
     cut = F.transform(
