@@ -41,7 +41,7 @@ WORDS = 5
 PERCENT = 85  # 100 * intersection >= PERCENT * union
 SIGNATURE = 64  # minwise values of a class
 TREES = 6
-LEAF = 256  # members that are compared exhaustively
+LEAF = 1024  # members that are compared exhaustively
 DEPTH = 16  # levels of a tree
 PART = 4096  # members of a node that meet its pivot in one task, about
 SECOND = 0.3  # share of nodes that branch on a second position
@@ -154,21 +154,46 @@ def _alike(sigs: np.ndarray, least: int) -> Iterator[np.ndarray]:
             yield np.array(group)
 
 
-def _links(sets: np.ndarray, sizes: np.ndarray, ids: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links that span the components of a group, each confirmed on full sets."""
+#: Shingles of a group that are compared by one table; beyond it, pair by pair in the memory of two sets.
+TABLE = 4_000_000
+
+
+def _common(sets: np.ndarray, sizes: np.ndarray):
+    """A function of i and the members asked for: how many shingles each of them shares with member i."""
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    if len(sets) > TABLE:
+
+        def by_pair(i: int, asked: np.ndarray) -> np.ndarray:
+            own, out = sets[starts[i] : starts[i] + sizes[i]], np.zeros(len(sizes), np.int64)
+            for j in np.flatnonzero(asked):
+                out[j] = len(np.intersect1d(own, sets[starts[j] : starts[j] + sizes[j]], assume_unique=True))
+            return out
+
+        return by_pair
     _, local = np.unique(sets, return_inverse=True)
     mark = np.zeros(local.max() + 1, bool)
+
+    def by_table(i: int, asked: np.ndarray) -> np.ndarray:
+        own = local[starts[i] : starts[i] + sizes[i]]
+        mark[own] = True
+        out = np.add.reduceat(mark[local], starts, dtype=np.int64)
+        mark[own] = False
+        return out
+
+    return by_table
+
+
+def _links(sets: np.ndarray, sizes: np.ndarray, ids: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links that span the components of a group, each confirmed on full sets."""
+    common_with = _common(sets, sizes)
     root = np.arange(len(ids))
     out = []
     for i in range(len(ids)):
-        if (root == root[i]).all():
+        apart = root != root[i]
+        if not apart.any():
             break
-        own = local[starts[i] : starts[i] + sizes[i]]
-        mark[own] = True
-        common = np.add.reduceat(mark[local], starts, dtype=np.int64)
-        mark[own] = False
-        linked = (100 * common >= percent * (sizes[i] + sizes - common)) & (root != root[i])
+        common = common_with(i, apart)
+        linked = (100 * common >= percent * (sizes[i] + sizes - common)) & apart
         for j in np.flatnonzero(linked):
             if root[j] != root[i]:
                 out.append((int(ids[i]), int(ids[j])))
@@ -218,12 +243,15 @@ def confirmed(groups: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Dat
 def tree_nodes(classes: DataFrame, trees: int, leaf: int, depth: int, size: int, percent: int) -> tuple[DataFrame, DataFrame | None]:
     """Leaves (node, id), and the nodes that do not come apart (node, id, n) or None, of all trees."""
     spread = [int(i) for i in np.random.default_rng(3).permutation(max(size, trees))[:trees] % size]
-    rows = classes.select("id", F.explode(F.array(*[F.xxhash64(F.lit(r), F.col("sig")[p]) for r, p in enumerate(spread)])).alias("node"))
-    least = int(size * (percent / 100 - SLACK))
+    roots = F.array(*[F.struct(F.lit(r).alias("tree"), F.xxhash64(F.lit(r), F.col("sig")[p]).alias("node")) for r, p in enumerate(spread)])
+    rows = classes.select("id", F.explode(roots).alias("r")).select("id", "r.tree", "r.node")
+    # Each level of a tree draws from positions of its own, so that no node branches where an ancestor did.
+    width = max(2, size // (depth + 1))
+    linked = int(size * percent / 100)  # values that a linked pair has in common, or most of such pairs
     leaves, tight = None, None
     for level in range(depth + 1):
         sized = rows.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1")
-        rows = written(rows.join(sized, "node").select("node", "id", "n"), "near-level")
+        rows = written(rows.join(sized, "node").select("node", "id", "tree", "n"), "near-level")
         done = rows.filter(F.col("n") <= leaf).select("node", "id")
         leaves = done if leaves is None else leaves.unionByName(done)
         big = rows.filter(F.col("n") > leaf)
@@ -238,18 +266,21 @@ def tree_nodes(classes: DataFrame, trees: int, leaf: int, depth: int, size: int,
             pivots = pivots.select("node", F.col("sig").alias("pivot"), F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
             same = F.aggregate(F.zip_with("sig", "pivot", lambda x, y: (x == y).cast("int")), F.lit(0), lambda x, y: x + y)
             dealt = big.withColumn("part", F.pmod(F.xxhash64("id"), parts)).join(classes, "id").join(pivots, ["node", "part"])
-            scored = dealt.groupBy("node", "part").agg(F.max("n").alias("n"), F.sum((same < least).cast("long")).alias("far"))
+            scored = dealt.groupBy("node", "part").agg(F.max("n").alias("n"), F.sum((same < linked).cast("long")).alias("far"))
             alike = scored.groupBy("node").agg(F.max("n").alias("n"), F.sum("far").alias("far")).filter(F.col("far") * TIGHT <= F.col("n"))
             alike = written(alike.select("node"), "near-alike")
             stuck = big.join(alike, "node", "left_semi")
             big = big.join(alike, "node", "left_anti")
+        stuck = stuck.select("node", "id", "n")
         tight = stuck if tight is None else tight.unionByName(stuck)
-        first = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(size)).cast("int")
-        other = F.pmod(first + 1 + F.pmod(F.xxhash64("node", F.lit(2)), F.lit(size - 1)), F.lit(size)).cast("int")
+        start = F.lit(level * width) + F.col("tree") * F.lit(max(1, size // trees))
+        pick = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(width))
+        other = F.pmod(pick + 1 + F.pmod(F.xxhash64("node", F.lit(2)), F.lit(width - 1)), F.lit(width))
+        first, other = (F.pmod(start + x, F.lit(size)).cast("int") for x in (pick, other))
         two = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(1000)) < int(1000 * SECOND)
         child = lambda c, p: F.xxhash64("node", F.lit(c), F.element_at("sig", p + 1))
         keys = F.when(two, F.array(child(0, first), child(1, other))).otherwise(F.array(child(0, first)))
-        rows = big.join(classes, "id").select("id", F.explode(keys).alias("node"))
+        rows = big.join(classes, "id").select("id", "tree", F.explode(keys).alias("node"))
         if level == depth:
             break
     return leaves, tight

@@ -60,6 +60,13 @@ def test_branching_and_tight_nodes_lose_nothing(spark):
     assert run(spark, rows, leaf=3, trees=10, depth=6) == brute(rows)
 
 
+def test_groups_too_large_for_a_table_give_the_same_links(spark, monkeypatch):
+    rows = corpus(3, families=6)
+    want = run(spark, rows)
+    monkeypatch.setattr(N, "TABLE", 10)
+    assert run(spark, rows) == want == brute(rows)
+
+
 def test_repeated_rows_and_null_ids(spark):
     t = " ".join(map(str, range(40)))
     u = " ".join(map(str, range(100, 140)))
