@@ -22,13 +22,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, rows: int | None = None, per_file: int = 100_000) -> DataFrame:
     """Write `df` as Parquet in the shared folder and read it back.
 
     Cuts lineage so that a lost executor costs no recomputation upstream,
-    and gives the planner the true size of the table.
+    and gives the planner the true size of the table. With `rows`, a bound
+    on the rows there may be, they go to files of about `per_file` rows:
+    a small table is then not scattered over as many files as there are
+    shuffle partitions.
     """
     spark = df.sparkSession
+    if rows is not None:
+        df = df.repartition(max(1, -(-rows // per_file)))
     path = shared_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

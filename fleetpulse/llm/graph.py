@@ -13,26 +13,27 @@ def _sum(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.pmod(h, F.lit(1 << 31))), F.bit_xor(h)).first())
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", rows: int | None = None) -> DataFrame:
     """(id, root) of every id that occurs in a link with another id; root is the smallest id reachable.
 
     Every round first links each id's larger neighbours to its smallest
     neighbour, then each id and its smaller neighbours to the smallest of
     them, until only stars around the roots remain. Links stay distributed;
     each round is a few joins on ids and is written to the shared folder.
-    Null ids and links from an id to itself are ignored.
+    Null ids and links from an id to itself are ignored. `rows` bounds the
+    number of links, for the number of files.
     """
     e = edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    e = written(e, "links")
+    e = written(e, "links", rows)
     before = _sum(e)
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = written(large, "links")
+        large = written(large, "links", before[0])
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = written(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "links")
+        e = written(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "links", before[0])
         now = _sum(e)
         if now == before:
             break

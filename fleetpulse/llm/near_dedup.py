@@ -247,32 +247,35 @@ def tree_nodes(classes: DataFrame, trees: int, leaf: int, depth: int, size: int,
     rows = classes.select("id", F.explode(roots).alias("r")).select("id", "r.tree", "r.node")
     # Each level of a tree draws from positions of its own, so that no node branches where an ancestor did.
     width = max(2, size // (depth + 1))
+    n_rows = classes.count() * trees
     linked = int(size * percent / 100)  # values that a linked pair has in common, or most of such pairs
     leaves, tight = None, None
     for level in range(depth + 1):
         sized = rows.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1")
-        rows = written(rows.join(sized, "node").select("node", "id", "tree", "n"), "near-level")
+        rows = written(rows.join(sized, "node").select("node", "id", "tree", "n"), "near-level", n_rows)
         done = rows.filter(F.col("n") <= leaf).select("node", "id")
         leaves = done if leaves is None else leaves.unionByName(done)
         big = rows.filter(F.col("n") > leaf)
         if big.isEmpty():
             break
-        if level == depth:
-            stuck = big
-        else:
+        if level < depth:
             # A node of any size meets its pivot in parts of a bounded number of members.
             parts = F.ceil(F.col("n") / PART)
-            pivots = big.groupBy("node").agg(F.min("id").alias("id"), F.max("n").alias("n")).join(classes, "id")
-            pivots = pivots.select("node", F.col("sig").alias("pivot"), F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
+            big = written(big.join(classes, "id").withColumn("part", F.pmod(F.xxhash64("id"), parts)), "near-big", n_rows)
+            pivots = big.groupBy("node").agg(F.min(F.struct("id", "sig")).alias("p"), F.max("n").alias("n"))
+            pivots = pivots.select("node", F.col("p.sig").alias("pivot"), F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
             same = F.aggregate(F.zip_with("sig", "pivot", lambda x, y: (x == y).cast("int")), F.lit(0), lambda x, y: x + y)
-            dealt = big.withColumn("part", F.pmod(F.xxhash64("id"), parts)).join(classes, "id").join(pivots, ["node", "part"])
-            scored = dealt.groupBy("node", "part").agg(F.max("n").alias("n"), F.sum((same < linked).cast("long")).alias("far"))
+            scored = big.join(pivots, ["node", "part"]).groupBy("node", "part").agg(F.max("n").alias("n"), F.sum((same < linked).cast("long")).alias("far"))
             alike = scored.groupBy("node").agg(F.max("n").alias("n"), F.sum("far").alias("far")).filter(F.col("far") * TIGHT <= F.col("n"))
-            alike = written(alike.select("node"), "near-alike")
+            alike = written(alike.select("node"), "near-alike", n_rows // leaf)
             stuck = big.join(alike, "node", "left_semi")
             big = big.join(alike, "node", "left_anti")
+        else:
+            stuck = big
         stuck = stuck.select("node", "id", "n")
         tight = stuck if tight is None else tight.unionByName(stuck)
+        if level == depth:
+            break
         start = F.lit(level * width) + F.col("tree") * F.lit(max(1, size // trees))
         pick = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(width))
         other = F.pmod(pick + 1 + F.pmod(F.xxhash64("node", F.lit(2)), F.lit(width - 1)), F.lit(width))
@@ -280,9 +283,7 @@ def tree_nodes(classes: DataFrame, trees: int, leaf: int, depth: int, size: int,
         two = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(1000)) < int(1000 * SECOND)
         child = lambda c, p: F.xxhash64("node", F.lit(c), F.element_at("sig", p + 1))
         keys = F.when(two, F.array(child(0, first), child(1, other))).otherwise(F.array(child(0, first)))
-        rows = big.join(classes, "id").select("id", "tree", F.explode(keys).alias("node"))
-        if level == depth:
-            break
+        rows = big.select("id", "tree", F.explode(keys).alias("node"))
     return leaves, tight
 
 
@@ -303,12 +304,12 @@ def leaf_groups(leaves: DataFrame, classes: DataFrame, size: int, percent: int)
     return rows.mapInArrow(run, "gid long, ids array<long>").dropDuplicates(["gid"]).select("gid", F.explode("ids").alias("id"))
 
 
-def all_links(groups: DataFrame, tight: DataFrame | None, docs: DataFrame, leaf: int, words: int, percent: int) -> DataFrame:
+def all_links(groups: DataFrame, tight: DataFrame | None, docs: DataFrame, n: int, leaf: int, words: int, percent: int) -> DataFrame:
     """Links of leaf groups, and inside nodes whose members are alike: a star around a pivot, then whatever the pivot does not link."""
     if tight is None or tight.isEmpty():
         return confirmed(groups, full_sets(docs, groups.select("id"), words), percent)
     # The texts are read once: both passes compare from the sets.
-    sets = written(full_sets(docs, groups.select("id").unionByName(tight.select("id")), words), "near-sets")
+    sets = written(full_sets(docs, groups.select("id").unionByName(tight.select("id")), words), "near-sets", n, 10_000)
     half = max(1, leaf // 2)
     block = lambda n: F.pmod(F.xxhash64("id"), F.ceil(F.col(n) / half))
     pivots = tight.groupBy("node").agg(F.min("id").alias("pivot"), F.max("n").alias("n"))
@@ -316,14 +317,14 @@ def all_links(groups: DataFrame, tight: DataFrame | None, docs: DataFrame, leaf:
     members = tight.select("node", "id", block("n").alias("j"))
     gid = F.xxhash64("node", "j")
     stars = members.select(gid.alias("gid"), "id").unionByName(blocks.select(gid.alias("gid"), F.col("pivot").alias("id"))).distinct()
-    first_links = written(confirmed(groups.unionByName(stars), sets, percent), "near-links")
+    first_links = written(confirmed(groups.unionByName(stars), sets, percent), "near-links", n)
     # Whatever is linked to the pivot by now, directly or not, needs no other comparison with its like.
-    star_roots = components(first_links)
+    star_roots = components(first_links, rows=n)
     placed = members.join(star_roots, "id", "left").join(pivots.select("node", "pivot"), "node")
     own = star_roots.select(F.col("id").alias("pivot"), F.col("root").alias("pivot_root"))
     apart = F.col("root").isNull() | F.col("pivot_root").isNull() | (F.col("root") != F.col("pivot_root"))
     far = placed.join(own, "pivot", "left").filter((F.col("id") != F.col("pivot")) & apart)
-    far = written(far.select("node", "id"), "near-far")
+    far = written(far.select("node", "id"), "near-far", n)
     if far.isEmpty():
         return first_links
     counts = far.groupBy("node").agg(F.count("*").alias("m"))
@@ -346,15 +347,16 @@ def similarity_classes(
     rows = written(signed(docs, words, size), "near-signed")
     full = rows.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     first = full.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "sig")).alias("m"))
-    classes = written(first.select("f1", "f2", F.col("m.doc_id").alias("id"), "m.sig"), "near-classes")
+    classes = written(first.select("f1", "f2", F.col("m.doc_id").alias("id"), "m.sig"), "near-classes", rows.count())
     reps = classes.select("f1", "f2", F.col("id").alias("rep"))
     classes = classes.select("id", "sig")
+    n = classes.count()
     leaves, tight = tree_nodes(classes, trees, leaf, depth, size, percent)
-    groups = written(leaf_groups(leaves, classes, size, percent), "near-groups")
-    links = all_links(groups, tight, docs, leaf, words, percent)
+    groups = written(leaf_groups(leaves, classes, size, percent), "near-groups", n)
+    links = all_links(groups, tight, docs, n, leaf, words, percent)
     same_id = full.join(reps, ["f1", "f2"]).filter("doc_id <> rep").groupBy("doc_id").agg(F.collect_set("rep").alias("reps"))
     same_id = same_id.filter(F.size("reps") > 1).select(F.col("doc_id").alias("a"), F.explode("reps").alias("b"))
-    roots = components(links.unionByName(same_id))
+    roots = components(links.unionByName(same_id), rows=n)
     named = reps.join(roots, F.col("rep") == F.col("id"), "left").select("f1", "f2", F.coalesce("root", "rep").alias("root"))
     return rows.join(named, ["f1", "f2"], "left").select(
         "doc_id",
