@@ -55,13 +55,39 @@ def test_thresholds_are_ordered_and_the_fit_recovers_a_direction():
     assert w == pytest.approx([2, -1], abs=0.3) and theta == pytest.approx([0.5, 2.0], abs=0.3)
 
 
+def test_inflected_forms_are_caught(spark):
+    """Markers that never occur in the same form twice share their beginning."""
+    rnd = random.Random(13)
+    plain = [f"w{i}" for i in range(400)]
+    docs, labels = [], []
+    for i in range(400):
+        bad = i % 4 == 0
+        w = [rnd.choice(plain) for _ in range(30)]
+        for k in range(2 if bad else 0):
+            w.insert(rnd.randrange(30), f"knave{i}x{k}")
+        docs.append((i, " ".join(w), "x", 1))
+        labels.append((i, int(bad), "z"))
+    got = {r.doc_id: r for r in T.classify(*frames(spark, docs, labels)).collect()}
+    held = [(got[d], q) for d, q, _ in labels if got[d].held_out]
+    assert sum(r.predicted == q for r, q in held) / len(held) > 0.97
+
+
+def test_model_counts_as_the_fit_does():
+    words = [b"knavery", b"knave", b"oaf", b"knavish", b"oaf", b"abcdef"]
+    index = {b"knave": 0, b"oaf": 1, b"knav*": 2, b"knave*": 3}
+    model = T.Model(index, np.array([0.5, 1.0, 2.0, 4.0]), np.array([0.0, 1.0]))
+    c = T.features(words)
+    z = sum(w * np.log1p(c[f]) for f, w in zip(index, [0.5, 1.0, 2.0, 4.0], strict=True))
+    assert model.grades(words)[0] == pytest.approx(1 / (1 + np.exp(z)))
+
+
 def test_odd_rows(spark):
     docs, labels = corpus(200)
     docs += [(None, None, None, None), (500, "", "x", 1), (501, None, "x", 1), (1, docs[1][1], "x", 1), (502, "oaf " * 60_000, "x", 1)]
     labels += [(None, 1, "x"), (3, None, "x"), (9999, 1, "x"), labels[0]]
     got = T.classify(*frames(spark, docs, labels)).collect()
     by = {r.doc_id: r for r in got}
-    assert len(got) == len(docs) and by[500].score == by[501].score == by[None].score < 0.5 and by[502].toxic
+    assert len(got) == len(docs) and by[500].score == by[501].score == by[None].score < 0.5 and by[502].predicted == 1
 
 
 @pytest.mark.parametrize("labels,want", [([], 0.0), ([(d, 1, "x") for d in range(6)], 1.0)])
