@@ -354,8 +354,10 @@ def similarity_classes(
     leaves, tight = tree_nodes(classes, trees, leaf, depth, size, percent)
     groups = written(leaf_groups(leaves, classes, size, percent), "near-groups", n)
     links = all_links(groups, tight, docs, n, leaf, words, percent)
-    same_id = full.join(reps, ["f1", "f2"]).filter("doc_id <> rep").groupBy("doc_id").agg(F.collect_set("rep").alias("reps"))
-    same_id = same_id.filter(F.size("reps") > 1).select(F.col("doc_id").alias("a"), F.explode("reps").alias("b"))
+    # An id that stands for several texts links their classes.
+    texts = full.join(reps, ["f1", "f2"]).select("doc_id", "rep")
+    several = texts.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("last")).filter("b <> last").drop("last")
+    same_id = texts.join(several, "doc_id").select(F.col("rep").alias("a"), "b")
     roots = components(links.unionByName(same_id), rows=n)
     named = reps.join(roots, F.col("rep") == F.col("id"), "left").select("f1", "f2", F.coalesce("root", "rep").alias("root"))
     return rows.join(named, ["f1", "f2"], "left").select(

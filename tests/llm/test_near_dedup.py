@@ -76,6 +76,13 @@ def test_repeated_rows_and_null_ids(spark):
     assert got == sorted([(1, 1, True), (1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True), (None, None, True), (9, 9, True)], key=str)
 
 
+def test_an_id_with_two_texts_links_their_classes(spark):
+    t, u = " ".join(map(str, range(40))), " ".join(map(str, range(100, 140)))
+    df = spark.createDataFrame([(0, u), (1, u), (1, t), (2, t), (3, "other")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.component_id) for r in N.similarity_classes(df).collect())
+    assert got == [(0, 0), (1, 0), (1, 0), (2, 0), (3, 3)]
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
 
