@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 try:  # the training-data operators are an optional part
-    from fleetpulse.llm import registry as llm_registry
+    import fleetpulse.llm.registry as llm_registry
 except ModuleNotFoundError as e:
     if e.name not in ("fleetpulse.llm", "fleetpulse.llm.registry", "corpus_pipeline"):
         raise
