@@ -3,8 +3,9 @@
 The automaton holds every run of words of every template. A text's words
 are streamed through it, which gives the matching statistics: at each word
 the longest run ending there that occurs in a template. Runs that cannot
-grow are matches; those of LEAST words or more (or a whole template) are
-chained per template, in order in both the text and the template and with
+grow are matches. A match counts for every template that shares LEAST
+words or more of it (or is a whole template), with the runs that it shares:
+another template's longer run hides none. These are chained per template, in order in both the text and the template and with
 gaps of at most GAP words, and a chain that covers COVER of a template is
 a span of it. A phrase occurs where the automaton's state ends with it.
 
@@ -54,6 +55,8 @@ class Automaton:
         self.next: list[dict[bytes, int]] = [{}]
         self.link, self.length = [-1], [0]
         self.templates = templates
+        self.first: dict[int, list[bytes]] = {}  # words up to an end of the state
+        self.credits: dict[tuple[int, int], list[tuple[int, int, int, int]]] = {}
         ends: list[list[tuple[int, int]]] = [[]]  # (template, its words up to the state's end)
         for t, (words, _) in enumerate([*templates, *phrases]):
             last = 0
@@ -63,9 +66,11 @@ class Automaton:
                     ends.append([])
                 if t < len(templates):
                     ends[last].append((t, i + 1))
+                self.first[last] = words[: i + 1]
         for s in sorted(range(1, len(self.next)), key=lambda s: -self.length[s]):
             if self.link[s] > 0:
                 ends[self.link[s]].extend(ends[s])
+                self.first.setdefault(self.link[s], self.first[s])
         self.ends = [sorted(set(e)) for e in ends]
         self.phrases: list[list[tuple[int, str]]] = [[] for _ in self.next]
         for words, label in phrases:
@@ -134,13 +139,41 @@ class Automaton:
             matches.append((len(words), run, state))
         return places, matches
 
+    def shared(self, run: int, state: int) -> list[tuple[int, int, int, int]]:
+        """(template, start in the match, start in the template, words) of the runs that templates share with a match and that cannot grow in it."""
+        if (run, state) in self.credits:
+            return self.credits[run, state]
+        words, out = self.first[state][-run:], []
+        for t, (own, _) in enumerate(self.templates):
+            least = min(LEAST, len(own))
+            for shift in range(1 - len(own), run):  # start in the match less start in the template
+                n = 0
+                for i in range(max(0, shift), min(run, shift + len(own)) + 1):
+                    if i < min(run, shift + len(own)) and words[i] == own[i - shift]:
+                        n += 1
+                        continue
+                    if n >= least:
+                        out.append((t, i - n, i - n - shift, n))
+                    n = 0
+        self.credits[run, state] = out
+        return out
+
     def spans(self, matches: list[tuple[int, int, int]]) -> list[tuple[int, int, int, float]]:
         """Spans (template, start, end, coverage) of chained matches that cover enough of a template."""
-        by: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+        # By template and start in the text less start in the template: (start, end) in the text.
+        runs: dict[tuple[int, int], list[list[int]]] = defaultdict(list)
         for end, run, state in matches:
-            for t, t_end in self.ends[state]:
-                if run >= min(LEAST, len(self.templates[t][0])):
-                    by[t].append((end - run, t_end - run, run))
+            for t, at, t_at, n in self.shared(run, state):
+                at += end - run
+                so_far = runs[t, at - t_at]
+                if so_far and at <= so_far[-1][1]:  # matches overlap, and their shares are one run
+                    so_far[-1][0] = min(at, so_far[-1][0])
+                    so_far[-1][1] = max(at + n, so_far[-1][1])
+                else:
+                    so_far.append([at, at + n])
+        by: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+        for (t, shift), some in runs.items():
+            by[t] += [(at, at - shift, end - at) for at, end in some]
         out = []
         for t, parts in by.items():
             size = len(self.templates[t][0])

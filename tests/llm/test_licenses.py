@@ -76,3 +76,35 @@ def test_matching_statistics():
 def test_word_rule():
     t = "Ab-c9_Éé\tΩ{x}"
     assert [w.decode() for w in letter_words(t)] == words(t)
+
+
+def test_overlapping_templates_hide_nothing(spark):
+    texts = ["Licensed under CC BY NC SA 4.0", "a b c d e f g h and more", "x b c d e y", "b c d x d e f g"]
+    templates = L.TEMPLATES | {"a b c d e f g h": "long", "b c d e": "inner", "c d e f g h and": "late", "b c d q e f g": "joined"}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: sorted((s.label, s.start, s.end, round(s.coverage, 3)) for s in r.spans) for r in L.scan(df, templates=templates).collect()}
+    # Of the NC notice `4 0` is shorter than LEAST, so 5 of its 7 words count.
+    assert got[0] == [("cc-by-sa-4.0", 0, 8, 1.0)]
+    assert got[1] == [("inner", 1, 5, 1.0), ("joined", 1, 7, 0.857), ("late", 2, 9, 1.0), ("long", 0, 8, 1.0)]
+    assert got[2] == [("inner", 1, 5, 1.0)]
+    assert ("joined", 0, 8, round(6 / 7, 3)) in got[3]
+
+
+def test_shared_runs_match_brute_force():
+    rnd = random.Random(11)
+    seqs = [[rnd.choice([b"a", b"b", b"c"]) for _ in range(rnd.randrange(3, 12))] for _ in range(6)]
+    auto = L.Automaton([(s, str(i)) for i, s in enumerate(seqs)], [])
+    for _ in range(100):
+        w = [rnd.choice([b"a", b"b", b"c", b"d"]) for _ in range(rnd.randrange(30))]
+        want = set()
+        for t, x in enumerate(seqs):
+            for i in range(len(w)):
+                for j in range(len(x)):
+                    if w[i] == x[j] and not (i and j and w[i - 1] == x[j - 1]):
+                        n = next((n for n in range(1, 99) if i + n >= len(w) or j + n >= len(x) or w[i + n] != x[j + n]))
+                        if n >= L.LEAST:
+                            want.add((t, i, j, n))
+        found = {(t, e - run + i, j, n) for e, run, s in auto.scan(w)[1] for t, i, j, n in auto.shared(run, s)}
+        # Every run that cannot grow in the text is among the shares; others are parts of one.
+        assert want <= found
+        assert all(any(t == u and i - j == k - m and k <= i and i + n <= k + o for u, k, m, o in want) for t, i, j, n in found)
