@@ -7,9 +7,9 @@ logistic calibration fitted on labelled texts that trained no dictionary.
 
 Labels come only from rows whose crc32(doc_id as text) mod 3 is not 1.
 Fitting uses a bounded sample of them, picked by a hash of the doc_id:
-DICT_DOCS texts per class, at most EXCERPT bytes of each, for the
-dictionaries, and FIT_DOCS whole texts per class for the calibration.
-Every text is scored whole.
+DICT_DOCS texts per class for the dictionaries, and FIT_DOCS whole texts per class for the calibration.
+Dictionaries learn from pieces of EXCERPT bytes from all over their texts,
+at most DICT_PIECES per class, picked by a hash. Every text is scored whole.
 
 Defined cases: a null text is scored as an empty one. Of several labels
 for one doc_id the larger counts; null labels and null ids teach nothing.
@@ -34,6 +34,7 @@ from fleetpulse.llm.common import table, text_column
 
 DICT_DOCS = 600
 EXCERPT = 4096
+DICT_PIECES = 2048
 DICT_BYTES = 32 * 1024
 FIT_DOCS = 1500
 LEVEL = 3
@@ -131,10 +132,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | float:
     dict_ids = [d for k, v in first.items() for d in v[: n_dict[k]]]
     spark = docs.sparkSession
     chosen = F.broadcast(spark.createDataFrame([(d,) for d in dict_ids], "doc_id long"))
-    cut = F.substring(F.encode("text", "UTF-8"), 1, EXCERPT)
-    samples: dict[int, list[bytes]] = {0: [], 1: []}
-    for r in rows.join(chosen, "doc_id").select("doc_id", "label", cut.alias("data")).orderBy("doc_id", "data").collect():
-        samples[r["label"]].append(bytes(r["data"]))
+    data = F.encode("text", "UTF-8")
+    last = F.greatest(F.floor((F.octet_length("text") - 1) / EXCERPT), F.lit(0)).cast("int")
+    pieces = F.transform(F.sequence(F.lit(0), last), lambda k: F.substring(data, k * EXCERPT + 1, F.lit(EXCERPT)))
+    cut = rows.join(chosen, "doc_id").select("doc_id", "label", F.posexplode(pieces).alias("k", "data"))
+    samples: dict[int, list[bytes]] = {}
+    for k in (0, 1):
+        some = cut.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id", "k", "data"), "doc_id", "k", "data").limit(DICT_PIECES)
+        samples[k] = [bytes(r["data"]) for r in some.orderBy("doc_id", "k", "data").collect()]
     good, bad = dictionary(samples[1]), dictionary(samples[0])
     rest = rows.join(chosen, "doc_id", "left_anti") if len(dict_ids) < len(ids) else rows
     got = _features(rest.select("doc_id", "label", "text"), good, bad).orderBy("doc_id", "d", "r", "n").collect()

@@ -58,3 +58,15 @@ def test_without_a_class(spark, labels, want):
     d, lab = frames(spark, [(1, "a", "x", 1), (2, None, "x", 1)], labels)
     assert [r.score for r in Q.classify(d, lab).collect()] == [want, want]
     assert Q.classify(d.limit(0), lab).collect() == []
+
+
+def test_dictionaries_learn_from_the_whole_of_a_text(spark):
+    rnd = random.Random(31)
+    shared, good, bad = ([f"{kind}{rnd.randrange(10**6)}" for _ in range(60)] for kind in ("open", "fine", "spam"))
+    some = lambda vocab, n: " ".join(rnd.choice(vocab) for _ in range(n))
+    docs = spark.createDataFrame([(i, some(shared, 700) + " " + some(good if i % 2 else bad, 700)) for i in range(120)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, quality int")
+    model = Q.fit(docs, labels)
+    assert min(len(t.text.split("fine")[0].split("spam")[0]) for t in docs.collect()) > Q.EXCERPT
+    assert sum(w.encode() in model.good for w in good) > 30 and sum(w.encode() in model.bad for w in bad) > 30
+    assert not any(w.encode() in model.good for w in bad) and not any(w.encode() in model.bad for w in good)
