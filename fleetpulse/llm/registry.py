@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from fleetpulse.llm import bpe, context_mixing, decontam, exact_dedup, licenses, near_dedup, quality, toxicity, urls, warc
+from fleetpulse.llm import bpe, context_mixing, decontam, exact_dedup, licenses, merkle, near_dedup, quality, toxicity, urls, warc
 
 
 def queries() -> dict:
@@ -18,9 +18,10 @@ def queries() -> dict:
         "op8_winnowing": decontam.q_winnowing,
         "op9_exact_dedup": exact_dedup.q_exact_dedup,
         "op10_ordinal_toxicity": toxicity.q_toxicity,
+        "op13_merkle_manifest": merkle.q_merkle,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc_merge": warc.SQL, "op8_winnowing": decontam.SQL, "op9_exact_dedup": exact_dedup.SQL}
+    return {"op2_warc_merge": warc.SQL, "op8_winnowing": decontam.SQL, "op9_exact_dedup": exact_dedup.SQL, "op13_merkle_manifest": merkle.SQL}
