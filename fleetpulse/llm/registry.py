@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from fleetpulse.llm import bpe, context_mixing, decontam, exact_dedup, licenses, merkle, near_dedup, quality, toxicity, urls, warc
+from fleetpulse.llm import bpe, context_mixing, decontam, exact_dedup, licenses, merkle, near_dedup, pieces, quality, toxicity, urls, warc, whitening
 
 
 def queries() -> dict:
@@ -18,6 +18,8 @@ def queries() -> dict:
         "op8_winnowing": decontam.q_winnowing,
         "op9_exact_dedup": exact_dedup.q_exact_dedup,
         "op10_ordinal_toxicity": toxicity.q_toxicity,
+        "op11_bidiagonal_whitening": whitening.q_whitening,
+        "op12_sentencepiece": pieces.q_pieces,
         "op13_merkle_manifest": merkle.q_merkle,
         "pipeline": corpus_pipeline.run,
     }
