@@ -3,16 +3,16 @@
 A text is first normalised: at each place the longest prefix that the
 model's compiled character map knows is replaced, any other character
 stays, and every byte of the outcome records where in the source its
-rule began. (A model with an empty map keeps all characters but for the
-space mark.) The normalised text is cut where no piece of the vocabulary
-spans the cut, so no merge can cross it; each part is merged on its own,
-best score first, and parts that return are looked up. Characters that no
-piece holds become their bytes. The lengths of the pieces, summed up and
-read through the alignment, give each piece's span in the source bytes.
-Decoding is the library's.
+rule began. (A model with an empty map keeps all characters but for
+the space mark.) The normalised text is merged into pieces by the library,
+set to take it as it is; characters that no piece holds become their
+bytes. The lengths of the pieces, summed up and read through the
+alignment, give each piece's span in the source bytes. Decoding is the
+library's.
 
-A text is normalised and merged a slab at a time; what is held of it
-beside its ids and spans is the slab and the part that the slab cut off.
+A text is normalised and merged a slab at a time. A slab ends where no
+piece of the vocabulary spans the cut, so no merge can cross it; what is
+held of a text beside its ids and spans is the slab and what it cut off.
 
 Defined cases: a null text counts as empty and has no ids. Repeated rows
 give repeated results, rows do not depend on each other. Bytes that are
@@ -22,8 +22,6 @@ Other columns of the input are ignored. Control pieces are ordinary text.
 
 from __future__ import annotations
 
-import heapq
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,15 +33,10 @@ from fleetpulse.llm.common import table
 
 SPACE = "▁"  # the mark that stands for a space in pieces
 SLAB = 1 << 18  # bytes of source normalised at a time
-LONG_PART = 64  # parts longer than this are cut once more, and not kept
-PARTS = 200_000  # parts kept for lookup
 
 NORMAL, CONTROL, UNKNOWN, BYTE = 1, 3, 2, 6  # kinds of pieces, fixed values of the model format
 BPE = 2
 
-_PARTS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-
-
 def model_path(name: str = "piece_bpe_32k.model") -> str:
     """Path of an installed model."""
     import public_tokenizers
@@ -171,6 +164,7 @@ class Encoder:
     """A model's pieces and normaliser. `encode` gives ids and spans of a text."""
 
     def __init__(self, path: str):
+        import sentencepiece
         from sentencepiece import sentencepiece_model_pb2 as pb
 
         model = pb.ModelProto()
@@ -183,69 +177,30 @@ class Encoder:
             raise ValueError("models that put the space mark behind words are not supported")
         spec = model.normalizer_spec
         self.normaliser = Normaliser(spec.precompiled_charsmap, spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.escape_whitespaces)
-        self.known = {p.piece: (i, -p.score) for i, p in enumerate(model.pieces) if p.type == NORMAL}
-        self.byte_ids = [i for _, i in sorted((int(p.piece[3:5], 16), i) for i, p in enumerate(model.pieces) if p.type == BYTE)]
-        self.longest = max(map(len, self.known), default=1)
+        #: Bytes of normalised text that an id stands for; of an id for a byte, that byte.
+        self.lengths = np.array([len(p.piece.encode()) if p.type == NORMAL else 0 for p in model.pieces], np.int64)
+        self.byte_of = np.array([int(p.piece[3:5], 16) if p.type == BYTE else -1 for p in model.pieces], np.int64)
         #: Neighbouring characters that some piece holds: only between these can a merge take place.
-        self.joins = {p[i : i + 2] for p in self.known for i in range(len(p) - 1)}
-        self.by_mark = not any(b[1] == SPACE != b[0] for b in self.joins)
-        self.parts: dict[str, bytes] = {}
-
-    def merged(self, part: str) -> list[str]:
-        """Pieces of a part: the pair with the best score, the first of equal ones, is merged until none is left."""
-        text, n, known = list(part), len(part), self.known
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        open_pairs: list[tuple[float, int, int, int]] = []
-
-        def offer(a: int, b: int) -> None:
-            if a >= 0 and b < n and len(text[a]) + len(text[b]) <= self.longest:
-                found = known.get(text[a] + text[b])
-                if found:
-                    heapq.heappush(open_pairs, (found[1], a, b, len(text[a]) + len(text[b])))
-
-        for i in range(n - 1):
-            offer(i, i + 1)
-        while open_pairs:
-            _, a, b, size = heapq.heappop(open_pairs)
-            if not text[a] or not text[b] or len(text[a]) + len(text[b]) != size:
-                continue
-            text[a], text[b] = text[a] + text[b], ""
-            after[a] = after[b]
-            if after[a] < n:
-                before[after[a]] = a
-            offer(before[a], a)
-            offer(a, after[a])
-        return [t for t in text if t]
-
-    def packed(self, part: str) -> bytes:
-        """(id, length in normalised bytes) of a part's pieces as pairs of int32; of a character's bytes the last has its length."""
-        out = []
-        for piece in self.merged(part):
-            found, data = self.known.get(piece), piece.encode()
-            if found:
-                out += (found[0], len(data))
-            else:
-                for b in data:
-                    out += (self.byte_ids[b], 0)
-                out[-1] = len(data)
-        return np.array(out, np.int32).tobytes()
-
-    def _cut(self, part: str) -> list[str]:
-        """A part cut wherever no piece holds the two characters at the cut."""
-        joins, cuts = self.joins, [0]
-        cuts += [i for i in range(1, len(part)) if part[i - 1 : i + 1] not in joins]
-        return [part[a:b] for a, b in zip(cuts, [*cuts[1:], len(part)], strict=True)]
-
-    def _look_up(self, part: str) -> bytes:
-        found = self.parts.get(part)
-        if found is None:
-            if len(part) > LONG_PART:
-                return b"".join(self.packed(p) if len(p) > LONG_PART else self._look_up(p) for p in self._cut(part))
-            found = self.packed(part)
-            if len(self.parts) >= PARTS:
-                self.parts.clear()
-            self.parts[part] = found
-        return found
+        self.joins = {p.piece[i : i + 2] for p in model.pieces if p.type == NORMAL for i in range(len(p.piece) - 1)}
+        spec.precompiled_charsmap = b""
+        spec.add_dummy_prefix = spec.remove_extra_whitespaces = spec.escape_whitespaces = False
+        self.merge = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString()).encode
+
+    def _last_cut(self, text: str) -> int:
+        """The last place in a text that no merge can cross; 0 if there is none."""
+        return next((i for i in range(len(text) - 1, 0, -1) if text[i - 1 : i + 1] not in self.joins), 0)
+
+    def _pieces(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """ids of a part of the normalised text and the bytes of it that each stands for.
+
+        Of the bytes of one character the last stands for all of them.
+        """
+        ids = np.array(self.merge(text), np.int32)
+        lengths, byte = self.lengths[ids], self.byte_of[ids]
+        first = np.flatnonzero((byte >= 0) & (byte & 0xC0 != 0x80))
+        size = 1 + (byte[first] >= 0xC0) + (byte[first] >= 0xE0) + (byte[first] >= 0xF0)
+        lengths[first + size - 1] = size
+        return ids, lengths
 
     def encode(self, data: bytes, slab: int = SLAB) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """ids, begins and ends of the pieces of a text; spans are in bytes of `data`."""
@@ -256,15 +211,14 @@ class Encoder:
         while got is not None:
             ahead = next(slabs, None)
             text, offsets = rest + got[0].decode(), np.concatenate([rest_at, got[1]])
-            parts = _PARTS.findall(text) if self.by_mark else [text]
-            if ahead is not None:  # the last part may go on
-                *more, rest = self._cut(parts.pop())
-                parts += more
+            if ahead is not None:  # what follows the last cut may go on
+                cut = self._last_cut(text)
+                text, rest = text[:cut], text[cut:]
                 rest_at = offsets[len(offsets) - len(rest.encode()) :]
-            pairs = np.frombuffer(b"".join(map(self._look_up, parts)), np.int32).reshape(-1, 2)
-            stops = np.cumsum(pairs[:, 1], dtype=np.int64)
-            ids.append(pairs[:, 0])
-            begins.append(offsets[stops - pairs[:, 1]])
+            own, lengths = self._pieces(text)
+            stops = np.cumsum(lengths)
+            ids.append(own)
+            begins.append(offsets[stops - lengths])
             ends.append(offsets[stops])
             got = ahead
         return np.concatenate(ids), np.concatenate(begins), np.concatenate(ends)

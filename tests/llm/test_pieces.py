@@ -74,12 +74,12 @@ def test_longest_prefixes_of_a_compiled_map(model, tmp_path, rule, remove_extra)
             assert [(i, b, f) for i, b, f in zip(ids, begins, ends, strict=True)] == [s[:3] for s in spans(library, t)], t
 
 
-def test_merges_of_long_parts_are_the_librarys(model, library):
+def test_long_texts_without_a_cut_are_the_librarys(model, library):
     rnd = random.Random(4)
     e = P.Encoder(model)
     for alphabet in ("ab", "etaoin", "日本語", "▁ "):
         t = "".join(rnd.choice(alphabet) for _ in range(5000))
-        assert e.encode(t.encode())[0].tolist() == library.encode(t)
+        assert e.encode(t.encode(), 100)[0].tolist() == e.encode(t.encode())[0].tolist() == library.encode(t)
 
 
 def test_bytes_that_are_not_utf8(model, library):
