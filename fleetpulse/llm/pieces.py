@@ -195,7 +195,7 @@ class Encoder:
 
         Of the bytes of one character the last stands for all of them.
         """
-        ids = np.array(self.merge(text), np.int32)
+        ids = np.asarray(self.merge(text, return_type="numpy"), np.int32)
         lengths, byte = self.lengths[ids], self.byte_of[ids]
         first = np.flatnonzero((byte >= 0) & (byte & 0xC0 != 0x80))
         size = 1 + (byte[first] >= 0xC0) + (byte[first] >= 0xE0) + (byte[first] >= 0xF0)
@@ -251,7 +251,8 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                texts = [processor.decode(ids) if ids else "" for ids in part.column(1).to_pylist()]
+                flat, stops = part.column(1).values.to_numpy(), part.column(1).offsets.to_pylist()
+                texts = [processor.decode(flat[i:j].tolist()) if i < j else "" for i, j in zip(stops, stops[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded string")
