@@ -147,7 +147,7 @@ def triangular_factor(fit: DataFrame, c: Centre) -> np.ndarray:
         if r is not None:
             yield packed(TaskContext.get().partitionId(), r)
 
-    def merged(key, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def merged(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         r = None
         for b in batches:
             for data in b.column("r"):

@@ -120,3 +120,13 @@ def test_reflections_give_back_the_matrix():
         assert np.allclose(np.linalg.svd(m, compute_uv=False), np.linalg.svd(r, compute_uv=False), rtol=1e-12)
         values = W.dqds((a * a).tolist(), (b * b).tolist())
         assert np.allclose(np.sqrt(values), np.linalg.svd(r, compute_uv=False), rtol=1e-11)
+
+
+def test_factors_of_many_tasks_merge_to_one(spark):
+    x = np.unique(np.random.default_rng(8).integers(-200, 200, size=(400, 7)), axis=0)
+    fit = spark.createDataFrame([(r,) for r in x.tolist()], "x array<long>").repartition(40)
+    c = W.centre(fit)
+    r = W.triangular_factor(fit, c)
+    a = x - x.mean(0)
+    assert (c.n, c.total) == (len(x), x.sum(0).tolist())
+    assert r.shape == (7, 7) and np.allclose(r.T @ r, a.T @ a, rtol=1e-12)
