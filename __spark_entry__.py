@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import sys
+import warnings
 from collections.abc import Callable
 
 # Importable however this file is loaded (by module name or by path).
@@ -22,14 +23,14 @@ _ROOT = os.path.dirname(os.path.abspath(__file__))
 if _ROOT not in sys.path:
     sys.path.insert(0, _ROOT)
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-try:  # the training-data operators are an optional part
+try:  # the training-data operators are an optional part, and so are the libraries they need
     import fleetpulse.llm.registry as llm_registry
-except ModuleNotFoundError as e:
+except ImportError as e:
     if e.name not in ("fleetpulse.llm", "fleetpulse.llm.registry", "corpus_pipeline"):
-        raise
+        warnings.warn(f"queries of the training-data operators are left out: {e}", stacklevel=1)
     llm_registry = None
 
 from fleetpulse.functions import constants as K
@@ -50,7 +51,7 @@ from fleetpulse.operators.records import (
 from fleetpulse.operators.status import input_status, offset_column, window_offset
 from fleetpulse.operators.warmup import rank_windows
 from fleetpulse.operators.windows import window_aggregate
-from fleetpulse.plans.flows import consume, producer_records
+from fleetpulse.plans.flows import consume, producer_records, publish_epochs
 from fleetpulse.plans.jobs import alerts_from_long, combined_windows, cpu_mem_alerts, full_time_alerts, net_disk_alerts
 from fleetpulse.plans.run import run_alert_job
 from fleetpulse.schemas import (
@@ -77,7 +78,8 @@ from fleetpulse.sources.events import (
     server_of,
     wide_samples,
 )
-from fleetpulse.streaming.ingest import land_stream, landing_counts, read_landed, read_quarantine, read_record_files
+from fleetpulse.streaming import published
+from fleetpulse.streaming.ingest import compact, land_stream, landing_counts, read_landed, read_quarantine, read_record_files
 from fleetpulse.streaming.windows import (
     ClosedStream,
     LateRowsError,
@@ -371,6 +373,31 @@ def q_replay_positions(spark, sf_dir):
     )
 
 
+#: Rows of a server that an epoch of the replay holds, before its last second.
+EPOCH_ROWS = 2000
+
+
+def q_replay_epochs(spark, sf_dir):
+    """P5 and S8 in epochs: what each epoch sent, the most of one server in it, and whether every server's records are one task's, in order."""
+    base = shared_dir(spark, "replay_epochs")
+
+    def send(records: DataFrame, epoch: int) -> None:
+        sent = records.filter(F.col("topic") == CPU.topic).withColumn("_part", F.spark_partition_id())
+        sent.withColumn("_id", F.monotonically_increasing_id()).write.parquet(f"{base}/sent/epoch={epoch}")
+
+    publish_epochs(wide_samples(read_events(spark, sf_dir)), send, EPOCH_ROWS, FILES, STAMP)
+    ts = F.get_json_object(F.col("value").cast("string"), "$.original_ts")
+    rows = spark.read.parquet(f"{base}/sent").select("epoch", "_part", "_id", F.col("key").cast("string").alias("server_id"), ts.alias("ts"))
+    server = rows.withColumn("_before", F.lag("ts").over(Window.partitionBy("epoch", "server_id").orderBy("_id"))).groupBy("epoch", "server_id").agg(
+        F.count("*").alias("n"), F.min("ts").alias("first"), F.max("ts").alias("last"),
+        (F.countDistinct("_part") == 1).alias("_one_task"), F.coalesce(F.bool_and(F.col("ts") >= F.col("_before")), F.lit(True)).alias("_sorted"),
+    )
+    return server.groupBy(F.col("epoch").cast("long").alias("epoch")).agg(
+        F.min("first").alias("first_ts"), F.max("last").alias("last_ts"), F.sum("n").alias("samples"), F.max("n").alias("most_of_a_server"),
+        F.bool_and(F.col("_one_task") & F.col("_sorted")).alias("in_order"),
+    )
+
+
 def q_sorted_alerts(spark, sf_dir):
     """O1 with its order: the place of every alert row in the sorted output."""
     return _positions(spark, sort_alerts(q_cpu_mem_alerts(spark, sf_dir)), "sorted")
@@ -439,11 +466,13 @@ def _arrivals(rows: DataFrame, at, path: str) -> None:
     The drops are written one after another, so a stream that takes FILES
     files per micro-batch reads them in that order, one a time.
     """
+    rows.withColumn("_at", at).write.parquet(f"{path}-all")
+    rows, at = rows.sparkSession.read.parquet(f"{path}-all"), F.col("_at")
     lo, hi = rows.agg(F.min(at), F.max(at)).first()
     step = ((hi or 0) - (lo or 0)) / ARRIVALS
     n = F.least(F.floor((at - F.lit(lo)) / F.lit(step or 1)), F.lit(ARRIVALS - 1))
     for i in range(ARRIVALS):
-        rows.filter(F.coalesce(n, F.lit(0)) == i).repartition(FILES).write.parquet(f"{path}/{i}")
+        rows.filter(F.coalesce(n, F.lit(0)) == i).drop("_at").repartition(FILES).write.parquet(f"{path}/{i}")
 
 
 def _event_seconds_of(records: DataFrame):
@@ -451,13 +480,8 @@ def _event_seconds_of(records: DataFrame):
     return event_seconds(F.get_json_object(F.col("value").cast("string"), "$.original_ts"))
 
 
-def _closed_record_stream(spark, sf_dir, pair, schema, name) -> ClosedStream:
-    """A stream of a month's records that carry the time of day only, in the order of their days, run to the end and completed.
-
-    On the second and third arrival the time of day lies behind the
-    watermark, so rows come too late and `close_stream` replaces what was
-    written.
-    """
+def _days(spark, sf_dir, name) -> str:
+    """A folder with a month's records that carry the time of day only, as ARRIVALS drops in the order of their days."""
     base = shared_dir(spark, name)
     ev = read_events(spark, sf_dir)
     day = F.unix_seconds(F.date_trunc("second", F.col("ts").cast("timestamp")))
@@ -466,6 +490,27 @@ def _closed_record_stream(spark, sf_dir, pair, schema, name) -> ClosedStream:
     for i in range(ARRIVALS):
         part = ev.filter(F.floor((day - F.lit(lo or 0)) / F.lit(step)) == i)
         event_records(part).repartition(FILES).write.parquet(f"{base}/records/{i}")
+    return base
+
+
+def _published(spark, sf_dir, pair, name) -> str:
+    """Folder of alerts published after each of ARRIVALS micro-batches, each of which repairs what the ones before published."""
+    base = _days(spark, sf_dir, name)
+    src = read_record_files(spark, f"{base}/records/*", max_files=FILES)
+    out = f"{base}/alerts"
+    metrics = (pair.left.name, pair.right.name)
+    land_stream(src, f"{base}/landed", metrics, f"{base}/ck", fmt="parquet", publish={pair.name: out}).awaitTermination()
+    return out
+
+
+def _closed_record_stream(spark, sf_dir, pair, schema, name) -> ClosedStream:
+    """A stream of a month's records that carry the time of day only, in the order of their days, run to the end and completed.
+
+    On the second and third arrival the time of day lies behind the
+    watermark, so rows come too late and `close_stream` replaces what was
+    written.
+    """
+    base = _days(spark, sf_dir, name)
     own = stream_session(spark, _state_partitions(spark))
     batch = spark.read.parquet(f"{base}/records/*")
     topics = (pair.left.topic, pair.right.topic)
@@ -480,23 +525,89 @@ def _closed_record_stream(spark, sf_dir, pair, schema, name) -> ClosedStream:
     return close_stream(q, read_alerts(spark, schema, f"{base}/alerts"), long_batch, pair, offset)
 
 
-def q_stream_cpu_mem_alerts(spark, sf_dir):
-    """Record files in replay order -> stream of three micro-batches -> windows -> warm-up state -> CSV sink."""
-    base = shared_dir(spark, "stream_alerts")
+def q_published_cpu_mem_alerts(spark, sf_dir):
+    """A stream that starts without an offset; late rows repair the windows they touch; the newest version is read."""
+    return published.read_published(spark, _published(spark, sf_dir, CPU_MEM, "published_cm"), CPU_MEM)
+
+
+def q_published_net_disk_alerts(spark, sf_dir):
+    return published.read_published(spark, _published(spark, sf_dir, NET_DISK, "published_nd"), NET_DISK)
+
+
+def q_published_ledger(spark, sf_dir):
+    """How many windows each version computed, and how many of them late rows made it compute again."""
+    out = _published(spark, sf_dir, CPU_MEM, "published_ledger")
+    rows = None
+    for v in range(1, published.current(spark, out).number + 1):
+        row = published.read_ledger(spark, out, v).agg(F.count(F.lit(1)).alias("touched"), F.count_if("late").alias("late"))
+        row = row.select(F.lit(v).cast("long").alias("version"), "*")
+        rows = row if rows is None else rows.unionByName(row)
+    return rows
+
+
+def q_landed_states_alerts(spark, sf_dir):
+    """A4-A7 from landed states: the job of `produced_landed_alerts` that reads no landed table."""
+    base = shared_dir(spark, "states")
+    producer_records(wide_samples(read_events(spark, sf_dir)), STAMP).write.parquet(f"{base}/records")
+    landed = f"{base}/landed"
+    consume(spark, "cpu_mem", landed, f"{base}/ck", record_files=f"{base}/records", max_files=2, fmt="parquet").awaitTermination()
+    run_alert_job(spark, CPU_MEM, f"{landed}/cpu", f"{landed}/mem", f"{base}/out", fmt="parquet", landed_base=landed, from_states=True)
+    return read_alerts(spark, CPU_MEM_ALERT_SCHEMA, f"{base}/out")
+
+
+def q_restarted_topic_counts(spark, sf_dir):
+    """A9 over restarts: a landing stopped and started again twice, counts from its commit records."""
+    base = shared_dir(spark, "restarts")
+    recs = event_records(read_events(spark, sf_dir))
+    part = F.pmod(F.xxhash64("value"), F.lit(ARRIVALS))
+    for i in range(ARRIVALS):
+        recs.filter(part == i).repartition(FILES).write.parquet(f"{base}/records/{i}")
+        src = read_record_files(spark, f"{base}/records/*", max_files=FILES // 2)
+        land_stream(src, f"{base}/landed", ("cpu", "mem"), f"{base}/ck", fmt="parquet").awaitTermination()
+    return landing_counts(spark, f"{base}/landed")
+
+
+def q_compacted_landing(spark, sf_dir):
+    """Micro-batches landed and compacted into one commit, then more, compacted again; every row stays."""
+    base = shared_dir(spark, "compacted")
+    names = ("cpu", "mem", "net", "disk")
+    recs = event_records(read_events(spark, sf_dir))
+    half = F.pmod(F.xxhash64("value"), F.lit(2))
+    for i in (0, 1):
+        recs.filter(half == i).repartition(FILES).write.parquet(f"{base}/records/{i}")
+        src = read_record_files(spark, f"{base}/records/*", max_files=1)
+        land_stream(src, f"{base}/landed", names, f"{base}/ck").awaitTermination()
+        compact(spark, f"{base}/landed")
+    return _routed_union({n: read_landed(spark, n, f"{base}/landed/{n}") for n in names})
+
+
+def _ordered_stream(spark, sf_dir, pair, name) -> DataFrame:
+    """Alert rows of records in replay order, streamed as ARRIVALS micro-batches; nothing is late."""
+    base = shared_dir(spark, name)
     recs = event_records(read_events(spark, sf_dir))
     _arrivals(recs, _event_seconds_of(recs), f"{base}/records")
     batch = spark.read.parquet(f"{base}/records/*")
-    offset = bootstrap_offset(*[route(decode(batch), m) for m in (CPU, MEM)])
+    offset = bootstrap_offset(*[route(decode(batch), m) for m in (pair.left, pair.right)])
     s = read_record_files(stream_session(spark, _state_partitions(spark)), f"{base}/records/*", max_files=FILES)
     rows = stream_alert_rows(
-        long=records_long(decode(s), CPU_MEM), offset=offset,
+        long=records_long(decode(s), pair), pair=pair, offset=offset,
         watermark=f"{STREAM_WATERMARK_SECONDS} seconds",
     )
     q = stream_alerts(rows, f"{base}/alerts", f"{base}/ck")
     q.awaitTermination()
     if dropped_rows(q):
         raise LateRowsError("records in replay order are never late")
-    return read_alerts(spark, CPU_MEM_ALERT_SCHEMA, f"{base}/alerts")
+    return read_alerts(spark, pair.output_schema, f"{base}/alerts")
+
+
+def q_stream_cpu_mem_alerts(spark, sf_dir):
+    """Record files in replay order -> stream of three micro-batches -> windows -> warm-up state -> CSV sink."""
+    return _ordered_stream(spark, sf_dir, CPU_MEM, "stream_alerts")
+
+
+def q_stream_net_disk_alerts(spark, sf_dir):
+    """The same for NET/DISK: its rows come from the stream."""
+    return _ordered_stream(spark, sf_dir, NET_DISK, "stream_alerts_nd")
 
 
 def q_stream_cpu_mem_alerts_closed(spark, sf_dir):
@@ -584,6 +695,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "produced_landed_alerts": q_produced_landed_alerts,
         "job_guards": q_job_guards,
         "replay_positions": q_replay_positions,
+        "replay_epochs": q_replay_epochs,
         "sorted_alerts": q_sorted_alerts,
         "landed_quarantine": q_landed_quarantine,
         "stream_cpu_mem_alerts": q_stream_cpu_mem_alerts,
@@ -591,6 +703,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_cpu_mem_alerts_full_time": q_stream_cpu_mem_alerts_full_time,
         "stream_net_disk_alerts_closed": q_stream_net_disk_alerts_closed,
         "stream_records_full_time": q_stream_records_full_time,
+        "stream_net_disk_alerts": q_stream_net_disk_alerts,
+        "published_cpu_mem_alerts": q_published_cpu_mem_alerts,
+        "published_net_disk_alerts": q_published_net_disk_alerts,
+        "published_ledger": q_published_ledger,
+        "landed_states_alerts": q_landed_states_alerts,
+        "restarted_topic_counts": q_restarted_topic_counts,
+        "compacted_landing": q_compacted_landing,
         **(llm_registry.queries() if llm_registry else {}),
     }
 
@@ -755,6 +874,18 @@ p AS (SELECT *, CAST(sum(samples) OVER (ORDER BY ts, server_id) AS BIGINT) AS up
 SELECT ts, server_id, upto - samples AS first_position, upto - 1 AS last_position, samples FROM p"""
 
 
+def _replay_epochs_sql() -> str:
+    """No second of the test tables weighs more than an epoch, so epochs are parts of the summed weights."""
+    return f"""WITH {_WIDE},
+c AS (SELECT ts, server_id, count(*) AS n FROM wide WHERE ts IS NOT NULL GROUP BY ts, server_id),
+t AS (SELECT ts, max(n) AS weight FROM c GROUP BY ts),
+b AS (SELECT ts, coalesce(sum(weight) OVER (ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // {EPOCH_ROWS} AS part FROM t),
+e AS (SELECT ts, dense_rank() OVER (ORDER BY part) - 1 AS epoch FROM b),
+s AS (SELECT epoch, server_id, sum(n) AS n, min(ts) AS first, max(ts) AS last FROM c JOIN e USING (ts) GROUP BY epoch, server_id)
+SELECT epoch, min(first) AS first_ts, max(last) AS last_ts, CAST(sum(n) AS BIGINT) AS samples, CAST(max(n) AS BIGINT) AS most_of_a_server, TRUE AS in_order
+FROM s GROUP BY epoch"""
+
+
 def _net_disk_sql(net_t: float = K.NET_THRESHOLD, disk_t: float = K.DISK_THRESHOLD) -> str:
     return f"WITH {_ADAPTER},{_windows_sql('net', 'net_in', 'disk', 'disk_io', 'max')}\n{_net_disk_select(net_t, disk_t)}"
 
@@ -902,13 +1033,35 @@ def _records_alerts_sql(pair: str) -> str:
 {_net_disk_select(K.NET_THRESHOLD, K.DISK_THRESHOLD)}"""
 
 
-def _stream_alerts_sql() -> str:
+def _stream_alerts_sql(pair: str) -> str:
     """Batch alerts over the record-landed tables, windows closed by the final watermark only."""
-    return f"""WITH {_ROUTED},{_windows_sql('rcpu', 'cpu_pct', 'rmem', 'mem_pct', 'avg')}
-{_cpu_mem_select(K.CPU_THRESHOLD, K.MEM_THRESHOLD)}
+    return f"""{_records_alerts_sql(pair)}
   AND ws + 30 <= (SELECT max_sec FROM o) - {STREAM_WATERMARK_SECONDS}"""
 
 
+def _published_ledger_sql() -> str:
+    """Versions after each third of the month, on times of day: v has the rows of all thirds up to its own."""
+    return f"""WITH {_WIDE},
+e AS (SELECT CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS arrived, event_id FROM events),
+step AS (SELECT min(arrived) AS lo, (max(arrived) - min(arrived)) // {ARRIVALS} + 1 AS n FROM e),
+r AS (SELECT (arrived - lo) // n + 1 AS b, server_id, {_sec()} AS sec FROM wide JOIN e USING (event_id), step WHERE {_METRIC_EVENTS}),
+v AS (SELECT unnest(range(1, {ARRIVALS} + 1)) AS v),
+o AS (SELECT v, coalesce({_pmod('min(sec)', 10)}, 0) AS off FROM v JOIN r ON b <= v GROUP BY v),
+whole AS (SELECT o.v, p.off IS DISTINCT FROM o.off AS whole FROM o LEFT JOIN o p ON p.v = o.v - 1),
+s AS (SELECT DISTINCT v, b, server_id, sec - {_pmod('sec - off', 10)} AS slot FROM o JOIN r ON b <= v),
+f AS (SELECT v, server_id, min(slot) AS first_slot FROM s GROUP BY v, server_id),
+w AS (SELECT v, b, server_id, unnest([slot - 20, slot - 10, slot]) AS ws FROM s),
+k AS (SELECT DISTINCT v, b, server_id, ws FROM w JOIN f USING (v, server_id) WHERE ws >= first_slot),
+t AS (SELECT DISTINCT v, server_id, ws FROM k JOIN whole USING (v) WHERE whole OR b = v
+      UNION
+      SELECT v, server_id, ws FROM (SELECT n.v, n.server_id, n.first_slot, unnest([p.first_slot - 20, p.first_slot - 10]) AS ws
+            FROM f n JOIN f p ON p.v = n.v - 1 AND p.server_id = n.server_id JOIN whole ON whole.v = n.v AND NOT whole)
+      WHERE ws >= first_slot)
+SELECT v AS version, count(*) AS touched,
+       count(*) FILTER (WHERE NOT whole AND EXISTS (SELECT 1 FROM k WHERE k.v = t.v - 1 AND k.server_id = t.server_id AND k.ws = t.ws)) AS late
+FROM t JOIN whole USING (v) GROUP BY v"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "cpu_mem_alerts": _cpu_mem_sql(),
@@ -945,12 +1098,20 @@ def oracle_sql() -> dict[str, str]:
         "produced_landed_alerts": _produced_sql(),
         "job_guards": _job_guards_sql(),
         "replay_positions": _replay_positions_sql(),
+        "replay_epochs": _replay_epochs_sql(),
         "sorted_alerts": f"SELECT *, row_number() OVER (ORDER BY server_id, window_start, window_end) - 1 AS position FROM ({_cpu_mem_sql()})",
         "landed_quarantine": _quarantined_sql(),
-        "stream_cpu_mem_alerts": _stream_alerts_sql(),
+        "stream_cpu_mem_alerts": _stream_alerts_sql("cpu_mem"),
         "stream_cpu_mem_alerts_closed": _records_alerts_sql("cpu_mem"),
         "stream_cpu_mem_alerts_full_time": _cpu_mem_full_time_sql(),
         "stream_net_disk_alerts_closed": _records_alerts_sql("net_disk"),
         "stream_records_full_time": _records_full_time_sql(),
+        "stream_net_disk_alerts": _stream_alerts_sql("net_disk"),
+        "published_cpu_mem_alerts": _records_alerts_sql("cpu_mem"),
+        "published_net_disk_alerts": _records_alerts_sql("net_disk"),
+        "published_ledger": _published_ledger_sql(),
+        "landed_states_alerts": _produced_sql(),
+        "restarted_topic_counts": _topic_counts_sql(),
+        "compacted_landing": _routed_sql(),
         **(llm_registry.oracle_sql() if llm_registry else {}),
     }

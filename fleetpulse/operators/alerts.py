@@ -58,8 +58,9 @@ def label_cpu_mem(
     cpu_threshold: float = K.CPU_THRESHOLD,
     mem_threshold: float = K.MEM_THRESHOLD,
     full_time: bool = False,
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
-    """CPU/MEM output rows (L1 + P14-P16).
+    """CPU/MEM output rows (L1 + P14-P16), and the columns `carried` along.
 
     Thresholds are tested on the rounded double averages; the float cast
     (P16) comes after, as in the reference: float(80.07) < 80.07 but the
@@ -72,6 +73,7 @@ def label_cpu_mem(
         cpu.cast("float").alias("avg_cpu"),
         mem.cast("float").alias("avg_mem"),
         cpu_mem_alert(cpu, mem, cpu_threshold, mem_threshold).alias("alert"),
+        *carried,
     )
 
 
@@ -80,8 +82,9 @@ def label_net_disk(
     net_threshold: float = K.NET_THRESHOLD,
     disk_threshold: float = K.DISK_THRESHOLD,
     full_time: bool = False,
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
-    """NET/DISK output rows (L2 + P14-P16)."""
+    """NET/DISK output rows (L2 + P14-P16), and the columns `carried` along."""
     net, disk = F.col("max_net_in"), F.col("max_disk_io")
     return df.select(
         "server_id",
@@ -89,11 +92,18 @@ def label_net_disk(
         net.cast("double").alias("max_net_in"),
         disk.cast("double").alias("max_disk_io"),
         net_disk_alert(net, disk, net_threshold, disk_threshold).alias("alert"),
+        *carried,
     )
 
 
-def label(windows: DataFrame, pair: MetricPair, thresholds: tuple[float, float] | None = None, full_time: bool = False) -> DataFrame:
+def label(
+    windows: DataFrame,
+    pair: MetricPair,
+    thresholds: tuple[float, float] | None = None,
+    full_time: bool = False,
+    carried: tuple[str, ...] = (),
+) -> DataFrame:
     """Output rows of a pair, with its default thresholds unless given (L3)."""
     if pair.name == CPU_MEM.name:
-        return label_cpu_mem(windows, *(thresholds or (K.CPU_THRESHOLD, K.MEM_THRESHOLD)), full_time)
-    return label_net_disk(windows, *(thresholds or (K.NET_THRESHOLD, K.DISK_THRESHOLD)), full_time)
+        return label_cpu_mem(windows, *(thresholds or (K.CPU_THRESHOLD, K.MEM_THRESHOLD)), full_time, carried)
+    return label_net_disk(windows, *(thresholds or (K.NET_THRESHOLD, K.DISK_THRESHOLD)), full_time, carried)

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..functions import event_seconds, once, parse_time_of_day
-from ..schemas import METRICS, MetricPair
+from ..functions import parse_time_of_day
+from ..schemas import MetricPair
 
 STATUS_OK = "ok"
 STATUS_NO_DATA = "no data"
@@ -71,25 +71,12 @@ def _status(agg: DataFrame) -> DataFrame:
     )
 
 
-def landed_times(decoded: DataFrame, metrics: tuple[str, ...]) -> DataFrame:
-    """Per metric: `rows`, `timed` (rows with a parseable time) and `min_sec` (earliest event second) of decoded records.
+def landed_status(times: DataFrame, pair: MetricPair) -> DataFrame:
+    """`input_status` of a pair from what its tables were landed with: a few rows instead of both tables.
 
-    What a job's guards and offset need (A1, A2, P12, P13), kept with the
-    landed tables so that they need not be read for it.
+    `times` has rows of metric, `rows`, `timed` (rows with a parseable
+    time) and `min_sec` (earliest event second).
     """
-    name = None
-    for n in metrics:
-        hit = F.col("topic") == F.lit(METRICS[n].topic)
-        name = F.when(hit, F.lit(n)) if name is None else name.when(hit, F.lit(n))
-    rows = decoded.filter("valid").select(name.alias("metric"), once(event_seconds("ts")).alias("sec"))
-    found = rows.filter(F.col("metric").isNotNull()).groupBy("metric").agg(
-        F.count(F.lit(1)).alias("rows"), F.count("sec").alias("timed"), F.min("sec").alias("min_sec")
-    )
-    return found
-
-
-def landed_status(times: DataFrame, pair: MetricPair) -> DataFrame:
-    """`input_status` of a pair from the `landed_times` of its tables: a few rows instead of both tables."""
     of = lambda m, c: F.coalesce(F.sum(F.when(F.col("metric") == m.name, F.col(c))), F.lit(0)).cast("long")
     rows = times.filter(F.col("metric").isin(pair.left.name, pair.right.name)).agg(
         of(pair.left, "rows").alias("left_rows"),

@@ -207,6 +207,22 @@ def slot_aggregates(long: DataFrame, pair: MetricPair, offset: int | Column) ->
     )
 
 
+def second_states(long: DataFrame, pair: MetricPair) -> DataFrame:
+    """Partial states per (server, second), both metrics in one pass.
+
+    Seconds do not depend on the window offset, so these states can be
+    kept before the earliest event is known, merged with later ones, and
+    turned into slots at any offset. On times of day a server has at most
+    86,400 of them, however many rows it has.
+    """
+    return long.groupBy("server_id", "sec").agg(*partial_states(pair))
+
+
+def slots_from_seconds(states: DataFrame, pair: MetricPair, offset: int | Column) -> DataFrame:
+    """`slot_aggregates` from (any number of rows of) `second_states`."""
+    return states.withColumn("slot", slot_start(F.col("sec"), offset)).groupBy("server_id", "slot").agg(*merged_states(pair))
+
+
 def slot_window_aggregates(slots: DataFrame, pair: MetricPair, by_server: bool = True) -> DataFrame:
     """Merge slot states into 30 s windows: (server_id, ws, window, aggregates).
 

@@ -7,11 +7,14 @@ thin adapters of `sources.kafka`, and every flow also runs on files of
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.records import fan_out, replay_order
+from ..session import shared_dir
 from ..sources.csv_tables import read_samples
 from ..sources.kafka import CPU_MEM_TOPICS, MAX_OFFSETS, NET_DISK_TOPICS, read_topics, write_topics
 from ..streaming.ingest import MAX_FILES, land_stream, read_record_files
@@ -35,16 +38,75 @@ def keyed_records(samples: DataFrame, partitions: int, stamp: Column | str | Non
 
     All of a server's records are in one partition and so are sent by one
     task, one after another: a server that holds a large share of all
-    samples makes that task long. The order asks for that; Kafka keeps
-    one partition per key as well.
+    samples makes that task long. `publish_epochs` bounds it.
     """
     dealt = samples.filter(F.col("ts").isNotNull()).repartition(partitions, "server_id")
     return fan_out(dealt.sortWithinPartitions("ts", "server_id"), stamp)
 
 
-def publish_samples(spark: SparkSession, samples_path: str, servers, stamp: str | None = None, partitions: int = 200) -> None:
-    """Producer: read the sample CSV and publish four records per sample, each server's in order."""
-    write_topics(keyed_records(read_samples(spark, samples_path), partitions, stamp), servers)
+def replay_epochs(samples: DataFrame, epoch_rows: int) -> DataFrame:
+    """Stretches of the replay that are short for every server: ts, epoch (from 0, in the order of ts), alone.
+
+    Each second weighs as many rows as the server with most rows in it; an
+    epoch ends where the weights pass `epoch_rows`, so no server has more
+    rows in it than that and one second's. A second that weighs more is an
+    epoch `alone`: its rows are tied, any order of them is a replay order.
+
+    The sums run over one row for each ts text, at most 86,400 for times
+    of day, however many samples there are.
+    """
+    counts = samples.filter(F.col("ts").isNotNull()).groupBy("ts", "server_id").agg(F.count("*").alias("n"))
+    seconds = counts.groupBy("ts").agg(F.max("n").alias("weight")).withColumn("alone", F.col("weight") > epoch_rows)
+    before = Window.orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)
+    passed = F.coalesce(F.count_if("alone").over(before), F.lit(0))
+    light = F.coalesce(F.sum(F.when(F.col("alone"), 0).otherwise(F.col("weight"))).over(before), F.lit(0))
+    placed = seconds.select("ts", "alone", passed.alias("passed"), F.floor(light / F.lit(epoch_rows)).alias("part"))
+    # Light seconds with p epochs alone behind them, then the next epoch alone, and so on.
+    turn = F.struct((2 * F.col("passed") + F.col("alone").cast("long")).alias("turn"), F.when(~F.col("alone"), F.col("part")).alias("part"))
+    return placed.select("ts", (F.dense_rank().over(Window.orderBy(turn)) - 1).cast("long").alias("epoch"), "alone")
+
+
+def publish_epochs(
+    samples: DataFrame,
+    write: Callable[[DataFrame, int], None],
+    epoch_rows: int,
+    partitions: int,
+    stamp: Column | str | None = None,
+) -> int:
+    """Send records in `ts` order per server, an epoch after the other; returns the number of epochs (P5).
+
+    Within an epoch each server's records are one task's, at most about
+    `epoch_rows` of them; the next epoch starts when all tasks are done, so
+    a server's records stay in order however large its share is.
+    `write(records, epoch)` sends one epoch. Samples are written once, by
+    epoch, under the shared folder, so an epoch reads its own alone.
+    """
+    spark = samples.sparkSession
+    base = shared_dir(spark, "epochs")
+    epochs = replay_epochs(samples, epoch_rows)
+    epochs.write.parquet(f"{base}/epochs")
+    epochs = spark.read.schema(epochs.schema).parquet(f"{base}/epochs")
+    samples.join(epochs.drop("alone"), "ts").write.partitionBy("epoch").parquet(f"{base}/samples")
+    alone = {r.epoch: r.alone for r in epochs.select("epoch", "alone").distinct().collect()}  # one row for each epoch
+    for epoch in sorted(alone):
+        part = spark.read.schema(samples.schema).parquet(f"{base}/samples/epoch={epoch}")
+        write(fan_out(part.repartition(partitions), stamp) if alone[epoch] else keyed_records(part, partitions, stamp), epoch)
+    return len(alone)
+
+
+def publish_samples(
+    spark: SparkSession, samples_path: str, servers, stamp: str | None = None, partitions: int = 200, epoch_rows: int | None = None
+) -> None:
+    """Producer: read the sample CSV and publish four records per sample, each server's in order.
+
+    `epoch_rows` publishes epoch by epoch (`publish_epochs`): for servers
+    that hold a large share of all samples.
+    """
+    samples = read_samples(spark, samples_path)
+    if epoch_rows is None:
+        write_topics(keyed_records(samples, partitions, stamp), servers)
+    else:
+        publish_epochs(samples, lambda records, _: write_topics(records, servers), epoch_rows, partitions, stamp)
 
 
 def consume(

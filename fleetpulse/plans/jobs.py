@@ -25,6 +25,7 @@ from ..operators.windows import (
     long_form,
     slot_aggregates,
     slot_window_aggregates,
+    slots_from_seconds,
     window_aggregate,
 )
 from ..schemas import CPU_MEM, NET_DISK, MetricPair
@@ -98,6 +99,18 @@ def alerts_from_long(
     return label(drop_warmup(long_windows(long, pair, offset), warmup), pair, thresholds)
 
 
+def alerts_from_states(
+    states: DataFrame,
+    pair: MetricPair,
+    thresholds: tuple[float, float] | None = None,
+    offset: int | Column = 0,
+    warmup: int = K.WARMUP_WINDOWS,
+) -> DataFrame:
+    """Labelled alert rows from landed `second_states`: states are merged, no row is read again."""
+    windows = slot_window_aggregates(slots_from_seconds(states, pair, offset), pair).drop("ws")
+    return label(drop_warmup(windows, warmup), pair, thresholds)
+
+
 def kept_windows(long: DataFrame, pair: MetricPair, offset: int | Column | None = None, since: int | None = None) -> DataFrame:
     """Windows after the warm-up, without a step that gathers a server.
 

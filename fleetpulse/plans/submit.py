@@ -1,7 +1,8 @@
 """`spark-submit` entry for one alert job over landed CSV tables.
 
     spark-submit fleetpulse/plans/submit.py cpu_mem --left cpu_data --right mem_data \
-        --out cpu_mem_alerts [--left-threshold 80.07] [--right-threshold 89.36] [--single-file] [--format parquet]
+        --out cpu_mem_alerts [--left-threshold 80.07] [--right-threshold 89.36] [--single-file] [--format parquet] \
+        [--landed-base landed [--from-states]]
 
 Exit status: 0 on success or when both inputs are empty (nothing is
 written), 1 when no input row has a parseable time.
@@ -28,6 +29,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--right-threshold", type=float)
     p.add_argument("--single-file", action="store_true")
     p.add_argument("--format", default="csv", help="format of the input tables (csv, parquet, ...)")
+    p.add_argument("--landed-base", help="landing of a stream that both tables are part of")
+    p.add_argument("--from-states", action="store_true", help="compute windows from the states of the landing")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"fleetpulse-{a.job}").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -44,12 +47,12 @@ def main(argv: list[str] | None = None) -> int:
             defaults[1] if a.right_threshold is None else a.right_threshold,
         )
     try:
-        res = run_alert_job(spark, a.job, a.left, a.right, a.out, thresholds, a.single_file, a.format)
+        res = run_alert_job(spark, a.job, a.left, a.right, a.out, thresholds, a.single_file, a.format, a.landed_base, a.from_states)
     except NoEventTimeError as e:
         print(f"error: {e}", file=sys.stderr)
         return 1
     print(f"{a.job}: status={res.status} left_rows={res.left_rows} right_rows={res.right_rows} "
-          f"offset={res.window_offset} output={res.output}")
+          f"offset={res.window_offset} rows={res.rows} output={res.output}")
     return 0
 
 

@@ -9,19 +9,23 @@ they are stateless column expressions.
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.records import decode, quarantine, route, topic_counts
-from ..operators.status import landed_times
-from ..schemas import METRICS, RECORD_SCHEMA, TIMED_RECORD_SCHEMA, Metric
+from ..functions import constants as K
+from ..functions import event_seconds, once, parse_time_of_day
+from ..operators.records import decode, full_event_time, quarantine, records_long, route
+from ..operators.windows import merged_states, second_states
+from ..schemas import METRIC_BY_TOPIC, METRICS, PAIRS, RECORD_SCHEMA, TIMED_RECORD_SCHEMA, Metric, MetricPair
 from ..sources.csv_tables import CSV_WRITE_OPTIONS, one_line, read_table
+from .commits import Landing, commit, folder, is_committed, landed_topics, landing
 
-COUNTS = "counts"
-TIMES = "times"
 QUARANTINE = "quarantine"
+QUARANTINE_SCHEMA = "topic string, key binary, text string"
 
 #: Files per micro-batch unless told otherwise: bounds what a batch holds.
 MAX_FILES = 1000
@@ -53,6 +57,52 @@ def metric_stream(records: DataFrame, metric: str) -> DataFrame:
     return route(decode(records), METRICS[metric])
 
 
+def topic_summary(decoded: DataFrame, full_time: bool = False) -> DataFrame:
+    """Per topic what a commit record holds: the counts of `topic_counts` (A9), and of the
+    valid records those with a readable time and the earliest event second (A1, A2)."""
+    sec = F.unix_seconds(full_event_time(parse_time_of_day("ts"), F.col("timestamp"))) if full_time else event_seconds("ts")
+    timed = decoded.select("topic", "valid", once(F.when(F.col("valid"), sec)).alias("sec"))
+    return timed.groupBy("topic").agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.count_if(F.col("topic").isin(*K.TOPICS) & F.col("valid")).alias("stored"),
+        F.count_if(~F.col("valid")).alias("quarantined"),
+        F.count("sec").alias("timed"),
+        F.min("sec").alias("min_sec"),
+    )
+
+
+def states_table(pair: MetricPair) -> str:
+    """Name of the table of a pair's landed states."""
+    return f"states/{pair.name}"
+
+
+def states_schema(pair: MetricPair) -> T.StructType:
+    fields = [T.StructField("server_id", T.StringType()), T.StructField("sec", T.LongType())]
+    for m, side in ((pair.left, "l"), (pair.right, "r")):
+        own = [("sum", T.DoubleType()), ("n", T.LongType())] if m.agg == "avg" else [("max", T.DoubleType())]
+        fields += [T.StructField(f"{side}_{n}", t) for n, t in own]
+    return T.StructType([*fields, T.StructField("hour", T.LongType())])
+
+
+def landed_pairs(metrics: tuple[str, ...]) -> list[MetricPair]:
+    """Pairs of which a landing has both metrics."""
+    return [p for p in PAIRS.values() if {p.left.name, p.right.name} <= set(metrics)]
+
+
+def _write_table(rows: DataFrame, path: str, fmt: str) -> None:
+    w = (one_line(rows) if fmt == "csv" else rows).write.mode("overwrite")
+    if fmt == "csv":
+        w.options(**CSV_WRITE_OPTIONS).csv(path)
+    else:
+        w.format(fmt).save(path)
+
+
+def _write_states(states: DataFrame, path: str) -> None:
+    """States by the hour of their second: a later reader opens the hours it needs."""
+    hour = F.floor(F.col("sec") / 3600).cast("long")
+    states.withColumn("hour", hour).hint("rebalance", "hour").write.mode("overwrite").partitionBy("hour").parquet(path)
+
+
 def land_stream(
     records: DataFrame,
     base_path: str,
@@ -60,68 +110,115 @@ def land_stream(
     checkpoint: str,
     available_now: bool = True,
     fmt: str = "csv",
+    publish: dict[str, str] | None = None,
+    full_time: bool = False,
 ) -> StreamingQuery:
     """Land each metric of a record stream as its own table.
 
     One query reads the source once per micro-batch; the batch is decoded
-    once and routed to every metric table. Each micro-batch writes into
-    its own `batch=<checkpoint's id>-<batch id>` folder with overwrite, so
-    a batch replayed after a failure rewrites the same folder:
+    once and routed to every metric table. A micro-batch writes into its
+    own folders `<table>/batch=<checkpoint's id>-<batch id>`:
+
+    - every metric's rows, empty or not, so a metric without records is
+      still a readable, typed table (S11);
+    - `states/<pair>` for each pair with both metrics: mergeable states
+      of each server's seconds (A4-A7), from which a job computes its
+      windows at any offset without reading the rows again;
+    - `quarantine`, if a payload did not decode (`read_quarantine`).
+
+    The commit record comes last and makes them count together. It also
+    holds the batch's counts and earliest times (`landing_counts`,
+    `read_landed_times`). A batch replayed after a failure overwrites
+    folders that no record names, or finds its own record and is done:
     exactly-once output on top of the checkpointed source offsets. A new
-    checkpoint has a new id and adds to what is there. Every batch writes
-    every metric, empty or not, so a metric without records is still a
-    readable, typed table (S11). Per-topic message, stored and
-    quarantined counts of the batch go to `<base>/counts` (A9;
-    `landing_counts` sums them), each metric's rows, timed rows and
-    earliest event to `<base>/times` (`landed_status` reads a job's guards
-    and offset from them) and the payloads that do not decode to
-    `<base>/quarantine` (`read_quarantine`).
+    checkpoint has a new id and adds to what is there.
 
-    The batch is cached while its tables are written; the source's limit
-    per trigger bounds it.
+    `publish` maps a pair's name to a folder of published alerts, which is
+    brought up to date after every commit (`published.refresh`).
+    `full_time=True` takes dates from the records' `timestamp` (D8) for
+    states and times.
 
-    `fmt="csv"` (with header) is the reference's landing format; use
-    `"parquet"` at scale. Read a landed table back with `read_landed`.
+    The batch is cached while its tables are written; the source's limit
+    per trigger bounds it. `fmt="csv"` (with header) is the reference's
+    landing format; use `"parquet"` at scale. Read a landed table back
+    with `read_landed`.
     """
     base = base_path.rstrip("/")
     ids: list[str] = []
 
     def _land(batch: DataFrame, batch_id: int) -> None:
-        decoded = decode(batch).persist()
-        try:
-            if not ids:
-                ids.append(checkpoint_id(batch.sparkSession, checkpoint))
-            part = f"batch={ids[0]}-{batch_id:012d}"
-            for name in metrics:
-                rows = route(decoded, METRICS[name])
-                w = (one_line(rows) if fmt == "csv" else rows).write.mode("overwrite")
-                if fmt == "csv":
-                    w.options(**CSV_WRITE_OPTIONS).csv(f"{base}/{name}/{part}")
-                else:
-                    w.format(fmt).save(f"{base}/{name}/{part}")
-            counts = topic_counts(decoded).withColumn("batch_id", F.lit(batch_id).cast("long"))
-            counts.write.mode("overwrite").parquet(f"{base}/{COUNTS}/{part}")
-            times = landed_times(decoded, metrics).withColumn("batch_id", F.lit(batch_id).cast("long"))
-            times.write.mode("overwrite").parquet(f"{base}/{TIMES}/{part}")
-            quarantine(decoded).write.mode("overwrite").parquet(f"{base}/{QUARANTINE}/{part}")
-        finally:
-            decoded.unpersist()
+        spark = batch.sparkSession
+        first = not ids
+        if first:
+            ids.append(checkpoint_id(spark, checkpoint))
+        name = f"{ids[0]}-{batch_id:012d}"
+        # Only the first batch of a run can be one that was cut off.
+        if not (first and is_committed(spark, base, name)):
+            _land_batch(batch, base, name, metrics, fmt, full_time)
+        if publish:
+            from .published import refresh
+
+            for pair, out in publish.items():
+                refresh(spark, base, PAIRS[pair], out, full_time=full_time)
 
     w = records.writeStream.foreachBatch(_land).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
 
+def _land_batch(batch: DataFrame, base: str, name: str, metrics: tuple[str, ...], fmt: str, full_time: bool) -> None:
+    decoded = decode(batch).persist()
+    try:
+        tables = list(metrics)
+        for metric in metrics:
+            _write_table(route(decoded, METRICS[metric]), folder(base, metric, name), fmt)
+        for pair in landed_pairs(metrics):
+            _write_states(second_states(records_long(decoded, pair, full_time), pair), folder(base, states_table(pair), name))
+            tables.append(states_table(pair))
+        topics = topic_summary(decoded, full_time).persist()
+        try:
+            if not topics.filter("quarantined > 0").isEmpty():
+                quarantine(decoded).write.mode("overwrite").parquet(folder(base, QUARANTINE, name))
+                tables.append(QUARANTINE)
+            commit(topics, base, name, tables)
+        finally:
+            topics.unpersist()
+    finally:
+        decoded.unpersist()
+
+
+def _read_folders(spark: SparkSession, schema, root: str, paths: list[str]) -> DataFrame:
+    """Rows of commits' folders of the table at `root`, in the columns of the schema."""
+    empty = spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", root).parquet(*paths).select(empty.columns) if paths else empty
+
+
+def _read_metric_folders(spark: SparkSession, metric: Metric, paths: list[str], fmt: str) -> DataFrame:
+    return read_table(spark, metric, paths, fmt) if paths else spark.createDataFrame([], metric.schema)
+
+
 def read_landed(spark: SparkSession, metric: Metric | str, path: str, fmt: str = "csv") -> DataFrame:
-    """A metric table landed by `land_stream` (all micro-batch folders)."""
-    return read_table(spark, metric, path, fmt, recursive=True)
+    """A metric table landed by `land_stream`: the folders that its landing's commit records name.
+
+    `path` is the table's folder, `<base>/<metric>`.
+    """
+    base, _, table = path.rstrip("/").rpartition("/")
+    return _read_metric_folders(spark, METRICS[metric] if isinstance(metric, str) else metric, landing(spark, base).paths(table), fmt)
+
+
+def read_states(spark: SparkSession, landed: Landing, pair: MetricPair, names: list[str] | None = None) -> DataFrame:
+    """Landed states of a pair: server_id, sec, the states, hour; of all commits or of those named.
+
+    A server's second has a row for each commit that saw it.
+    """
+    table = states_table(pair)
+    return _read_folders(spark, states_schema(pair), f"{landed.base}/{table}", landed.paths(table, names))
 
 
 def landing_counts(spark: SparkSession, base_path: str) -> DataFrame:
     """Messages received, records stored and quarantined per topic over all
-    landed micro-batches (A9 for a stream)."""
-    per_batch = spark.read.option("recursiveFileLookup", True).parquet(f"{base_path.rstrip('/')}/{COUNTS}")
-    return per_batch.groupBy("topic").agg(
+    landed micro-batches (A9 for a stream), restarts included."""
+    return landed_topics(spark, base_path).groupBy("topic").agg(
         F.sum("messages").alias("messages"),
         F.sum("stored").alias("stored"),
         F.sum("quarantined").alias("quarantined"),
@@ -130,9 +227,43 @@ def landing_counts(spark: SparkSession, base_path: str) -> DataFrame:
 
 def read_quarantine(spark: SparkSession, base_path: str) -> DataFrame:
     """Records that did not decode in any landed micro-batch: topic, key, text."""
-    return spark.read.option("recursiveFileLookup", True).parquet(f"{base_path.rstrip('/')}/{QUARANTINE}")
+    base = base_path.rstrip("/")
+    return _read_folders(spark, QUARANTINE_SCHEMA, f"{base}/{QUARANTINE}", landing(spark, base).paths(QUARANTINE))
 
 
 def read_landed_times(spark: SparkSession, base_path: str) -> DataFrame:
-    """Rows, timed rows and earliest event second of each metric and micro-batch of a landing."""
-    return spark.read.option("recursiveFileLookup", True).parquet(f"{base_path.rstrip('/')}/{TIMES}")
+    """Rows, timed rows and earliest event second of each metric and commit of a landing."""
+    metric = F.create_map(*[F.lit(x) for t, m in METRIC_BY_TOPIC.items() for x in (t, m.name)])[F.col("topic")]
+    rows = landed_topics(spark, base_path).withColumn("metric", metric).filter(F.array_contains("tables", F.col("metric")))
+    return rows.select("metric", F.col("stored").alias("rows"), "timed", "min_sec")
+
+
+def compact(spark: SparkSession, base_path: str, fmt: str = "csv") -> str | None:
+    """Turn all commits of a landing into one (S9, S10). Returns its name, or None if there are fewer than two.
+
+    Tables are rewritten in files of the size that adaptive execution
+    aims at, states of one second become one row, counts are summed. The
+    new commit record takes the place of the old ones in one step; a
+    reader sees the old folders or the new ones. The old folders stay for
+    readers that are under way; nothing names them any more.
+    """
+    base = base_path.rstrip("/")
+    now = landing(spark, base)
+    if len(now.tables) < 2:
+        return None
+    name = f"compact-{uuid.uuid4().hex}"
+    held = sorted(set().union(*now.tables.values()))
+    for table in held:
+        to = folder(base, table, name)
+        if table in METRICS:
+            _write_table(_read_metric_folders(spark, METRICS[table], now.paths(table), fmt).hint("rebalance"), to, fmt)
+        elif table == QUARANTINE:
+            _read_folders(spark, QUARANTINE_SCHEMA, f"{base}/{table}", now.paths(table)).hint("rebalance").write.parquet(to)
+        else:
+            pair = next(p for p in PAIRS.values() if states_table(p) == table)
+            _write_states(read_states(spark, now, pair).groupBy("server_id", "sec").agg(*merged_states(pair)), to)
+    summed = landed_topics(spark, base).filter(F.col("name").isin(list(now.tables))).groupBy("topic").agg(
+        *[F.sum(c).alias(c) for c in ("messages", "stored", "quarantined", "timed")], F.min("min_sec").alias("min_sec")
+    )
+    commit(summed, base, name, held, tuple(now.tables))
+    return name

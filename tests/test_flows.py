@@ -51,3 +51,41 @@ def test_submit_on_parquet_tables(spark):
         ("a", "00:00:15", "00:00:45", 10.0, None, None),
         ("a", "00:00:25", "00:00:55", 10.0, None, None),
     ]
+
+
+def test_epochs_keep_a_hot_servers_order_over_many_tasks(spark):
+    """A server with most samples: no task sends more than an epoch's share of it, and its records stay in order."""
+    import random
+
+    from pyspark.sql import Window
+
+    from fleetpulse.plans.flows import publish_epochs, replay_epochs
+
+    rnd = random.Random(4)
+    data = [(f"{rnd.randrange(24):02d}:{rnd.randrange(60):02d}:00", "hot" if rnd.random() < 0.8 else rnd.choice("abc")) for _ in range(2000)]
+    data += [("12:30:30", "hot")] * 150 + [(None, "a")] * 3 + [("odd", "b")]
+    cols = "ts string, server_id string, cpu_pct double, mem_pct double, net_in double, net_out double, disk_io double"
+    df = spark.createDataFrame([(*r, 1.0, 1.0, 1.0, 1.0, 1.0) for r in data], cols)
+    epochs = {r.ts: (r.epoch, r.alone) for r in replay_epochs(df, 100).collect()}
+    assert [epochs[t][0] for t in sorted(epochs)] == sorted(e for e, _ in epochs.values())
+    assert [t for t, (_, alone) in epochs.items() if alone] == ["12:30:30"]
+    assert sum(e == epochs["12:30:30"][0] for e, _ in epochs.values()) == 1
+    base = shared_dir(spark, "sent")
+
+    def send(records, epoch):
+        numbered = records.withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id())
+        numbered.write.parquet(f"{base}/epoch={epoch}")
+
+    n = publish_epochs(df, send, 100, 3, "00:00:00")
+    assert n == len({e for e, _ in epochs.values()}) > 10
+    got = spark.read.parquet(base).filter("topic = 'topic-cpu'").select(
+        "epoch", "part", "at", F.col("key").cast("string").alias("server"), F.get_json_object(F.col("value").cast("string"), "$.original_ts").alias("ts")
+    )
+    assert got.count() == 2151
+    shares = got.groupBy("server", "epoch", "part").count()
+    assert shares.agg(F.max("count")).first()[0] < 110
+    hot = epochs["12:30:30"][0]
+    assert shares.filter(F.col("epoch") != hot).groupBy("server", "epoch").count().agg(F.max("count")).first()[0] == 1
+    assert shares.filter((F.col("epoch") == hot) & (F.col("server") == "hot")).count() == 3
+    order = Window.partitionBy("server").orderBy("epoch", "at")
+    assert got.withColumn("before", F.lag("ts").over(order)).filter("before > ts").count() == 0
