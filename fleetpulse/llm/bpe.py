@@ -29,6 +29,7 @@ from fleetpulse.llm.common import table, text_column
 CHUNK = 32_768  # characters per chunk
 OVERLAP = 512  # characters that a chunk shares with the next one
 MARGIN = 8  # more than any look-ahead of the pattern beside runs of one class
+BLANKS = 4096  # the library's own pre-tokeniser fails on runs of white space that are some hundred times as long
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -101,18 +102,26 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     return encoded.select(*schema.names[:-1]).mapInArrow(run, schema)
 
 
+def _ids(enc, found, blanks, text: str) -> list[int]:
+    """ids of a text: by the library as a whole, or, with a long run of white space, match by match."""
+    if blanks.search(text) is None:
+        return enc.encode_ordinary(text)
+    return [i for m in found.finditer(text) for i in enc._encode_single_piece(m.group())]
+
+
 def _encode_rows(ranks_path: str, pattern: str, with_bytes: bool):
     """Worker for rows whose last column is the text: it becomes `ids`, and `data` after it if wanted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(ranks_path, pattern)
+        found, blanks = regex.compile(pattern), regex.compile(rf"\s{{{BLANKS}}}")
         for b in batches:
             names = [*b.schema.names[:-1], "ids", *["data"] * with_bytes]
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
                 ids, data = [], []
                 for t in part.columns[-1]:
-                    x = enc.encode_ordinary(t.as_py())
+                    x = _ids(enc, found, blanks, t.as_py())
                     ids.append(pa.array(x, pa.int32()))
                     if with_bytes:
                         data.append(enc.decode_bytes(x))

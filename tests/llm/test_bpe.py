@@ -29,6 +29,20 @@ def test_whole_and_chunked_texts_equal_the_library(spark, enc):
         assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(str(want(enc, d, t)) for d, t, _ in rows)
 
 
+def test_long_runs_and_long_texts_at_the_default_chunk(spark, enc):
+    """A run of blanks that the library's own pre-tokeniser does not survive, and texts of many chunks."""
+    path, pattern = bpe.vocabulary()
+    rnd = random.Random(5)
+    prose = "".join(rnd.choice(["the ", "don't", " 12", "\n", "日本", "é", "  ", "!?"]) for _ in range(60_000))
+    run = [(1, "word " + " " * 2_000_000 + "x"), (2, "word\t" + "\n " * 3000 + "x"), (3, prose), (4, "y" * 100_000), (5, " " * bpe.BLANKS)]
+    got = {r.doc_id: tuple(r) for r in bpe.digests(bpe.encode(spark.createDataFrame(run, "doc_id long, text string"), path, pattern)).collect()}
+    found = regex.compile(pattern)
+    for d, text in run:
+        ids = [i for m in found.findall(text) for i in enc._encode_single_piece(m)]
+        assert d == 1 or ids == enc.encode_ordinary(text)
+        assert got[d] == (d, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+
+
 def test_cuts_are_match_starts():
     _, pattern = bpe.vocabulary()
     found = regex.compile(pattern)
