@@ -5,16 +5,22 @@ row, with the record's closing blank lines as the line separator; so any
 file system of Spark holds the archives, and a lost task is written anew.
 Of equal payloads of SHARED bytes or more, the page with the largest id is
 a response, the others are revisits of it. Archives are read back as whole
-files of bounded size and parsed by their Content-Length.
+files, whose size the largest payload bounds, and parsed by their
+Content-Length.
 
 The captures of each archive, sorted, are a run. The runs are dealt out by
-ranges of (URL key, time), and in each range a loser tree merges them, so
-that the ranges one after the other hold all captures in order.
+ranges of (URL key, time, page id) of a bounded number of captures, and in
+each range a loser tree merges them. The ranges one after the other hold
+all captures in order; a capture's place in it is its range's first place
+and its own within the range.
 
 Defined cases: a null payload is empty. A null URL has an empty key and no
-target header; a null page id is read back as null. Line breaks in a URL
-are written percent-encoded. Rows that repeat a page id and payload are
-all responses (or all revisits). An empty table gives an empty result;
+target header; a null time is no date header, and first of its URL key. A
+null page id is read back as null; it is never the largest, so such a page
+revisits any that has its payload, and is a response if none has an id.
+Line breaks in a URL are written percent-encoded. Rows that repeat a page
+id and payload are all responses (or all revisits); captures that are
+alike in key, time and page id stand in the order of their runs. An empty table gives an empty result;
 other columns are ignored.
 """
 
@@ -24,7 +30,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetpulse.llm.common import Batches, table, written
@@ -32,6 +38,8 @@ from fleetpulse.session import shared_dir
 
 SHARED = 1000  # bytes from which equal payloads are stored once
 FILE_RECORDS = 2000  # records of an archive file, at most
+FILE_BYTES = 256 << 20  # and about so many bytes, unless one record has more
+RANGE_ROWS = 200_000  # captures of a merged range, about
 EPOCH = 1_700_000_000  # capture time of page 0 in the query; a page's id counts seconds on
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -53,10 +61,12 @@ def records(pages: DataFrame) -> DataFrame:
     )
     base = base.withColumns({"bytes": F.octet_length("html"), "sha": F.sha1(F.encode("html", "UTF-8"))})
     # Only payloads that occur under several ids are joined.
-    first = base.filter(F.col("bytes") >= SHARED).groupBy("sha").agg(F.max("page_id").alias("first"), F.min("page_id").alias("other"))
-    first = first.filter("first <> other").select("sha", "first")
+    first = base.filter(F.col("bytes") >= SHARED).groupBy("sha").agg(
+        F.max("page_id").alias("first"), F.min("page_id").alias("other"), F.count_if(F.col("page_id").isNull()).alias("without")
+    )
+    first = first.filter("first <> other OR first IS NOT NULL AND without > 0").select("sha", "first")
     base = base.join(first, "sha", "left")
-    revisit = F.coalesce((F.col("bytes") >= SHARED) & (F.col("first") != F.col("page_id")), F.lit(False))
+    revisit = (F.col("bytes") >= SHARED) & F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes").cast("string"), F.lit(END))
     block = F.octet_length("http") + F.when(F.col("revisit"), 0).otherwise(F.col("bytes"))
     line = lambda name, value: F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit("\r\n")), F.lit(""))
@@ -79,7 +89,10 @@ def records(pages: DataFrame) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str) -> None:
-    records(pages).write.option("lineSep", END).option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    """Archive files of at most FILE_RECORDS records, and fewer where the largest payload makes records long."""
+    largest = pages.agg(F.max(F.octet_length("html"))).first()[0] or 0
+    most = max(1, min(FILE_RECORDS, FILE_BYTES // (largest + 4096)))
+    records(pages).write.option("lineSep", END).option("maxRecordsPerFile", most).text(path)
 
 
 def parse(data: bytes) -> Iterator[tuple[int, dict[str, str], dict[str, str], bytes]]:
@@ -106,6 +119,11 @@ def url_key(url: str) -> str:
     return ",".join(reversed(rest[:at].lower().split("."))) + ")" + rest[at:]
 
 
+def sort_key(url_key: str, date: str | None, page_id: int | None) -> tuple:
+    """Order of captures; what is null comes first."""
+    return url_key, date or "", page_id is not None, page_id or 0
+
+
 def _page(urn: str | None) -> int | None:
     return int(urn.removeprefix("<urn:page:").removesuffix(">")) if urn else None
 
@@ -127,10 +145,10 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                     digest = hashlib.sha1(payload).hexdigest() if full else stated
                     size = len(payload) if full else int(http["Content-Length"])
                     rows.append((
-                        url_key(head.get("WARC-Target-URI", "")), head["WARC-Date"], _page(head.get("WARC-Record-ID")), size, digest,
+                        url_key(head.get("WARC-Target-URI", "")), head.get("WARC-Date"), _page(head.get("WARC-Record-ID")), size, digest,
                         head["WARC-Type"], _page(head.get("WARC-Refers-To")), at, digest == stated,
                     ))
-                rows.sort(key=lambda r: (r[0], r[1], r[7]))
+                rows.sort(key=lambda r: (*sort_key(*r[:3]), r[7]))
                 out = Batches(schema, max_rows=FILE_RECORDS)
                 for i, r in enumerate(rows):
                     if (full_batch := out.add((name, i, *r))) is not None:
@@ -180,15 +198,17 @@ class LoserTree:
 
 
 def merged(captures: DataFrame) -> DataFrame:
-    """Captures in global order of (url_key, capture_date, page_id): by part, then pos."""
-    dealt = captures.repartitionByRange("url_key", "capture_date", "page_id").sortWithinPartitions("run", "seq")
+    """Captures with `place`, their place from 0 on in the order of (url_key, capture_date, page_id) over all archives."""
+    spark = captures.sparkSession
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-captures.count() // RANGE_ROWS))
+    dealt = captures.repartitionByRange(ranges, "url_key", "capture_date", "page_id").sortWithinPartitions("run", "seq")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
         if not held:
             return
         rows = pa.Table.from_batches(held)  # index rows of one range, without payloads
-        keys = list(zip(*(rows.column(c).to_pylist() for c in ("url_key", "capture_date")), strict=True))
+        keys = [sort_key(*k) for k in zip(*(rows.column(c).to_pylist() for c in ("url_key", "capture_date", "page_id")), strict=True)]
         runs: list[list] = []
         starts: list[int] = []
         last = None
@@ -202,7 +222,11 @@ def merged(captures: DataFrame) -> DataFrame:
         rows = rows.take(order).append_column("pos", pa.array(range(len(order)), pa.int64()))
         yield from rows.to_batches(max_chunksize=10_000)
 
-    return dealt.mapInArrow(run, CAPTURE_SCHEMA + ", pos long").withColumn("part", F.spark_partition_id())
+    index = written(dealt.mapInArrow(run, CAPTURE_SCHEMA + ", pos long").withColumn("part", F.spark_partition_id()), "warc-index")
+    sizes = index.groupBy("part").agg(F.count("*").alias("size"))  # one row for each range
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("first"))
+    return index.join(F.broadcast(firsts), "part").withColumn("place", F.col("first") + F.col("pos")).drop("part", "pos", "first")
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
@@ -216,19 +240,20 @@ def round_trip(pages: DataFrame) -> DataFrame:
 def q_warc(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     stamped = pages.withColumn("capture_ts", F.timestamp_seconds(F.lit(EPOCH) + F.coalesce(F.col("page_id").cast("long"), F.lit(0))))
-    return round_trip(stamped).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "capture_date")
+    return round_trip(stamped).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "capture_date", "place")
 
 
 SQL = f"""WITH p AS (
   SELECT page_id, url, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
          sha1(coalesce(html, '')) AS payload_digest FROM pages),
 f AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM p),
-u AS (SELECT *, payload_bytes >= {SHARED} AND page_id <> last AS again,
+u AS (SELECT *, payload_bytes >= {SHARED} AND last IS NOT NULL AND page_id IS DISTINCT FROM last AS again,
              split_part(substr(url, strpos(url, '://') + 3), '#', 1) AS rest FROM f),
-h AS (SELECT *, regexp_extract(rest, '^[^/?]*') AS host FROM u)
-SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+h AS (SELECT *, regexp_extract(rest, '^[^/?]*') AS host FROM u),
+r AS (SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN again THEN last END AS refers_to,
        CASE WHEN strpos(coalesce(url, ''), '://') = 0 THEN coalesce(url, '')
             ELSE array_to_string(list_reverse(string_split(lower(host), '.')), ',') || ')' || substr(rest, length(host) + 1) END AS url_key,
-       strftime(make_timestamp(({EPOCH} + page_id) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS capture_date
-FROM h"""
+       strftime(make_timestamp(({EPOCH} + coalesce(page_id, 0)) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS capture_date
+ FROM h)
+SELECT *, row_number() OVER (ORDER BY url_key, capture_date, page_id NULLS FIRST) - 1 AS place FROM r"""

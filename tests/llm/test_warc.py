@@ -21,7 +21,7 @@ def brute(rows):
     out = []
     for d, _, h in rows:
         data = (h or "").encode()
-        again = len(data) >= W.SHARED and d is not None and d != last.get(h or "", d)
+        again = len(data) >= W.SHARED and last.get(h or "") is not None and d != last[h or ""]
         out.append((d, len(data), hashlib.sha1(data).hexdigest(), "revisit" if again else "response", last[h or ""] if again else None))
     return sorted(out, key=str)
 
@@ -30,7 +30,8 @@ def corpus(seed=15, n=120):
     rnd = random.Random(seed)
     big = ["é\r\n\r\nWARC/1.1\r\n" + "x" * 1200, "y" * 1000, "z" * 999, "w" * 70_000]
     rows = [(i, f"https://{rnd.choice(['a', 'b.c', 'WWW.d'])}.example.org/{rnd.randrange(9)}{rnd.choice(['', '?q=1', '#f'])}", rnd.choice([*big, "", None, f"<p>{i}</p>", "q" * 1000 + str(i)])) for i in range(n)]
-    return rows + [(500, None, "y" * 1000), (501, "no scheme", ""), (502, "http://x.org/a\r\nWARC-Type: evil", "t"), (None, "http://n.org/", "null id"), (5, "http://r.org/", "t"), (5, "http://r.org/", "t")]
+    return rows + [(500, None, "y" * 1000), (501, "no scheme", ""), (502, "http://x.org/a\r\nWARC-Type: evil", "t"), (None, "http://n.org/", "null id"), (5, "http://r.org/", "t"), (5, "http://r.org/", "t"),
+        (None, "http://n.org/2", "y" * 1000), (None, None, "v" * 1500), (None, "http://n.org/3", "v" * 1500), (600, "http://u.org/", "u" * 1500), (None, "http://u.org/", "u" * 1500)]
 
 
 def test_round_trip_matches_brute_force(spark, monkeypatch):
@@ -39,11 +40,21 @@ def test_round_trip_matches_brute_force(spark, monkeypatch):
     got = W.round_trip(frame(spark, rows)).collect()
     assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got), key=str) == brute(rows)
     assert all(r.intact for r in got)
-    order = [(r.url_key, r.capture_date) for r in sorted(got, key=lambda r: (r.part, r.pos))]
+    assert sorted(r.place for r in got) == list(range(len(got)))
+    order = [W.sort_key(r.url_key, r.capture_date, r.page_id) for r in sorted(got, key=lambda r: r.place)]
     assert order == sorted(order)
     assert len({r.run for r in got}) > 5
 
 
+def test_pages_without_a_time_and_large_payloads(spark, monkeypatch):
+    monkeypatch.setattr(W, "FILE_BYTES", 3 << 20)
+    df = spark.createDataFrame([(i, "http://a.org/", "b" * 1_000_000 + str(i)) for i in range(7)], "page_id long, url string, html string")
+    df = df.coalesce(1).withColumn("capture_ts", F.when(F.col("page_id") > 2, F.timestamp_seconds(F.lit(W.EPOCH) - F.col("page_id"))))
+    got = sorted(W.round_trip(df).collect(), key=lambda r: r.place)
+    assert [r.page_id for r in got] == [0, 1, 2, 6, 5, 4, 3] and [r.capture_date is None for r in got] == [True] * 3 + [False] * 4
+    assert all(r.intact and r.payload_bytes == 1_000_001 for r in got) and len({r.run for r in got}) >= 3
+
+
 def test_empty_table(spark):
     assert W.round_trip(frame(spark, [])).collect() == []
 
