@@ -1,12 +1,13 @@
 """WARC archives, and their index by an external merge.
 
 Pages are written as WARC records by Spark's text writer, one record a
-row, with the record's closing blank lines as the line separator; so any
-file system of Spark holds the archives, and a lost task is written anew.
+row, with the record's closing blank lines as the line separator, in files
+compressed by gzip; so any file system of Spark holds the archives, and a
+lost task is written anew.
 Of equal payloads of SHARED bytes or more, the page with the largest id is
 a response, the others are revisits of it. Archives are read back as whole
 files, whose size the largest payload bounds, and parsed by their
-Content-Length.
+Content-Length; offsets are those of the uncompressed archive.
 
 The captures of each archive, sorted, are a run. The runs are dealt out by
 ranges of (URL key, time, page id) of a bounded number of captures, and in
@@ -26,6 +27,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -38,7 +40,7 @@ from fleetpulse.session import shared_dir
 
 SHARED = 1000  # bytes from which equal payloads are stored once
 FILE_RECORDS = 2000  # records of an archive file, at most
-FILE_BYTES = 256 << 20  # and about so many bytes, unless one record has more
+FILE_BYTES = 64 << 20  # and about so many bytes, unless one record has more
 RANGE_ROWS = 200_000  # captures of a merged range, about
 EPOCH = 1_700_000_000  # capture time of page 0 in the query; a page's id counts seconds on
 END = "\r\n\r\n"
@@ -92,7 +94,7 @@ def write_archives(pages: DataFrame, path: str) -> None:
     """Archive files of at most FILE_RECORDS records, and fewer where the largest payload makes records long."""
     largest = pages.agg(F.max(F.octet_length("html"))).first()[0] or 0
     most = max(1, min(FILE_RECORDS, FILE_BYTES // (largest + 4096)))
-    records(pages).write.option("lineSep", END).option("maxRecordsPerFile", most).text(path)
+    records(pages).write.option("lineSep", END).option("maxRecordsPerFile", most).option("compression", "gzip").text(path)
 
 
 def parse(data: bytes) -> Iterator[tuple[int, dict[str, str], dict[str, str], bytes]]:
@@ -139,7 +141,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         for b in batches:
             for name, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 rows = []
-                for at, head, http, payload in parse(content.as_py()):
+                for at, head, http, payload in parse(gzip.decompress(content.as_buffer())):
                     stated = head["WARC-Payload-Digest"].removeprefix("sha1:")
                     full = head["WARC-Type"] == "response"
                     digest = hashlib.sha1(payload).hexdigest() if full else stated
