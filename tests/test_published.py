@@ -22,7 +22,7 @@ from fleetpulse.streaming.ingest import compact, land_stream, landing_counts, re
 METRICS = ("cpu", "mem", "net", "disk")
 
 
-def _samples(seed, n, hours=(0, 24), servers=("s1", "s2", "s3", None)):
+def _samples(seed, n, hours=(9, 12), servers=("s1", "s2", "s3", None)):
     rnd = random.Random(seed)
     out = []
     for _ in range(n):
@@ -38,8 +38,8 @@ def _drop(spark, base, i, samples, junk=1):
     recs.unionByName(bad).coalesce(1).write.parquet(f"{base}/in/{i}")
 
 
-def _land(spark, base, **kw):
-    land_stream(read_record_files(spark, f"{base}/in/*", max_files=1), f"{base}/landed", METRICS, f"{base}/ck", **kw).awaitTermination()
+def _land(spark, base, metrics=("cpu", "mem"), **kw):
+    land_stream(read_record_files(spark, f"{base}/in/*", max_files=1), f"{base}/landed", metrics, f"{base}/ck", **kw).awaitTermination()
 
 
 def _decoded(spark, base):
@@ -59,9 +59,9 @@ def three(spark):
 
 
 def test_versions_follow_every_commit_and_equal_the_batch(spark, three):
-    """Each drop covers the whole day, so the second and third are late as a whole."""
+    """Each drop covers the same hours, so the second and third are late as a whole."""
     outs = {p.name: f"{three}/{p.name}" for p in (CPU_MEM, NET_DISK)}
-    _land(spark, three, publish=outs)
+    _land(spark, three, METRICS, publish=outs)
     for pair in (CPU_MEM, NET_DISK):
         assert rows(published.read_published(spark, outs[pair.name], pair)) == _want(spark, three, pair)
         now = published.current(spark, outs[pair.name])
@@ -167,13 +167,13 @@ def test_a_batch_cut_off_is_not_seen_and_its_replay_counts_once(spark, three, mo
     with monkeypatch.context() as m:
         m.setattr(ingest, "commit", dies)
         with pytest.raises(Exception, match="killed before its commit"):
-            _land(spark, three)
+            _land(spark, three, METRICS)
     names = list(landing(spark, landed).tables)
     assert len(names) == 1 and all(not r for r in seen[0][0].values()) and seen[0][2] == []
     assert _everything(spark, landed) == seen[1]
     folders = [d for d in os.listdir(f"{landed}/cpu") if d.startswith("batch=")]
     assert len(folders) == 2  # the cut-off batch left one
-    _land(spark, three)  # the restart replays it
+    _land(spark, three, METRICS)  # the restart replays it
     one = f"{three}/whole"
     land_stream(read_record_files(spark, f"{three}/in/*", max_files=None), one, METRICS, f"{three}/ck1").awaitTermination()
     assert _everything(spark, landed) == _everything(spark, one) and len(landing(spark, landed).tables) == 3
@@ -200,7 +200,7 @@ def test_a_batch_committed_before_its_checkpoint_is_not_landed_twice(spark, thre
 
 def test_states_give_the_job_without_the_tables(spark, three):
     landed = f"{three}/landed"
-    _land(spark, three, fmt="parquet")
+    _land(spark, three, METRICS, fmt="parquet")
     for pair, schema in ((CPU_MEM, CPU_MEM_ALERT_SCHEMA), (NET_DISK, NET_DISK.output_schema)):
         paths = [f"{landed}/{m.name}" for m in (pair.left, pair.right)]
         done = run_alert_job(spark, pair, *paths, f"{three}/o-{pair.name}", fmt="parquet", landed_base=landed, from_states=True)
@@ -215,7 +215,7 @@ def test_compaction_keeps_every_row_in_few_files(spark):
     for i in range(5):
         _drop(spark, base, i, _samples(20 + i, 15), junk=i % 2)
     out, landed = f"{base}/out", f"{base}/landed"
-    _land(spark, base, publish={"net_disk": out})
+    _land(spark, base, METRICS, publish={"net_disk": out})
     was = _everything(spark, landed)
     version = published.current(spark, out)
     states = read_states(spark, landing(spark, landed), CPU_MEM).count()
@@ -227,7 +227,7 @@ def test_compaction_keeps_every_row_in_few_files(spark):
     # What a compaction holds is published already.
     assert published.refresh(spark, landed, NET_DISK, out) == version
     _drop(spark, base, 5, _samples(50, 15))
-    _land(spark, base, publish={"net_disk": out})
+    _land(spark, base, METRICS, publish={"net_disk": out})
     assert rows(published.read_published(spark, out, NET_DISK)) == _want(spark, base, NET_DISK)
     second = compact(spark, landed)
     assert read_commits(spark, landed).count() == 8 and list(landing(spark, landed).tables) == [second]
@@ -258,6 +258,6 @@ def test_published_full_time_equals_the_batch(spark):
         ).filter("timestamp IS NOT NULL")
         recs.coalesce(1).write.parquet(f"{base}/in/{i}")
     src = read_record_files(spark, f"{base}/in/*", max_files=1, timed=True)
-    land_stream(src, f"{base}/landed", METRICS, f"{base}/ck", publish={"cpu_mem": f"{base}/out"}, full_time=True).awaitTermination()
+    land_stream(src, f"{base}/landed", ("cpu", "mem"), f"{base}/ck", publish={"cpu_mem": f"{base}/out"}, full_time=True).awaitTermination()
     want = full_time_alerts(records_long(_decoded(spark, base), CPU_MEM, full_time=True), CPU_MEM)
     assert rows(published.read_published(spark, f"{base}/out", CPU_MEM, full_time=True)) == rows(want)
