@@ -39,6 +39,30 @@ def written(df: DataFrame, name: str, rows: int | None = None, per_file: int = 1
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A key that holds more than one in PARTS of all rows, and more than SHARE rows, is dealt over several tasks.
+PARTS = 256
+SHARE = 1000
+
+
+def dealt_join(rows: DataFrame, groups: DataFrame, counts: DataFrame, key: str, by: str) -> DataFrame:
+    """Inner join of `rows` and `groups` on `key`, in which no key brings a large share of the rows to one task.
+
+    `counts` (key, n), a written table, says how many of the rows have a
+    key. The rows of a hot key are dealt out by a hash of column `by`, and
+    its groups are repeated for each part. The hot keys are broadcast: as
+    each has more than one in PARTS of the rows, there are fewer than PARTS.
+    """
+    total, largest = counts.agg(F.sum("n"), F.max("n")).first()
+    share = max(SHARE, (total or 0) // PARTS)
+    if (largest or 0) <= share:
+        return rows.join(groups, key)
+    hot = F.broadcast(counts.filter(F.col("n") > share).select(key, F.ceil(F.col("n") / share).alias("parts")))
+    rows = rows.join(hot, key, "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64(by), F.col("parts")), F.lit(0).cast("long")))
+    last = F.coalesce(F.col("parts"), F.lit(1).cast("long")) - 1
+    groups = groups.join(hot, key, "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    return rows.drop("parts").join(groups.drop("parts"), [key, "part"]).drop("part")
+
+
 def text_column(name: str = "text"):
     """The text, null as empty."""
     return F.coalesce(F.col(name), F.lit(""))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import written
+from fleetpulse.llm.common import dealt_join, written
 
 
 def _sum(edges: DataFrame) -> tuple:
@@ -19,7 +19,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rows: int | None =
     Every round first links each id's larger neighbours to its smallest
     neighbour, then each id and its smaller neighbours to the smallest of
     them, until only stars around the roots remain. Links stay distributed;
-    each round is a few joins on ids and is written to the shared folder.
+    each round is a few joins on ids, in which a star's centre is dealt over
+    tasks, and is written to the shared folder.
     Null ids and links from an id to itself are ignored. `rows` bounds the
     number of links, for the number of files.
     """
@@ -28,11 +29,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rows: int | None =
     before = _sum(e)
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = written(large, "links", before[0])
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = written(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "links-low", 2 * before[0])
+        ends = dealt_join(both.filter("v > u"), low.select("u", F.least("u", "m").alias("m")), low, "u", "v")
+        large = written(ends.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "links", before[0])
+        low = written(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "links-low", before[0])
+        small = dealt_join(large, low.select("u", "m"), low, "u", "v").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = written(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "links", before[0])
         now = _sum(e)
         if now == before:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import space_words, table, text_column, written
+from fleetpulse.llm.common import dealt_join, space_words, table, text_column, written
 from fleetpulse.llm.graph import components
 
 WORDS = 5
@@ -219,13 +219,15 @@ def full_sets(docs: DataFrame, ids: DataFrame, words: int = WORDS) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists], ["id", "shingles"])
 
-    # Hashed on the few wanted ids: the texts are shuffled once and not sorted, at any size.
-    rows = base.join(ids.distinct().hint("shuffle_hash"), "id").select("id", "text")
+    rows = base.join(ids.distinct(), "id").select("id", "text")
     return rows.mapInArrow(run, "id long, shingles array<long>").filter(F.size("shingles") > 0)
 
 
-def confirmed(groups: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Links (a, b) inside groups (gid, id), on the full sets; enough of them to span each group's components."""
+def confirmed(groups: DataFrame, sets: DataFrame, n: int, percent: int = PERCENT) -> DataFrame:
+    """Links (a, b) inside groups (gid, id), on the full sets; enough of them to span each group's components.
+
+    `n` is about the number of ids.
+    """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in runs(batches):
@@ -235,8 +237,9 @@ def confirmed(groups: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Dat
                 a, b = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    wanted = groups.groupBy("id").agg(F.collect_set("gid").alias("gids"))  # as many as leaves that hold the id
-    rows = sets.join(wanted.hint("shuffle_hash"), "id").select(F.explode("gids").alias("gid"), "id", "shingles")
+    # An id is in as many groups as leaves that hold it; a pivot is in all blocks of its node.
+    counts = written(groups.groupBy("id").agg(F.count("*").alias("n")), "near-counts", n)
+    rows = dealt_join(groups, sets, counts, "id", "gid").select("gid", "id", "shingles")
     return _ordered(rows, "gid").mapInArrow(compare, "a long, b long")
 
 
@@ -251,8 +254,8 @@ def tree_nodes(classes: DataFrame, trees: int, leaf: int, depth: int, size: int,
     linked = int(size * percent / 100)  # values that a linked pair has in common, or most of such pairs
     leaves, tight = None, None
     for level in range(depth + 1):
-        sized = rows.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1")
-        rows = written(rows.join(sized, "node").select("node", "id", "tree", "n"), "near-level", n_rows)
+        sized = written(rows.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1"), "near-sized", n_rows)
+        rows = written(dealt_join(rows, sized, sized, "node", "id").select("node", "id", "tree", "n"), "near-level", n_rows)
         done = rows.filter(F.col("n") <= leaf).select("node", "id")
         leaves = done if leaves is None else leaves.unionByName(done)
         big = rows.filter(F.col("n") > leaf)
@@ -307,29 +310,30 @@ def leaf_groups(leaves: DataFrame, classes: DataFrame, size: int, percent: int)
 def all_links(groups: DataFrame, tight: DataFrame | None, docs: DataFrame, n: int, leaf: int, words: int, percent: int) -> DataFrame:
     """Links of leaf groups, and inside nodes whose members are alike: a star around a pivot, then whatever the pivot does not link."""
     if tight is None or tight.isEmpty():
-        return confirmed(groups, full_sets(docs, groups.select("id"), words), percent)
+        return confirmed(groups, full_sets(docs, groups.select("id"), words), n, percent)
     # The texts are read once: both passes compare from the sets.
     sets = written(full_sets(docs, groups.select("id").unionByName(tight.select("id")), words), "near-sets", n, 10_000)
+    tight = written(tight.distinct(), "near-tight", n)
     half = max(1, leaf // 2)
     block = lambda n: F.pmod(F.xxhash64("id"), F.ceil(F.col(n) / half))
-    pivots = tight.groupBy("node").agg(F.min("id").alias("pivot"), F.max("n").alias("n"))
+    pivots = written(tight.groupBy("node").agg(F.min("id").alias("pivot"), F.max("n").alias("n")), "near-pivots", n // leaf)
     blocks = pivots.select("node", "pivot", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / half) - 1)).alias("j"))
     members = tight.select("node", "id", block("n").alias("j"))
     gid = F.xxhash64("node", "j")
     stars = members.select(gid.alias("gid"), "id").unionByName(blocks.select(gid.alias("gid"), F.col("pivot").alias("id"))).distinct()
-    first_links = written(confirmed(groups.unionByName(stars), sets, percent), "near-links", n)
+    first_links = written(confirmed(written(groups.unionByName(stars), "near-stars", n), sets, n, percent), "near-links", n)
     # Whatever is linked to the pivot by now, directly or not, needs no other comparison with its like.
     star_roots = components(first_links, rows=n)
-    placed = members.join(star_roots, "id", "left").join(pivots.select("node", "pivot"), "node")
     own = star_roots.select(F.col("id").alias("pivot"), F.col("root").alias("pivot_root"))
+    centres = pivots.join(own, "pivot", "left").select("node", "pivot", "pivot_root")
+    placed = dealt_join(members.join(star_roots, "id", "left"), centres, pivots, "node", "id")
     apart = F.col("root").isNull() | F.col("pivot_root").isNull() | (F.col("root") != F.col("pivot_root"))
-    far = placed.join(own, "pivot", "left").filter((F.col("id") != F.col("pivot")) & apart)
-    far = written(far.select("node", "id"), "near-far", n)
+    far = written(placed.filter((F.col("id") != F.col("pivot")) & apart).select("node", "id"), "near-far", n)
     if far.isEmpty():
         return first_links
-    counts = far.groupBy("node").agg(F.count("*").alias("m"))
-    far = far.join(counts, "node").select("node", "id", "m", block("m").alias("i"))
-    fars = counts.join(blocks, "node").select("node", "pivot", "j", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("m") / half) - 1)).alias("i"))
+    counts = written(far.groupBy("node").agg(F.count("*").alias("n")), "near-far-counts", n // leaf)
+    far = dealt_join(far, counts, counts, "node", "id").select("node", "id", block("n").alias("i"))
+    fars = counts.withColumnRenamed("n", "m").join(blocks, "node").select("node", "pivot", "j", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("m") / half) - 1)).alias("i"))
     cell = F.xxhash64("node", "i", "j").alias("gid")
     cells = (
         members.join(fars.select("node", "i", "j"), ["node", "j"]).select(cell, "id")
@@ -337,7 +341,7 @@ def all_links(groups: DataFrame, tight: DataFrame | None, docs: DataFrame, n: in
         .unionByName(fars.select(cell, F.col("pivot").alias("id")))
         .distinct()
     )
-    return first_links.unionByName(confirmed(cells, sets, percent))
+    return first_links.unionByName(confirmed(written(cells, "near-cells"), sets, n, percent))
 
 
 def similarity_classes(

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from fleetpulse.llm import common
 from fleetpulse.llm import near_dedup as N
 from fleetpulse.llm.graph import components
 
@@ -67,6 +68,23 @@ def test_groups_too_large_for_a_table_give_the_same_links(spark, monkeypatch):
     assert run(spark, rows) == want == brute(rows)
 
 
+def test_hot_nodes_dealt_over_tasks_lose_nothing(spark, monkeypatch):
+    """Every node, pivot and star's centre with more than four rows is dealt out."""
+    monkeypatch.setattr(common, "SHARE", 4)
+    rows = corpus(4, families=4, copies=30, edits=5)
+    assert run(spark, rows, leaf=3, trees=10, depth=6) == brute(rows)
+
+
+def test_hot_keys_meet_in_bounded_parts(spark, monkeypatch):
+    monkeypatch.setattr(common, "SHARE", 10)
+    rows = spark.range(1000).selectExpr("IF(id < 600, 0, id) AS k", "id AS v")
+    counts = rows.groupBy("k").count().withColumnRenamed("count", "n")
+    spread = common.dealt_join(rows, counts.selectExpr("k", "n AS size"), counts, "k", "v")
+    got = sorted(tuple(r) for r in spread.select("k", "v", "size").collect())
+    assert got == sorted((0 if i < 600 else i, i, 600 if i < 600 else 1) for i in range(1000))
+    assert "part" not in spread.columns and "pmod" in spread._jdf.queryExecution().toString()
+
+
 def test_repeated_rows_and_null_ids(spark):
     t = " ".join(map(str, range(40)))
     u = " ".join(map(str, range(100, 140)))
@@ -88,9 +106,11 @@ def test_empty_table(spark):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_components_of_random_links(spark, seed):
+@pytest.mark.parametrize("share", [2, 1000])
+def test_components_of_random_links(spark, seed, share, monkeypatch):
+    monkeypatch.setattr(common, "SHARE", share)
     rnd = random.Random(seed)
-    links = [(rnd.randrange(60), rnd.randrange(60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 130)] + [(None, 3), (5, 5)]
+    links = [(rnd.randrange(60), rnd.randrange(60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 130)] + [(None, 3), (5, 5)] + [(200, i) for i in range(201, 230)]
     root = {}
 
     def find(x):
