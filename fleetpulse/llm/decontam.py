@@ -62,7 +62,7 @@ def winnow(hashes: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item, m, words, prints): every window of every item as text, with the fingerprints kept inside the item."""
+    """(item, m, words, window, prints): every window of every item as text, its digest, and the fingerprints kept inside it."""
     kind = pa.schema([("item", pa.string()), ("m", pa.int32()), ("words", pa.binary()), ("prints", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,59 +83,72 @@ def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
                 yield rest
 
     base = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), text_column().alias("text"))
-    return base.mapInArrow(run, "item string, m int, words binary, prints array<long>").distinct()
+    return base.mapInArrow(run, "item string, m int, words binary, prints array<long>").distinct().withColumn("window", F.sha2("words", 256))
 
 
 def _documents(docs: DataFrame) -> DataFrame:
+    """Rows with a key of 128 bits (r1, r2) made of id and text."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
-    return base.withColumn("row", F.xxhash64("doc_id", "text"))  # a clash only adds hits, which are compared
+    return base.select("*", F.xxhash64("doc_id", "text").alias("r1"), F.xxhash64(F.lit(1), "doc_id", "text").alias("r2"))
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(doc_id, r1, r2, n_words) of every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = pa.array([len(letter_words(t.as_py())) for t in b.column(3)], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), n], ["doc_id", "r1", "r2", "n_words"])
+
+    return _documents(docs).select("doc_id", "r1", "r2", "text").mapInArrow(run, "doc_id long, r1 long, r2 long, n_words long")
 
 
 def fingerprints(docs: DataFrame, sizes: list[int]) -> DataFrame:
-    """(row, m, at, print): kept fingerprints of documents for windows of each of the sizes."""
+    """(r1, r2, m, at, print): kept fingerprints of documents for windows of each of the sizes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, 512):
                 part = b.slice(lo, 512)
-                rows = part.column(0).to_numpy()
+                r1, r2 = part.column(0).to_numpy(), part.column(1).to_numpy()
                 found: list[tuple[np.ndarray, ...]] = []
-                for row, text in zip(rows, part.column(1), strict=True):
+                for a, b2, text in zip(r1, r2, part.column(2), strict=True):
                     hashes = word_hashes(letter_words(text.as_py()))
                     for m in sizes:
                         at, prints = winnow(hashes, m)
-                        found.append((np.full(len(at), row), np.full(len(at), m, np.int32), at.astype(np.int32), prints.view(np.int64)))
+                        found.append((np.full(len(at), a), np.full(len(at), b2), np.full(len(at), m, np.int32), at.astype(np.int32), prints.view(np.int64)))
                 if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["row", "m", "at", "print"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["r1", "r2", "m", "at", "print"])
 
-    return _documents(docs).select("row", "text").mapInArrow(run, "row long, m int, at int, print long")
+    return _documents(docs).select("r1", "r2", "text").mapInArrow(run, "r1 long, r2 long, m int, at int, print long")
 
 
 def extended(docs: DataFrame, hits: DataFrame) -> DataFrame:
-    """Per document: doc_id, row, n_words, and its windows (start, m, words) that hold a hit."""
-    kind = pa.list_(pa.struct([("start", pa.int32()), ("m", pa.int32()), ("words", pa.binary())]))
-    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n_words", pa.int64()), ("windows", kind)])
+    """(r1, r2, start, m, words): the windows of documents that hold a hit."""
+    schema = pa.schema([("r1", pa.int64()), ("r2", pa.int64()), ("start", pa.int32()), ("m", pa.int32()), ("words", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = Batches(schema, max_rows=4_000)
-            for doc, row, text, found in zip(*b.columns, strict=True):
+            out = Batches(schema)
+            for r1, r2, text, found in zip(*b.columns, strict=True):
                 words = letter_words(text.as_py())
-                windows = []
-                for m in {x["m"] for x in found.as_py()} if found.is_valid else ():
+                hit: dict[int, list[int]] = {}
+                for x in found.as_py():
+                    hit.setdefault(x["m"], []).append(x["at"])
+                for m, places in hit.items():
                     reach = m - gram_size(m)
-                    starts = {s for x in found.as_py() if x["m"] == m for s in range(max(0, x["at"] - reach), min(x["at"], len(words) - m) + 1)}
-                    windows += [(s, m, b" ".join(words[s : s + m])) for s in sorted(starts)]
-                full = out.add((doc.as_py(), row.as_py(), len(words), windows), 120 * len(windows))
-                if full is not None:
-                    yield full
+                    starts = {s for at in places for s in range(max(0, at - reach), min(at, len(words) - m) + 1)}
+                    for s in sorted(starts):
+                        full = out.add((r1.as_py(), r2.as_py(), s, m, b" ".join(words[s : s + m])), 120)
+                        if full is not None:
+                            yield full
             if (rest := out.flush()) is not None:
                 yield rest
 
-    per_row = hits.groupBy("row").agg(F.collect_set(F.struct("m", "at")).alias("hits"))  # bounded by the document itself
-    # Hashed on the rows with hits: the texts are shuffled once and not sorted, at any size.
-    joined = _documents(docs).join(per_row.hint("shuffle_hash"), "row", "left").select("doc_id", "row", "text", "hits")
-    return joined.mapInArrow(run, "doc_id long, row long, n_words long, windows array<struct<start:int,m:int,words:binary>>")
+    per_row = hits.groupBy("r1", "r2").agg(F.collect_set(F.struct("m", "at")).alias("hits"))  # bounded by the document itself
+    # Only texts with hits are needed: the planner broadcasts their keys if they are under Spark's limit.
+    joined = _documents(docs).join(per_row, ["r1", "r2"]).select("r1", "r2", "text", "hits")
+    return joined.mapInArrow(run, "r1 long, r2 long, start int, m int, words binary")
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -144,25 +157,41 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     sizes = sorted(r["m"] for r in windows.select("m").distinct().collect())  # at most `window` numbers
     prints = written(windows.select("m", F.explode("prints").alias("print")).distinct(), "bench-prints")
     # The planner broadcasts the items' side only if its written size is under Spark's own limit.
-    hits = written(fingerprints(docs, sizes).join(prints, ["m", "print"]).select("row", "m", "at"), "bench-hits")
-    rows = written(extended(docs, hits), "bench-rows")
+    hits = written(fingerprints(docs, sizes).join(prints, ["m", "print"]).select("r1", "r2", "m", "at"), "bench-hits")
+    # Documents meet each distinct window once, however many items hold it.
+    known = windows.select("m", "words", "window").distinct()
     found = (
-        rows.select("row", F.explode("windows").alias("w")).select("row", "w.start", "w.m", "w.words")
-        .join(windows.select("m", "words", "item"), ["m", "words"])
-        .groupBy("row")
-        .agg(F.array_sort(F.collect_set(F.struct("start", "m"))).alias("spans"), F.array_sort(F.collect_set("item")).alias("items"))
+        extended(docs, hits)
+        .join(known, ["m", "words"])
+        .groupBy("r1", "r2")
+        .agg(F.array_sort(F.collect_set(F.struct("start", "m"))).alias("spans"), F.array_sort(F.collect_set("window")).alias("set"))
+    )
+    found = written(found.withColumn("set_key", F.sha2(F.array_join("set", ","), 256)), "bench-found")
+    # Items are looked up once for each distinct set of windows.
+    of_set = (
+        found.select("set_key", "set").dropDuplicates(["set_key"])
+        .select("set_key", F.explode("set").alias("window"))
+        .join(windows.select("window", "item").distinct(), "window")
+        .groupBy("set_key")
+        .agg(F.array_sort(F.collect_set("item")).alias("items"))
+        .select("set_key", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
     )
+    of_set = written(of_set, "bench-sets")
     step = lambda acc, s: F.struct(
         F.greatest(acc["end"], s["start"] + s["m"]).alias("end"),
         (acc["n"] + F.greatest(F.lit(0), s["start"] + s["m"] - F.greatest(acc["end"], s["start"]))).alias("n"),
     )
     zero = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
-    n_hit = F.coalesce(F.aggregate("spans", zero, step)["n"], F.lit(0)).cast("long")
-    items_of = F.coalesce("items", F.array().cast("array<string>"))
+    hit = found.select("r1", "r2", "set_key", F.aggregate("spans", zero, step)["n"].cast("long").alias("n_hit"))
+    hit = written(hit.join(of_set, "set_key").drop("set_key"), "bench-rows")
+    none = F.sha2(F.lit("").cast("binary"), 256)
     return (
-        rows.select("doc_id", "row", "n_words")
-        .join(found, "row", "left")
-        .select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(items_of).cast("long").alias("n_items"), F.sha2(F.array_join(items_of, ","), 256).alias("items_sha256"))
+        word_counts(docs)
+        .join(hit, ["r1", "r2"], "left")
+        .select(
+            "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+            F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"), F.coalesce("items_sha256", none).alias("items_sha256"),
+        )
         .select("*", ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
     )
 

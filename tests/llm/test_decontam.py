@@ -65,6 +65,15 @@ def test_long_items_only(spark):
     assert run(spark, docs, items) == brute(docs, items)
 
 
+def test_a_passage_of_many_items_in_many_documents(spark):
+    """Documents with the same windows look their items up as one set."""
+    shared = " ".join(f"s{i}" for i in range(20))
+    items = [(i, f"{shared} own{i}") for i in range(40)] + [(99, "short one")]
+    docs = [(i, f"lead {shared} own{i % 3} tail") for i in range(60)] + [(100 + i, shared + " short one" * (i % 2)) for i in range(6)]
+    got = run(spark, docs, items)
+    assert got == brute(docs, items) and max(r[3] for r in got) == 41
+
+
 def test_every_shared_span_shares_a_kept_print():
     rnd = np.random.default_rng(7)
     for m in range(1, 16):
