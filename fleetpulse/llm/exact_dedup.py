@@ -101,14 +101,11 @@ def fingerprints(docs: DataFrame, chunk: int = CHUNK, prime: int = PRIME) -> Dat
             )
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), h1, h2], ["sha", "after", "h1", "h2"])
 
-    # Copies of a huge text (same SHA-256 as row key) give the same chunk rows; one of each counts.
+    # One of the copies of a huge text is hashed; each task merges its own copies first.
     huge = base.filter(F.col("n_bytes") > chunk)
     parts = (
         huge.groupBy("sha")
-        .agg(F.max("doc_id").alias("one"))
-        .join(huge, "sha")
-        .filter(F.col("one").eqNullSafe(F.col("doc_id")))
-        .select("sha", "data")
+        .agg(F.first("data").alias("data"))
         .mapInArrow(pieces, "sha string, after long, part binary")
         .repartition("sha", "after")
         .mapInArrow(hashed, "sha string, after long, h1 long, h2 long")
@@ -119,6 +116,8 @@ def fingerprints(docs: DataFrame, chunk: int = CHUNK, prime: int = PRIME) -> Dat
         .groupBy("sha")
         .agg((F.sum("h1") % prime).alias("h1"), (F.sum("h2") % prime).alias("h2"))
     )
+    # Both sides of this join and of the next one are plain shuffles, so a hot text's rows can be split.
+    whole = written(whole, "exact-huge")
     long_ones = huge.select("doc_id", "n_bytes", "sha").join(whole, "sha").select("doc_id", "n_bytes", "h1", "h2", "sha")
     return base.filter(F.col("n_bytes") <= chunk).select("doc_id", "n_bytes", "sha", "data").mapInArrow(small, FP_SCHEMA).unionByName(long_ones)
 
@@ -133,7 +132,7 @@ def clashing(docs: DataFrame, fps: DataFrame, chunk: int = CHUNK) -> DataFrame:
     # One row per distinct text from here on; each task merges its copies first.
     texts = fps.groupBy("sha", *_KEY).agg(F.count("*").alias("n"))
     shared = texts.groupBy(*_KEY).agg(F.sum("n").alias("n")).filter("n > 1").drop("n")
-    members = texts.drop("n").join(shared, _KEY, "left_semi")
+    members = written(texts.drop("n").join(shared, _KEY, "left_semi"), "exact-members")
     data = docs.select(F.encode(text_column(), "UTF-8").alias("data"))
     data = data.select(F.sha2("data", 256).alias("sha"), "data")
     cut = F.transform(
