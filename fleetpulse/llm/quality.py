@@ -172,6 +172,21 @@ def score(docs: DataFrame, model: Model | float) -> DataFrame:
     return base.mapInArrow(run, "doc_id long, score double")
 
 
+def good_rows(docs: DataFrame, model: Model | float, least: float = 0.5) -> DataFrame:
+    """The rows of docs, all columns, whose text scores `least` or more; no row is shuffled."""
+    if not isinstance(model, Model):
+        return docs.filter(F.lit(float(model) >= least))
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = Sizer(model.good, model.bad)
+        for b in batches:
+            x = np.array([size((t.as_py() or "").encode("utf-8", "surrogatepass")) for t in b.column(at)], float).reshape(-1, 3)
+            yield b.filter(pa.array(model.probability(x) >= least))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted."""
     return score(docs, fit(docs, labels)).select(
