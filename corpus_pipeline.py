@@ -11,10 +11,10 @@ return the columns of `documents`; the last returns the tokens' digests.
 5. tokens: whole texts are encoded by byte-level BPE, and decoded again.
 
 Defined cases: those of the operators. Rows that share a doc_id stand or
-fall together in stages 1 (if any of them is predicted as 1), 2 (with
-their text), 3 and 4 (if none is contaminated). A row with a null doc_id
-is judged on its own text in stages 1, 2 and 4 alike, but by the group of
-null ids; it passes stage 3. Extra columns of `documents` are kept up to
+fall together in stages 2 (with their text), 3 (if any of them is kept) and 4
+(if none is contaminated); stage 1 judges each row by its own text. A row
+with a null doc_id goes in stages 2 and 4 by the group of null ids, and
+passes stage 3. Extra columns of `documents` are kept up to
 the last stage. Empty tables give empty results.
 """
 
@@ -26,38 +26,41 @@ from pyspark.sql import functions as F
 from fleetpulse.llm import bpe, decontam, exact_dedup, near_dedup, quality
 from fleetpulse.llm.common import table, text_column, written
 
+#: The threshold of the near-duplicate query; the pairs from 80 to 85 percent stay.
+NEAR_PERCENT = 85
 
-def _keep(docs: DataFrame, kept: DataFrame, *more) -> DataFrame:
-    """Rows of docs whose key is in `kept` (column keep_doc_id); null ids are keys too.
 
-    Hashed on the kept ids, so that texts are shuffled but not sorted.
+def _without(docs: DataFrame, dropped: DataFrame, *more) -> DataFrame:
+    """Rows of docs whose key is not in `dropped` (column drop_doc_id); null ids are keys too.
+
+    The dropped keys are a written table: the planner broadcasts them if
+    that is under Spark's limit, and then the texts are not shuffled.
     """
-    same = docs["doc_id"].cast("long").eqNullSafe(kept["keep_doc_id"])
+    same = docs["doc_id"].cast("long").eqNullSafe(dropped["drop_doc_id"])
     for c in more:
         same = same & c
-    return docs.join(kept.hint("shuffle_hash"), same, "left_semi").select(docs.columns)
+    return docs.join(dropped, same, "left_anti").select(docs.columns)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = quality.classify(docs, table(spark, sf_dir, "labels")).filter("predicted = 1")
-    return _keep(docs, written(judged.select(F.col("doc_id").alias("keep_doc_id")).distinct(), "keep-quality"))
+    return quality.good_rows(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = exact_dedup.exact_groups(docs).filter("kept").select(F.col("doc_id").alias("keep_doc_id"), F.col("text_sha256").alias("keep_sha"))
-    kept = written(kept.distinct(), "keep-exact")
-    return _keep(docs, kept, F.sha2(F.encode(text_column(), "UTF-8"), 256) == kept["keep_sha"])
+    groups = exact_dedup.exact_groups(docs).filter(~F.col("kept"))
+    dropped = written(groups.select(F.col("doc_id").alias("drop_doc_id"), F.col("text_sha256").alias("drop_sha")).distinct(), "drop-exact")
+    return _without(docs, dropped, F.sha2(F.encode(text_column(), "UTF-8"), 256) == dropped["drop_sha"])
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = near_dedup.similarity_classes(docs).filter("kept").select(F.col("doc_id").alias("keep_doc_id"))
-    return _keep(docs, written(kept.distinct(), "keep-near"))
+    judged = near_dedup.similarity_classes(docs, percent=NEAR_PERCENT)
+    stay = judged.groupBy(F.col("doc_id").alias("drop_doc_id")).agg(F.max("kept").alias("stay"))
+    return _without(docs, written(stay.filter(~F.col("stay")).select("drop_doc_id"), "drop-near"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     judged = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
-    clean = judged.groupBy(F.col("doc_id").alias("keep_doc_id")).agg(F.max("contaminated").alias("bad")).filter(~F.col("bad")).select("keep_doc_id")
-    return _keep(docs, written(clean, "keep-clean"))
+    return _without(docs, written(judged.filter("contaminated").select(F.col("doc_id").alias("drop_doc_id")).distinct(), "drop-contaminated"))
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
