@@ -219,7 +219,8 @@ def full_sets(docs: DataFrame, ids: DataFrame, words: int = WORDS) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists], ["id", "shingles"])
 
-    rows = base.join(ids.distinct(), "id").select("id", "text")
+    # The wanted ids grow with the documents: a sort-merge join at any size, whose sides can both spill.
+    rows = base.join(ids.distinct().hint("merge"), "id").select("id", "text")
     return rows.mapInArrow(run, "id long, shingles array<long>").filter(F.size("shingles") > 0)
 
 
