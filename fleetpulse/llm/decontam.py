@@ -146,8 +146,8 @@ def extended(docs: DataFrame, hits: DataFrame) -> DataFrame:
                 yield rest
 
     per_row = hits.groupBy("r1", "r2").agg(F.collect_set(F.struct("m", "at")).alias("hits"))  # bounded by the document itself
-    # Only texts with hits are needed: the planner broadcasts their keys if they are under Spark's limit.
-    joined = _documents(docs).join(per_row, ["r1", "r2"]).select("r1", "r2", "text", "hits")
+    # Rows with hits grow with the documents: a sort-merge join at any size, whose sides can both spill.
+    joined = _documents(docs).join(per_row.hint("merge"), ["r1", "r2"]).select("r1", "r2", "text", "hits")
     return joined.mapInArrow(run, "r1 long, r2 long, start int, m int, words binary")
 
 
