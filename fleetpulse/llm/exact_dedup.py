@@ -118,7 +118,7 @@ def fingerprints(docs: DataFrame, chunk: int = CHUNK, prime: int = PRIME) -> Dat
     )
     # Both sides of this join and of the next one are plain shuffles, so a hot text's rows can be split.
     whole = written(whole, "exact-huge")
-    long_ones = huge.select("doc_id", "n_bytes", "sha").join(whole, "sha").select("doc_id", "n_bytes", "h1", "h2", "sha")
+    long_ones = huge.select("doc_id", "n_bytes", "sha").join(whole.hint("merge"), "sha").select("doc_id", "n_bytes", "h1", "h2", "sha")
     return base.filter(F.col("n_bytes") <= chunk).select("doc_id", "n_bytes", "sha", "data").mapInArrow(small, FP_SCHEMA).unionByName(long_ones)
 
 
@@ -139,7 +139,8 @@ def clashing(docs: DataFrame, fps: DataFrame, chunk: int = CHUNK) -> DataFrame:
         F.sequence(F.lit(0), F.floor((F.octet_length("data") - 1) / chunk).cast("int")),
         lambda i: F.struct(i.alias("i"), F.substring("data", i * chunk + 1, F.lit(chunk)).alias("part")),
     )
-    rows = data.filter(F.octet_length("data") > 0).join(members, "sha").select(*_KEY, F.explode(cut).alias("c"))
+    # Candidates grow with the documents: a sort-merge join at any size.
+    rows = data.filter(F.octet_length("data") > 0).join(members.hint("merge"), "sha").select(*_KEY, F.explode(cut).alias("c"))
     rows = rows.select(*_KEY, "c.i", "c.part").groupBy(*_KEY, "i").agg(F.min("part").alias("lo"), F.max("part").alias("hi"))
     return rows.filter("lo <> hi").select(*_KEY).distinct()
 
