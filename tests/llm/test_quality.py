@@ -70,3 +70,16 @@ def test_dictionaries_learn_from_the_whole_of_a_text(spark):
     assert min(len(t.text.split("fine")[0].split("spam")[0]) for t in docs.collect()) > Q.EXCERPT
     assert sum(w.encode() in model.good for w in good) > 30 and sum(w.encode() in model.bad for w in bad) > 30
     assert not any(w.encode() in model.good for w in bad) and not any(w.encode() in model.bad for w in good)
+
+
+def test_good_rows_are_those_predicted_with_all_columns(spark):
+    docs, labels = corpus(200)
+    docs += [(900, None, "x", None), (None, docs[0][1], None, 1), (901, "", None, None), (3, docs[3][1], "x", 3)]
+    d, lab = frames(spark, docs, labels)
+    model = Q.fit(d, lab)
+    want = {r.doc_id for r in Q.score(d, model).filter("score >= 0.5").collect()}
+    got = Q.good_rows(d, model)
+    assert got.columns == d.columns and set(map(tuple, got.collect())) <= set(docs)
+    assert sorted(map(str, (r.doc_id for r in got.collect()))) == sorted(str(x[0]) for x in docs if x[0] in want)
+    assert Q.good_rows(d, 0.5).count() == len(docs) and Q.good_rows(d, 0.4).count() == 0
+    assert Q.good_rows(d.limit(0), model).collect() == []
