@@ -128,3 +128,22 @@ def test_chances_sum_to_one_over_the_alphabet():
 def test_without_classes_and_empty(spark):
     assert [r.verdict for r in run(spark, [(1, "http://a.com/x"), (2, None)])] == ["allow", "allow"]
     assert run(spark, []) == []
+
+
+def test_every_decided_url_teaches(spark):
+    """More than 5,000 URLs of a class are all counted or kept for the calibration."""
+    rows = [(i, f"http://a{i}.net/x") for i in range(6000)] + [(10_000 + i, f"http://b{i}.org/fr/y") for i in range(6000)]
+    urls = spark.createDataFrame(rows, "page_id long, url string")
+    learned = U.learning_urls(urls)
+    by = {(r.allow, r.counted, r.apart): r.n for r in learned.groupBy("allow", "counted", "apart").agg(F.count("*").alias("n")).collect()}
+    assert by == {(k, c, not c): n for k in (0, 1) for c, n in ((True, 4800), (False, 1200))}
+    first = U.context_table(learned.filter("counted")).filter("context = '/'").first()
+    assert {f.c: (f.allowed, f.blocked) for f in first.followers if f.c in "xy"} == {"x": (0, 4800), "y": (4800, 0)}
+
+
+def test_the_distributed_fit_is_the_plain_one(spark):
+    rnd = np.random.default_rng(19)
+    x = rnd.normal(size=500)
+    y = (rnd.random(500) < 1 / (1 + np.exp(-x))).astype(int)
+    df = spark.createDataFrame([(float(a), int(b)) for a, b in zip(x, y, strict=True)], "difference double, allow int")
+    assert U.logistic_of(df) == pytest.approx(U.logistic(x, y), rel=1e-9)
