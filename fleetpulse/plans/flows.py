@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.records import fan_out, replay_order
+from ..operators.records import fan_out, fan_out_of, replay_order
 from ..session import shared_dir
 from ..sources.csv_tables import read_samples
 from ..sources.kafka import CPU_MEM_TOPICS, MAX_OFFSETS, NET_DISK_TOPICS, read_topics, write_topics
@@ -40,8 +40,11 @@ def keyed_records(samples: DataFrame, partitions: int, stamp: Column | str | Non
     task, one after another: a server that holds a large share of all
     samples makes that task long. `publish_epochs` bounds it.
     """
-    dealt = samples.filter(F.col("ts").isNotNull()).repartition(partitions, "server_id")
-    return fan_out(dealt.sortWithinPartitions("ts", "server_id"), stamp)
+    return fan_out(_dealt(samples.filter(F.col("ts").isNotNull()), partitions), stamp)
+
+
+def _dealt(samples: DataFrame, partitions: int) -> DataFrame:
+    return samples.repartition(partitions, "server_id").sortWithinPartitions("ts", "server_id")
 
 
 def replay_epochs(samples: DataFrame, epoch_rows: int) -> DataFrame:
@@ -79,18 +82,21 @@ def publish_epochs(
     `epoch_rows` of them; the next epoch starts when all tasks are done, so
     a server's records stay in order however large its share is.
     `write(records, epoch)` sends one epoch. Samples are written once, by
-    epoch, under the shared folder, so an epoch reads its own alone.
+    epoch, under the shared folder, so an epoch reads its own alone: from
+    a few files, however many tasks wrote them. What is the same for all
+    epochs is built before the first.
     """
     spark = samples.sparkSession
     base = shared_dir(spark, "epochs")
     epochs = replay_epochs(samples, epoch_rows)
     epochs.write.parquet(f"{base}/epochs")
     epochs = spark.read.schema(epochs.schema).parquet(f"{base}/epochs")
-    samples.join(epochs.drop("alone"), "ts").write.partitionBy("epoch").parquet(f"{base}/samples")
+    samples.join(epochs.drop("alone"), "ts").hint("rebalance", "epoch").write.partitionBy("epoch").parquet(f"{base}/samples")
     alone = {r.epoch: r.alone for r in epochs.select("epoch", "alone").distinct().collect()}  # one row for each epoch
+    reader, fanned = spark.read.schema(samples.schema), fan_out_of(samples.columns, stamp)
     for epoch in sorted(alone):
-        part = spark.read.schema(samples.schema).parquet(f"{base}/samples/epoch={epoch}")
-        write(fan_out(part.repartition(partitions), stamp) if alone[epoch] else keyed_records(part, partitions, stamp), epoch)
+        part = reader.parquet(f"{base}/samples/epoch={epoch}")
+        write(fanned(part.repartition(partitions) if alone[epoch] else _dealt(part, partitions)), epoch)
     return len(alone)
 
 

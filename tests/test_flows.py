@@ -89,3 +89,22 @@ def test_epochs_keep_a_hot_servers_order_over_many_tasks(spark):
     assert shares.filter((F.col("epoch") == hot) & (F.col("server") == "hot")).count() == 3
     order = Window.partitionBy("server").orderBy("epoch", "at")
     assert got.withColumn("before", F.lag("ts").over(order)).filter("before > ts").count() == 0
+
+
+def test_epochs_are_read_from_few_files_and_built_once(spark, tmp_path, monkeypatch):
+    import fleetpulse.operators.records as R
+    from fleetpulse.plans import flows
+
+    monkeypatch.setattr(flows, "shared_dir", lambda s, name: f"{tmp_path}/{name}")
+    built, encode = [], R.encode_value
+    monkeypatch.setattr(R, "encode_value", lambda m, stamp: built.append(m) or encode(m, stamp))
+    df = spark.range(0, 2400, 1, 6).select(
+        F.format_string("10:%02d:%02d", (F.col("id") % 40).cast("int"), (F.col("id") % 60).cast("int")).alias("ts"),
+        F.concat(F.lit("s"), (F.col("id") % 3).cast("string")).alias("server_id"),
+        *[F.col("id").cast("double").alias(c) for c in ("cpu_pct", "mem_pct", "net_in", "net_out", "disk_io")],
+    )
+    sent = []
+    n = flows.publish_epochs(df, lambda records, epoch: sent.append(records.count()), 100, 2, "00:00:00")
+    files = [len(spark.read.parquet(f"{tmp_path}/epochs/samples/epoch={e}").inputFiles()) for e in range(n)]
+    assert n == len(sent) > 5 and sum(sent) == 4 * 2400
+    assert max(files) <= 2 and len(built) == 4
