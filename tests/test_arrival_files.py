@@ -43,6 +43,25 @@ def test_a_quarantine_s_micro_batches_stay_as_many(spark, events, monkeypatch):
     assert got.count() == 240 and taken == [(8, 16), (8, 16)]
 
 
+@pytest.mark.parametrize("query", [E.q_landed_states_alerts, E.q_produced_landed_alerts])
+def test_produced_records_have_more_files_as_they_grow(spark, events, monkeypatch, query):
+    taken = {}
+
+    class Taken(Exception):
+        pass
+
+    def consume(*args, **kwargs):
+        taken.update(kwargs)
+        raise Taken
+
+    monkeypatch.setattr(E, "consume", consume)
+    with pytest.raises(Taken):
+        query(spark, events)
+    got = spark.read.parquet(taken["record_files"])
+    assert got.count() == 4800 and got.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= 160
+    assert taken["max_files"] == -(-_files(spark, taken["record_files"]) // 3) >= 10
+
+
 def test_shares_and_counts():
     assert E._file_count(25_000, 24_000, E.FILE_EVENTS) == E.FILES and E._file_count(0, 0, E.FILE_EVENTS) == E.FILES
     assert E._file_count(12_000_000, 11_000_000, E.FILE_EVENTS) == 120
