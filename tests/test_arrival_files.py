@@ -5,6 +5,9 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from fleetpulse.operators.records import decode, records_long
+from fleetpulse.plans.inspect import plan_text
+from fleetpulse.schemas import CPU_MEM
 
 
 @pytest.fixture
@@ -62,6 +65,13 @@ def test_produced_records_have_more_files_as_they_grow(spark, events, monkeypatc
     assert taken["max_files"] == -(-_files(spark, taken["record_files"]) // 3) >= 10
 
 
+@pytest.mark.parametrize("query", [E.q_stream_records_full_time, E.q_stream_cpu_mem_alerts_closed])
+def test_a_closed_stream_s_records_are_decoded_once_as_a_batch(spark, events, query):
+    assert "from_json" in plan_text(records_long(decode(E.event_records(E.read_events(spark, events))), CPU_MEM))
+    got = query(spark, events)
+    assert got.count() and "from_json" not in plan_text(got)
+
+
 def test_shares_and_counts():
     assert E._file_count(25_000, 24_000, E.FILE_EVENTS) == E.FILES and E._file_count(0, 0, E.FILE_EVENTS) == E.FILES
     assert E._file_count(12_000_000, 11_000_000, E.FILE_EVENTS) == 120
