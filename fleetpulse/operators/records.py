@@ -60,29 +60,37 @@ def send_stamp() -> Column:
     return F.date_format(F.current_timestamp(), K.LABEL_FORMAT)
 
 
-def fan_out(samples: DataFrame, stamp: Column | str | None = None) -> DataFrame:
+def record(topic: str, value: Column) -> Column:
+    """One record of a sample: struct of topic and value text."""
+    return F.struct(F.lit(topic).alias("topic"), value.alias("value"))
+
+
+def metric_records(stamp: Column | str | None = None) -> list[Column]:
+    """The `record` of each metric of a sample."""
+    st = send_stamp() if stamp is None else (F.lit(stamp) if isinstance(stamp, str) else stamp)
+    return [record(m.topic, encode_value(m, st)) for m in METRICS.values()]
+
+
+def fan_out(samples: DataFrame, stamp: Column | str | None = None, records: list[Column] | None = None) -> DataFrame:
     """One wide sample -> four (topic, key, value) records.
 
     `stamp` is the send-time text; pass a literal for deterministic
     output. A column `timestamp` (the broker's time) is carried along.
-    Narrow (no shuffle): a Generate over each input partition.
+    Narrow (no shuffle): a Generate over each input partition. `records`
+    are sent in place of `metric_records`; those that are null are not.
     """
-    return fan_out_of(samples.columns, stamp)(samples)
+    return fan_out_of(samples.columns, stamp, records)(samples)
 
 
-def fan_out_of(columns: list[str], stamp: Column | str | None = None) -> Callable[[DataFrame], DataFrame]:
+def fan_out_of(
+    columns: list[str], stamp: Column | str | None = None, records: list[Column] | None = None
+) -> Callable[[DataFrame], DataFrame]:
     """`fan_out` for samples with these columns, built once for many inputs: on a small one the building takes longer than the job."""
-    st = send_stamp() if stamp is None else (F.lit(stamp) if isinstance(stamp, str) else stamp)
     carried = [c for c in ("timestamp",) if c in columns]
-    recs = F.array(
-        *[
-            F.struct(F.lit(m.topic).alias("topic"), encode_value(m, st).alias("value"))
-            for m in METRICS.values()
-        ]
-    )
+    recs = F.array(*(metric_records(stamp) if records is None else records))
     fanned = (message_key(F.col("server_id")).alias("key"), *carried, F.explode(recs).alias("r"))
     out = (F.col("r.topic").alias("topic"), F.col("key"), F.col("r.value").cast("binary").alias("value"), *carried)
-    return lambda samples: samples.select(*fanned).select(*out)
+    return lambda samples: samples.select(*fanned).filter(F.col("r").isNotNull()).select(*out)
 
 
 def _value_schema(measures: tuple[str, ...] = ALL_MEASURES) -> T.StructType:
@@ -187,19 +195,20 @@ def route_all(decoded: DataFrame, metrics: tuple[str, ...] = ("cpu", "mem", "net
     )
 
 
-def records_long(decoded: DataFrame, pair: MetricPair, full_time: bool = False) -> DataFrame:
+def records_long(decoded: DataFrame, pair: MetricPair, full_time: bool = False, sec: Column | None = None) -> DataFrame:
     """Long form (server_id, sec, l, r) of a pair straight from decoded
     records of both topics: the one-subscription consumer, one scan.
 
     `full_time=True` takes the date from the records' `timestamp` (D8);
     records without one are dropped, as those without a time of day are.
+    `sec` gives the event seconds where they are known already.
     """
     from .windows import tagged_long_form
 
     topic, valid = F.col("topic"), F.col("valid")
     event_time = full_event_time(parse_time_of_day("ts"), F.col("timestamp")) if full_time else None
     return tagged_long_form(
-        decoded, pair, valid & (topic == F.lit(pair.left.topic)), valid & (topic == F.lit(pair.right.topic)), event_time=event_time
+        decoded, pair, valid & (topic == F.lit(pair.left.topic)), valid & (topic == F.lit(pair.right.topic)), event_time=event_time, sec=sec
     )
 
 

@@ -163,6 +163,7 @@ def tagged_long_form(
     is_left: Column,
     is_right: Column,
     event_time: Column | None = None,
+    sec: Column | None = None,
 ) -> DataFrame:
     """Long form from ONE input holding both metrics, tagged per row.
 
@@ -174,14 +175,16 @@ def tagged_long_form(
     By default the event time is the `HH:mm:ss` text on 1970-01-01, as in
     the reference. `event_time` (a full timestamp) replaces it (decision
     D8): days then stay apart and a stream can run past midnight. Window
-    labels stay `HH:mm:ss`.
+    labels stay `HH:mm:ss`. `sec` (epoch seconds, a plain column) is taken
+    as it is.
     """
-    sec = event_seconds(F.col("ts")) if event_time is None else F.unix_seconds(event_time)
+    if sec is None:
+        sec = once(event_seconds(F.col("ts")) if event_time is None else F.unix_seconds(event_time))  # the time parse runs once per row
     return (
         df.filter(is_left | is_right)
         .select(
             "server_id",
-            once(sec).alias("sec"),  # the time parse runs once per row
+            sec.alias("sec"),
             F.when(is_left, F.col(pair.left.measure).cast(pair.left.dtype)).alias("l"),
             F.when(is_right, F.col(pair.right.measure).cast(pair.right.dtype)).alias("r"),
         )

@@ -125,12 +125,16 @@ def wide_samples(events: DataFrame, timed: bool = False) -> DataFrame:
     signup event has no metric at all. `timed=True` adds `timestamp`, the
     broker's time of the sample's records.
     """
+    return events.select(*_wide_columns(timed))
+
+
+def _wide_columns(timed: bool) -> list[Column]:
     et, v = F.col("event_type"), F.col("value")
 
     def when(kind: str, expr: Column) -> Column:
         return F.when(et == F.lit(kind), expr)
 
-    return events.select(
+    return [
         time_of_day_text("ts").alias("ts"),
         server_of(F.col("user_id")).alias("server_id"),
         when("click", v).alias("cpu_pct"),
@@ -139,7 +143,7 @@ def wide_samples(events: DataFrame, timed: bool = False) -> DataFrame:
         when("purchase", v * F.lit(NET_OUT_SCALE)).alias("net_out"),
         when("error", v * F.lit(DISK_SCALE)).alias("disk_io"),
         *([received(F.col("ts")).alias("timestamp")] if timed else []),
-    )
+    ]
 
 
 # --- fixed values: record adapter ------------------------------------------------
@@ -147,8 +151,8 @@ FIXED_STAMP = "00:00:00"
 MALFORMED_FROM = "error"
 
 
-def event_records(events: DataFrame, stamp: str | None = FIXED_STAMP, timed: bool = False) -> DataFrame:
-    """Kafka-shaped records derived from every event.
+def event_records(events: DataFrame, stamp: str | None = FIXED_STAMP, timed: bool = False, tasks: int | None = None) -> DataFrame:
+    """Kafka-shaped records derived from every event, in one pass over them.
 
     * each metric event (click, view, purchase, error) is one wide sample
       and fans out to the four metric topics, as the producer does;
@@ -156,26 +160,20 @@ def event_records(events: DataFrame, stamp: str | None = FIXED_STAMP, timed: boo
     * each error event also sends one malformed (non-JSON) message on the
       disk topic, which decoding must quarantine.
 
-    `timed=True` adds the broker's time to every record.
+    `timed=True` adds the broker's time to every record. `tasks` deals the
+    events evenly over so many tasks, which then build the records: a
+    record is several times an event's size, so events are what to shuffle.
     """
-    from ..operators.records import fan_out, message_key
-
-    metric_events = events.filter(F.col("event_type").isin(*EVENT_METRIC))
-    fanned = fan_out(wide_samples(metric_events, timed), stamp)
-    at = [received(F.col("ts")).alias("timestamp")] if timed else []
-    server = server_of(F.col("user_id"))
-    other = events.filter(F.col("event_type") == F.lit(OTHER_EVENT)).select(
-        F.lit(OTHER_TOPIC).alias("topic"),
-        message_key(server).alias("key"),
-        F.to_json(
-            F.struct(time_of_day_text("ts").alias("original_ts"), server.alias("server_id"))
-        ).cast("binary").alias("value"),
-        *at,
-    )
-    malformed = events.filter(F.col("event_type") == F.lit(MALFORMED_FROM)).select(
-        F.lit(DISK.topic).alias("topic"),
-        message_key(server).alias("key"),
-        F.concat(F.lit("error:"), F.col("event_id").cast("string")).cast("binary").alias("value"),
-        *at,
-    )
-    return fanned.unionByName(other).unionByName(malformed)
+    from ..operators.records import fan_out, metric_records, record
+
+    known = events.filter(F.col("event_type").isin(*EVENT_METRIC, OTHER_EVENT))
+    dealt = known.repartition(tasks) if tasks else known
+    et = F.col("event_type")
+    other = record(OTHER_TOPIC, F.to_json(F.struct(F.col("ts").alias("original_ts"), "server_id")))
+    malformed = record(DISK.topic, F.concat(F.lit("error:"), F.col("event_id").cast("string")))
+    records = [
+        *[F.when(et != F.lit(OTHER_EVENT), r) for r in metric_records(stamp)],
+        F.when(et == F.lit(OTHER_EVENT), other),
+        F.when(et == F.lit(MALFORMED_FROM), malformed),
+    ]
+    return fan_out(dealt.select("event_id", "event_type", *_wide_columns(timed)), stamp, records)

@@ -77,3 +77,33 @@ def test_shares_and_counts():
     assert E._file_count(12_000_000, 11_000_000, E.FILE_EVENTS) == 120
     assert E._file_count(12_000_000, 9_000, E.FILE_EVENTS) == 2 * E.FILES
     assert [E._share(4, 2), E._share(4, 4), E._share(3, 3, 2), E._share(1000, 2)] == [2, 1, 2, E.BATCH_FILES]
+
+
+def test_drops_deal_events_and_build_each_record_once(spark):
+    data = [(k % 9 if k % 10 else None, None if k % 7 == 0 else f"2024-01-0{1 + k % 3} 10:00:{k % 60:02d}", k % 4 or None, kind, float(k))
+            for k in range(120) for kind in ("click", "error", "signup", "nothing", None)]
+    ev = spark.createDataFrame(data * 2, "event_id long, t string, user_id long, event_type string, value double")
+    ev = ev.withColumn("ts", F.col("t").cast("timestamp_ntz")).drop("t")
+    drops, files = E._drops(ev, 3)
+    assert files == E.FILES and sum(d.count() for d in drops) == ev.count() and all(d.count() for d in drops)
+    sent = E.event_records(drops[0]).unionByName(E.event_records(drops[1])).unionByName(E.event_records(drops[2]))
+    whole = E.event_records(ev)
+    assert rows(sent) == rows(whole) and whole.count() == 240 * (4 + 5 + 1)
+    plan = plan_text(E.event_records(drops[0]), "simple")
+    assert plan.count("Generate explode") == 1 and "Union" not in plan and plan.index("Generate explode") < plan.index("xxhash64(event_id")
+
+
+@pytest.mark.parametrize("timed", [False, True])
+def test_events_are_shuffled_not_their_records(spark, events, timed):
+    ev = E.read_events(spark, events)
+    dealt = E.event_records(ev, timed=timed, tasks=12)
+    plan = plan_text(dealt, "simple")
+    assert plan.index("Generate explode") < plan.index("RoundRobinPartitioning(12)") and plan.count("RoundRobinPartitioning") == 1
+    assert rows(dealt) == rows(E.event_records(ev, timed=timed))
+
+
+@pytest.mark.parametrize("few", [1, 2])
+def test_few_events_fill_all_files_of_a_drop(spark, events, few):
+    base = E.shared_dir(spark, "few")
+    E._write_drop(E.read_events(spark, events).filter(F.col("event_id").isin(list(range(few)))), E.FILES, f"{base}/records")
+    assert _files(spark, f"{base}/records") == E.FILES
