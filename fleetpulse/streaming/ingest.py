@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import constants as K
-from ..functions import event_seconds, once, parse_time_of_day
+from ..functions import event_seconds, parse_time_of_day
 from ..operators.records import decode, full_event_time, quarantine, records_long, route
 from ..operators.windows import merged_states, second_states
 from ..schemas import METRIC_BY_TOPIC, METRICS, PAIRS, RECORD_SCHEMA, TIMED_RECORD_SCHEMA, Metric, MetricPair
@@ -57,12 +57,27 @@ def metric_stream(records: DataFrame, metric: str) -> DataFrame:
     return route(decode(records), METRICS[metric])
 
 
-def topic_summary(decoded: DataFrame, full_time: bool = False) -> DataFrame:
-    """Per topic what a commit record holds: the counts of `topic_counts` (A9), and of the
-    valid records those with a readable time and the earliest event second (A1, A2)."""
+def decode_batch(records: DataFrame, metrics: tuple[str, ...], full_time: bool = False) -> DataFrame:
+    """A micro-batch's records as its tables need them: topic, valid, the event second `sec` of
+    valid ones, `ts`, `server_id` and the metrics' measures on their topics, and key and text of
+    those that did not decode. All else is left out, as a cache pays for each value."""
+    landed = [METRICS[n] for n in metrics]
+    measures = tuple(dict.fromkeys(m for metric in landed for m in metric.measures))
+    valid, ours = F.col("valid"), F.col("topic").isin(*[m.topic for m in landed])
     sec = F.unix_seconds(full_event_time(parse_time_of_day("ts"), F.col("timestamp"))) if full_time else event_seconds("ts")
-    timed = decoded.select("topic", "valid", once(F.when(F.col("valid"), sec)).alias("sec"))
-    return timed.groupBy("topic").agg(
+    return decode(records, measures).select(
+        "topic",
+        "valid",
+        F.when(valid, sec).alias("sec"),
+        *[F.when(valid & ours, F.col(c)).alias(c) for c in ("ts", "server_id", *measures)],
+        *[F.when(~valid, F.col(c)).alias(c) for c in ("key", "text")],
+    )
+
+
+def topic_summary(decoded: DataFrame) -> DataFrame:
+    """Per topic what a commit record holds, from `decode_batch`: the counts of `topic_counts` (A9),
+    and of the valid records those with a readable time and the earliest event second (A1, A2)."""
+    return decoded.groupBy("topic").agg(
         F.count(F.lit(1)).alias("messages"),
         F.count_if(F.col("topic").isin(*K.TOPICS) & F.col("valid")).alias("stored"),
         F.count_if(~F.col("valid")).alias("quarantined"),
@@ -138,8 +153,8 @@ def land_stream(
     `full_time=True` takes dates from the records' `timestamp` (D8) for
     states and times.
 
-    The batch is cached while its tables are written; the source's limit
-    per trigger bounds it. `fmt="csv"` (with header) is the reference's
+    The batch is cached while its tables are written (`decode_batch`); the
+    source's limit per trigger bounds it. `fmt="csv"` (with header) is the reference's
     landing format; use `"parquet"` at scale. Read a landed table back
     with `read_landed`.
     """
@@ -167,15 +182,15 @@ def land_stream(
 
 
 def _land_batch(batch: DataFrame, base: str, name: str, metrics: tuple[str, ...], fmt: str, full_time: bool) -> None:
-    decoded = decode(batch).persist()
+    decoded = decode_batch(batch, metrics, full_time).persist()
     try:
         tables = list(metrics)
         for metric in metrics:
             _write_table(route(decoded, METRICS[metric]), folder(base, metric, name), fmt)
         for pair in landed_pairs(metrics):
-            _write_states(second_states(records_long(decoded, pair, full_time), pair), folder(base, states_table(pair), name))
+            _write_states(second_states(records_long(decoded, pair, sec=F.col("sec")), pair), folder(base, states_table(pair), name))
             tables.append(states_table(pair))
-        topics = topic_summary(decoded, full_time).persist()
+        topics = topic_summary(decoded).persist()
         try:
             if not topics.filter("quarantined > 0").isEmpty():
                 quarantine(decoded).write.mode("overwrite").parquet(folder(base, QUARANTINE, name))
